@@ -1 +1,102 @@
-"""placeholder"""
+"""Queries: one-hot, multi-hot, scaling, TF-IDF, the feature matrix."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalogprep.functions.text import ENGLISH_STOP_WORDS
+from catalogprep.operators import features as FE
+from catalogprep.operators.multivalue import member_list
+from catalogprep.plans import oracle_sql as S
+from catalogprep.plans import standins
+from catalogprep.plans.registry import register
+from catalogprep.sources.readers import read_table
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+NATIONS = [f"NATION_{i}" for i in range(25)]
+
+
+@register(
+    "one_hot",
+    "SELECT event_id, value, "
+    + ", ".join(f"CASE WHEN event_type = '{v}' THEN 1 ELSE 0 END AS event_type_{v}" for v in EVENT_TYPES)
+    + " FROM events",
+)
+def one_hot(spark, d):
+    e = read_table(spark, d, "events").select("event_id", "value", "event_type")
+    return FE.one_hot(e, "event_type")
+
+
+@register(
+    "multi_hot",
+    S.with_(S.LISTS, "arrs AS (SELECT o_orderkey, regexp_split_to_array(country, ',\\s*') AS arr FROM lists)")
+    + "SELECT o_orderkey, "
+    + ", ".join(f"CAST(coalesce(list_contains(arr, '{n}'), false) AS INTEGER) AS countries_{n}" for n in NATIONS)
+    + " FROM arrs",
+)
+def multi_hot(spark, d):
+    lists = standins.order_country_lists(spark, d).select("o_orderkey", member_list("country").alias("countries"))
+    return FE.multi_hot(lists, "countries")
+
+
+SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@register(
+    "standard_scale",
+    "WITH fit AS (SELECT "
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALE_COLS)
+    + " FROM lineitem)\nSELECT l_orderkey, l_linenumber, "
+    + ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0::DOUBLE END, 6) AS {c}" for c in SCALE_COLS)
+    + " FROM lineitem CROSS JOIN fit",
+)
+def standard_scale(spark, d):
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *SCALE_COLS)
+    out = FE.standard_scale(li, SCALE_COLS)
+    return out.withColumns({c: F.round(c, 6) for c in SCALE_COLS})
+
+
+def _sql_list(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+STOP_SQL = _sql_list(ENGLISH_STOP_WORDS)
+
+TFIDF_SQL = f"""WITH toks AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM documents),
+f AS (SELECT * FROM toks WHERE NOT list_contains({STOP_SQL}, term)),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM f GROUP BY 1, 2),
+terms AS (SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY 1 ORDER BY total DESC, term LIMIT 5000),
+n AS (SELECT count(*) AS n FROM documents),
+w AS (SELECT tf.doc_id, tf.term, tf.tf * (ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE) AS raw
+      FROM tf JOIN terms ON tf.term = terms.term CROSS JOIN n)
+SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM w"""
+
+
+@register("tfidf", TFIDF_SQL)
+def tfidf(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    return FE.tfidf(docs, "doc_id", "text").withColumn("weight", F.round("weight", 6))
+
+
+@register("feature_matrix")
+def feature_matrix(spark, d):
+    """Documents as one feature row each: one-hot language and source,
+    scaled length, labels, and the sparse TF-IDF row as (index, value)
+    arrays over the sorted vocabulary."""
+    docs = read_table(spark, d, "documents")
+    labels = read_table(spark, d, "labels")
+    base = docs.select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
+    base = FE.one_hot(base, "lang")
+    base = FE.one_hot(base, "source")
+    base = FE.standard_scale(base, ["n_chars"])
+    base = base.join(labels, "doc_id", "left")
+    weights = FE.tfidf(docs.select("doc_id", "text"), "doc_id", "text")
+    idx = F.broadcast(FE.vocabulary_index(weights))  # bounded by max_features
+    sparse = (
+        weights.join(idx, "term")
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("i"), F.col("weight").alias("w")))).alias("_p"))
+        .select("doc_id", F.col("_p.i").alias("tfidf_idx"), F.col("_p.w").alias("tfidf_val"))
+    )
+    return base.join(sparse, "doc_id", "left")

@@ -1 +1,61 @@
-"""placeholder"""
+"""Queries: term and bigram frequencies over whole document texts, JSON."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalogprep.operators import text as TX
+from catalogprep.plans.q_features import STOP_SQL
+from catalogprep.plans.registry import register
+from catalogprep.sources.readers import read_table
+
+TOKS_SQL = """toks AS (
+  SELECT doc_id, list_filter(
+           list_transform(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_][\\p{L}\\p{N}_'']+'),
+                          lambda x: regexp_replace(x, '''s$', '')),
+           lambda x: NOT regexp_full_match(x, '\\p{Nd}+')) AS t
+  FROM documents)"""
+
+
+@register(
+    "term_freq",
+    f"""WITH {TOKS_SQL},
+c AS (SELECT term, count(*) AS n FROM (SELECT unnest(t) AS term FROM toks) WHERE NOT list_contains({STOP_SQL}, term)
+      GROUP BY 1 ORDER BY n DESC, term LIMIT 200)
+SELECT term, n, n / max(n) OVER () AS weight FROM c""",
+)
+def term_freq(spark, d):
+    return TX.term_freq(read_table(spark, d, "documents"), "text")
+
+
+@register(
+    "bigram_freq",
+    f"""WITH {TOKS_SQL},
+p AS (SELECT unnest(list_transform(range(1, len(t)), lambda i:
+        CASE WHEN NOT list_contains({STOP_SQL}, t[i]) AND NOT list_contains({STOP_SQL}, t[i + 1])
+             THEN t[i] || ' ' || t[i + 1] END)) AS bigram FROM toks),
+c AS (SELECT bigram, count(*) AS n FROM p WHERE bigram IS NOT NULL GROUP BY 1 ORDER BY n DESC, bigram LIMIT 200)
+SELECT bigram, n, n / max(n) OVER () AS weight FROM c""",
+)
+def bigram_freq(spark, d):
+    return TX.bigram_freq(read_table(spark, d, "documents"), "text")
+
+
+@register(
+    "json_props",
+    "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
+)
+def json_props(spark, d):
+    e = read_table(spark, d, "events")
+    return e.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@register(
+    "json_map_rows",
+    """SELECT event_id, key, TRY_CAST(json_extract_string(props, '$."' || key || '"') AS INTEGER) AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)""",
+)
+def json_map_rows(spark, d):
+    e = read_table(spark, d, "events")
+    m = F.from_json("props", "map<string,int>")
+    return e.select("event_id", F.explode(m).alias("key", "value"))
