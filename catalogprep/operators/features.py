@@ -108,6 +108,7 @@ def tfidf(
     max_features: int | None = 5_000,
     stop_words=ENGLISH_STOP_WORDS,
     pattern: str = WORD_TOKEN,
+    index_col: str | None = None,
 ) -> DataFrame:
     """TF-IDF in long form ``(id, term, weight)`` with scikit-learn's
     conventions: raw counts, ``idf = ln((1 + n) / (1 + df)) + 1``, the
@@ -117,6 +118,7 @@ def tfidf(
     Shuffles: term counts per (document, term) with a map-side partial
     aggregate; term statistics per term; the norm per document.  The
     vocabulary has a proven bound (``max_features`` rows) and is broadcast.
+    ``index_col`` adds each term's 0-based position in the sorted vocabulary.
     """
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     toks = drop_stop_words(tokens(text_col, pattern), stop_words)
@@ -131,13 +133,13 @@ def tfidf(
         terms = F.broadcast(terms)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     vocab = terms.select("term", idf.alias("idf"))
-    w = tf.join(vocab, "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    extra = []
+    if index_col:
+        if max_features is None:
+            raise ValueError("a term index needs a bounded vocabulary (max_features)")
+        # <= max_features rows: a global window here is bounded
+        vocab = vocab.withColumn(index_col, (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+        extra = [index_col]
+    w = tf.join(vocab, "term").select(id_col, "term", *extra, (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", (F.col("raw") / norm).alias("weight"))
-
-
-def vocabulary_index(weights: DataFrame, *, term_col: str = "term") -> DataFrame:
-    """``(term, idx)`` — a stable 0-based column index for a long TF-IDF
-    table (terms sorted).  Bounded by the vocabulary size."""
-    terms = weights.select(term_col).distinct()
-    return terms.withColumn("idx", F.row_number().over(Window.orderBy(term_col)) - 1)
+    return w.select(id_col, "term", *extra, (F.col("raw") / norm).alias("weight"))

@@ -16,8 +16,12 @@ from catalogprep.functions.text import CLOUD_TOKEN, ENGLISH_STOP_WORDS, tokens
 
 
 def cloud_tokens(text_col: str) -> Column:
-    """Word-cloud tokens before stop-word removal."""
-    toks = F.transform(tokens(text_col, CLOUD_TOKEN), lambda t: F.regexp_replace(t, "'s$", ""))
+    """Word-cloud tokens before stop-word removal (trailing ``'s`` cut with
+    plain string functions, not a regex per token)."""
+    toks = F.transform(
+        tokens(text_col, CLOUD_TOKEN),
+        lambda t: F.when(t.endswith("'s"), F.substring(t, F.lit(1), F.length(t) - 2)).otherwise(t),
+    )
     return F.filter(toks, lambda t: ~t.rlike(r"^\p{Nd}+$"))
 
 
@@ -38,7 +42,9 @@ def term_freq(df: DataFrame, text_col: str, *, top: int = 200, stop_words=ENGLIS
 def bigram_freq(df: DataFrame, text_col: str, *, top: int = 200, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """``(bigram, n, weight)`` for the ``top`` most frequent word pairs."""
     stop = list(stop_words)
-    toks = cloud_tokens(text_col)
+    # tokens projected once: the pair expression refers to them three times
+    df = df.select(cloud_tokens(text_col).alias("_toks"))
+    toks = F.col("_toks")
     k = F.greatest(F.size(toks) - 1, F.lit(0))
     pairs = F.zip_with(
         F.slice(toks, 1, k), F.slice(toks, 2, k),

@@ -91,11 +91,9 @@ def feature_matrix(spark, d):
     base = FE.one_hot(base, "source")
     base = FE.standard_scale(base, ["n_chars"])
     base = base.join(labels, "doc_id", "left")
-    weights = FE.tfidf(docs.select("doc_id", "text"), "doc_id", "text")
-    idx = F.broadcast(FE.vocabulary_index(weights))  # bounded by max_features
+    weights = FE.tfidf(docs.select("doc_id", "text"), "doc_id", "text", index_col="idx")
     sparse = (
-        weights.join(idx, "term")
-        .groupBy("doc_id")
+        weights.groupBy("doc_id")
         .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("i"), F.col("weight").alias("w")))).alias("_p"))
         .select("doc_id", F.col("_p.i").alias("tfidf_idx"), F.col("_p.w").alias("tfidf_val"))
     )
