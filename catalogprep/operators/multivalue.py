@@ -38,7 +38,8 @@ from catalogprep.functions.strings import LIST_SEPARATOR, split_list, strip_lead
 from catalogprep.operators._common import BROADCAST_MAX_ROWS, maybe_broadcast, within_rows
 
 UNKNOWN = "Unknown"
-_EMPTY = F.array().cast("array<string>")
+def _empty() -> Column:
+    return F.array().cast("array<string>")
 
 
 def member_list(c: str | Column, pattern: str = LIST_SEPARATOR) -> Column:
@@ -131,14 +132,14 @@ def member_lookup(
         lang_map_df.select(F.col(country_col).alias("country"), F.col(languages_col).alias("_l"))
         .where(F.col("country").isNotNull())
         .groupBy("country")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("_l", _EMPTY))))).alias("languages"))
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("_l", _empty()))))).alias("languages"))
         .withColumn("is_mapped", F.lit(True))
     )
     return valid.join(langs, "country", "full_outer").select(
         "country",
         F.coalesce("is_valid", F.lit(False)).alias("is_valid"),
         F.coalesce("is_mapped", F.lit(False)).alias("is_mapped"),
-        F.coalesce("languages", _EMPTY).alias("languages"),
+        F.coalesce("languages", _empty()).alias("languages"),
     )
 
 
