@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogprep.functions.text import ENGLISH_STOP_WORDS
 from catalogprep.operators import features as FE
+from catalogprep.operators._common import bounded_domain
 from catalogprep.operators.multivalue import member_list
 from catalogprep.plans import oracle_sql as S
 from catalogprep.plans import standins
@@ -36,7 +37,9 @@ def one_hot(spark, d):
 )
 def multi_hot(spark, d):
     lists = standins.order_country_lists(spark, d).select("o_orderkey", member_list("country").alias("countries"))
-    return FE.multi_hot(lists, "countries")
+    # the label universe is the nation dimension (bounded), not the labels seen
+    labels = bounded_domain(read_table(spark, d, "nation"), "n_name", FE.MAX_INDICATORS)
+    return FE.multi_hot(lists, "countries", values=labels)
 
 
 SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]

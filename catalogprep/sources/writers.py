@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def _norm(path: str) -> str:
-    p = path.rstrip("/")
-    return p[len("file:"):] if p.startswith("file:") else p
+    from urllib.parse import urlparse
+
+    u = urlparse(path)
+    if u.scheme in ("", "file"):
+        import os
+
+        return os.path.normpath(u.path or path)
+    return path.rstrip("/")
 
 
 def _refuse_self_overwrite(df: DataFrame, path: str) -> None:
