@@ -17,10 +17,10 @@ def _pct(n, total):
     return F.try_divide(n * F.lit(100.0), total)
 
 
-def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def null_profile(df: DataFrame, columns: list[str] | None = None, *, decimals: int | None = None) -> DataFrame:
     """One row per column: ``position, column_name, null_count, null_pct,
     total_rows`` — all columns in one scan.  ``null_pct`` is NULL on an
-    empty table (no division by zero)."""
+    empty table (no division by zero); ``decimals`` rounds it for display."""
     cols = list(columns or df.columns)
     require_columns(df, cols)
     wide = df.agg(
@@ -32,11 +32,12 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
     pos = F.substring("slot", 2, 10).cast("int")
     names = F.array(*[F.lit(c) for c in cols])
+    pct = _pct(F.col("null_count"), F.col("total_rows"))
     return long.select(
         pos.alias("position"),
         F.element_at(names, pos + 1).alias("column_name"),
         F.col("null_count"),
-        _pct(F.col("null_count"), F.col("total_rows")).alias("null_pct"),
+        (F.round(pct, decimals) if decimals is not None else pct).alias("null_pct"),
         F.col("total_rows"),
     )
 

@@ -180,3 +180,33 @@ FROM s, e GROUP BY 1, 2, 3""",
 )
 def binned_scatter(spark, d):
     return D.binned_scatter(read_table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", group="l_returnflag")
+
+
+PAIR_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _pair_sql() -> str:
+    ext = ", ".join(
+        f"min({c}) AS lo0_{c}, max({c}) AS hi0_{c}" for c in PAIR_COLS
+    )
+    edges = ", ".join(
+        f"CASE WHEN lo0_{c} = hi0_{c} THEN lo0_{c} - 0.5 ELSE lo0_{c} END AS lo_{c}, "
+        f"CASE WHEN lo0_{c} = hi0_{c} THEN hi0_{c} + 0.5 ELSE hi0_{c} END AS hi_{c}"
+        for c in PAIR_COLS
+    )
+    parts = []
+    for i, a in enumerate(PAIR_COLS):
+        for b in PAIR_COLS[i + 1:]:
+            bx = f"CAST(least(floor((CAST({a} AS DOUBLE) - lo_{a}) * 20.0::DOUBLE / (hi_{a} - lo_{a})), 19) AS INTEGER)"
+            by = f"CAST(least(floor((CAST({b} AS DOUBLE) - lo_{b}) * 20.0::DOUBLE / (hi_{b} - lo_{b})), 19) AS INTEGER)"
+            parts.append(
+                f"SELECT '{a}' AS col_x, '{b}' AS col_y, {bx} AS bx, {by} AS by, count(*) AS n "
+                f"FROM lineitem, e WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2, 3, 4"
+            )
+    return (f"WITH ext AS (SELECT {ext} FROM lineitem), e AS (SELECT {edges} FROM ext)\n"
+            + "\nUNION ALL ".join(parts))
+
+
+@register("pair_grid", _pair_sql())
+def pair_grid(spark, d):
+    return D.pair_binned_counts(read_table(spark, d, "lineitem"), PAIR_COLS, bins=20)
