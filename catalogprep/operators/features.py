@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from catalogprep.functions.dates import date_int_parts
 from catalogprep.functions.text import ENGLISH_STOP_WORDS, WORD_TOKEN, drop_stop_words, tokens
-from catalogprep.operators._common import bounded_domain
+from catalogprep.operators._common import bounded_domain, spread
 
 MAX_INDICATORS = 1_000
 
@@ -123,7 +123,8 @@ def tfidf(
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     toks = drop_stop_words(tokens(text_col, pattern), stop_words)
     tf = (
-        df.select(id_col, F.explode(toks).alias("term"))
+        spread(df.select(id_col, text_col))
+        .select(id_col, F.explode(toks).alias("term"))
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
