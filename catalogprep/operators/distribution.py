@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogprep.operators.stats import quantiles
+from catalogprep.operators.stats import QUARTILES, exact_quantiles, quantile_columns, quantiles
 
 
 def _edges(df: DataFrame, column: str) -> tuple[Column, Column]:
@@ -97,10 +97,14 @@ def boxplot_stats(df: DataFrame, group: str, column: str, *, exact: bool = True,
     src = df.where(F.col(group).isNotNull() & F.col(column).isNotNull()).select(
         group, F.col(column).cast("double").alias("v")
     )
-    q = quantiles(F.col("v"), exact=exact)
-    qs = src.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")
-    )
+    sizes = src.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    if exact:
+        qs = quantile_columns(exact_quantiles(src, "v", QUARTILES, [group]), [group],
+                              {0.25: "q1", 0.5: "median", 0.75: "q3"})
+    else:
+        q = quantiles(F.col("v"), exact=False)
+        qs = src.groupBy(group).agg(q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
+    qs = sizes.join(qs, group)
     fences = qs.select(
         "*",
         (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("_lo"),

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogprep.operators._common import maybe_broadcast
+
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -27,10 +29,99 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def quantiles(c: Column, probs=QUARTILES, *, exact: bool = True, accuracy: int = 10_000) -> Column:
+    """Single-aggregate quantiles.  ``exact`` uses ``percentile``, whose state
+    holds every distinct value of the group — use :func:`exact_quantiles`
+    for high-cardinality columns at scale."""
     arr = F.array(*[F.lit(p) for p in probs])
     return F.percentile(c, arr) if exact else F.percentile_approx(c, arr, accuracy)
 
 
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs=QUARTILES,
+    groups: list[str] | tuple[str, ...] = (),
+    *,
+    accuracy: int = 100_000,
+    few_groups: bool = False,
+) -> DataFrame:
+    """Exact quantiles (linear interpolation, as numpy / pandas / DuckDB's
+    ``quantile_cont``) per group without gathering a group's values in one
+    task.  Returns ``(groups..., p, q)``.
+
+    1. One aggregate: the group size ``n`` and ``percentile_approx`` brackets
+       at ``p -/+ 3/accuracy``; the sketch's rank error is at most
+       ``n/accuracy``, so the exact order statistics at ranks
+       ``floor(p(n-1))`` and the next lie inside the bracket.
+    2. One partial aggregate over the data: rows below / above the bracket
+       collapse to two counters, rows inside are counted per distinct value
+       (a hot value stays one row).
+    3. A running count over each bracket — at most about ``6n/accuracy``
+       distinct values — picks the two order statistics.
+
+    Groups with fewer than about ``4*accuracy/3`` rows are counted whole
+    (per distinct value), which keeps the result exact for any size.
+    ``few_groups=True`` says the group count is bounded by construction (e.g.
+    one group per column) so the bracket table is broadcast unchecked.
+    """
+    groups = list(groups)
+    eps = 3.0 / accuracy
+    src = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    lo_p = [max(0.0, p - eps) for p in probs]
+    hi_p = [min(1.0, p + eps) for p in probs]
+    sketch = src.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_a")
+    )
+    k = len(probs)
+    # The sketch's rank error is at most n/accuracy = eps*n/3, so a bracket
+    # of +-eps holds both order statistics once eps*n >= 4.  Smaller groups
+    # (under ~4*accuracy/3 rows) get an open bracket: all their values are
+    # counted per distinct value, which that size bounds.
+    wide_enough = F.lit(eps) * F.col("_n") >= 4
+    brackets = sketch.select(
+        *groups, "_n",
+        F.explode(F.array(*[
+            F.struct(
+                F.lit(float(p)).alias("_p"),
+                (F.when(wide_enough, F.col("_a")[i]) if p - eps > 0 else F.lit(None).cast("double")).alias("_lo"),
+                (F.when(wide_enough, F.col("_a")[k + i]) if p + eps < 1 else F.lit(None).cast("double")).alias("_hi"),
+            )
+            for i, p in enumerate(probs)
+        ])).alias("_b"),
+    ).select(*groups, "_n", "_b.*")
+    per_row = src.select(*groups, "_v", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
+    j = per_row.join(F.broadcast(brackets) if few_groups else maybe_broadcast(brackets), [*groups, "_p"])
+    below = F.col("_lo").isNotNull() & (F.col("_v") < F.col("_lo"))
+    above = F.col("_hi").isNotNull() & (F.col("_v") > F.col("_hi"))
+    side = F.when(below, 1).when(above, 2).otherwise(0)
+    cells = j.groupBy(*groups, "_p", "_n", side.alias("_side"), F.when(side == 0, F.col("_v")).alias("_kv")).agg(
+        F.count(F.lit(1)).alias("_c")
+    )
+    key = [*groups, "_p"]
+    n_below = F.coalesce(F.sum(F.when(F.col("_side") == 1, F.col("_c"))).over(Window.partitionBy(*key)), F.lit(0))
+    run = Window.partitionBy(*key).orderBy("_side", "_kv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cells.select(
+        *key, "_n", "_side", "_kv",
+        (n_below + F.sum(F.when(F.col("_side") == 0, F.col("_c")).otherwise(0)).over(run)).alias("_cum"),
+    ).where(F.col("_side") == 0)
+    pos = F.col("_p") * (F.col("_n") - 1)
+    rank = F.floor(pos)
+    frac = pos - rank
+    picked = ranked.groupBy(*key, "_n").agg(
+        F.min(F.when(F.col("_cum") >= F.floor(F.col("_p") * (F.col("_n") - 1)) + 1, F.col("_kv"))).alias("_lo_v"),
+        F.min(F.when(F.col("_cum") >= F.floor(F.col("_p") * (F.col("_n") - 1)) + 2, F.col("_kv"))).alias("_hi_v"),
+    )
+    q = F.when(frac == 0, F.col("_lo_v")).otherwise(F.col("_lo_v") + frac * (F.col("_hi_v") - F.col("_lo_v")))
+    return picked.select(*groups, F.col("_p").alias("p"), q.alias("q"))
+
+
+def quantile_columns(qs: DataFrame, groups: list[str] | tuple[str, ...], names: dict[float, str]) -> DataFrame:
+    """Long ``(groups..., p, q)`` -> one column per probability."""
+    return qs.groupBy(*groups).agg(
+        *[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(n) for p, n in names.items()]
+    )
+
+
 def describe_numeric(
     df: DataFrame,
     columns: list[str] | None = None,
@@ -45,22 +136,26 @@ def describe_numeric(
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = quantiles(x, exact=exact)
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(x).alias("count"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                q[0].alias("p25"),
-                q[1].alias("p50"),
-                q[2].alias("p75"),
-                F.max(x).alias("max"),
-            ).alias(f"s{i}")
-        )
+        fields = [F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                  F.stddev_samp(x).alias("std"), F.min(x).alias("min")]
+        if not exact:
+            q = quantiles(x, exact=False)
+            fields += [q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75")]
+        aggs.append(F.struct(*fields, F.max(x).alias("max")).alias(f"s{i}"))
     wide = df.agg(*aggs)
     out = wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    if exact:
+        # quartiles of all columns at once: stack to (column_name, value)
+        stacked = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_x")) for c in cols
+        ])).alias("_s")).select("_s.*")
+        qs = quantile_columns(
+            exact_quantiles(stacked, "_x", QUARTILES, ["column_name"], few_groups=True), ["column_name"],
+            {0.25: "p25", 0.5: "p50", 0.75: "p75"},
+        )
+        out = out.join(qs, "column_name", "left").select(
+            "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+        )
     if decimals is not None:
         out = out.withColumns(
             {k: F.round(k, decimals) for k in ("mean", "std", "min", "p25", "p50", "p75", "max")}

@@ -8,6 +8,7 @@ from catalogprep.functions.dates import age_in_years, date_int_parts, date_text_
 from catalogprep.functions.strings import first_number, to_int
 from catalogprep.operators import classify as C
 from catalogprep.operators import multivalue as M
+from catalogprep.operators.stats import exact_quantiles, quantile_columns
 from catalogprep.operators.quality import fill_nulls
 from catalogprep.plans import oracle_sql as S
 from catalogprep.plans import standins
@@ -172,11 +173,10 @@ AS_OF = 2025
 FROM orders GROUP BY o_orderstatus""",
 )
 def age_summary(spark, d):
-    o = read_table(spark, d, "orders")
-    age = age_in_years(F.year("o_orderdate"), AS_OF)
-    return o.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(age).alias("mean_age"), F.median(age).alias("median_age")
-    )
+    o = read_table(spark, d, "orders").select("o_orderstatus", age_in_years(F.year("o_orderdate"), AS_OF).alias("age"))
+    moments = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.avg("age").alias("mean_age"))
+    med = quantile_columns(exact_quantiles(o, "age", [0.5], ["o_orderstatus"]), ["o_orderstatus"], {0.5: "median_age"})
+    return moments.join(med, "o_orderstatus")
 
 
 # --------------------------------------------------------------------------
