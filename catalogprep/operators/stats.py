@@ -174,14 +174,16 @@ def describe_categorical(df: DataFrame, columns: list[str] | None = None) -> Dat
         ])).alias("p")
     ).select("p.*").where(F.col("value").isNotNull())
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("freq"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("freq"), F.asc("value"))
+    # top value = highest count, ties to the smallest value; a min over
+    # structs is a partial aggregate, so a key-like column with billions of
+    # distinct values never lands in one task.
+    best = F.min(F.struct((-F.col("freq")).alias("nf"), F.col("value").alias("v")))
     per_col = counts.groupBy("column_name").agg(
-        F.sum("freq").alias("count"), F.count(F.lit(1)).alias("unique")
+        F.sum("freq").alias("count"), F.count(F.lit(1)).alias("unique"), best.alias("_b")
     )
-    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select(
-        "column_name", F.col("value").alias("top"), "freq"
+    return per_col.select(
+        "column_name", "count", "unique", F.col("_b.v").alias("top"), (-F.col("_b.nf")).alias("freq")
     )
-    return per_col.join(top, "column_name")
 
 
 def describe_all(df: DataFrame, *, exact: bool = True, decimals: int | None = None) -> DataFrame:
