@@ -4,7 +4,8 @@ list, enrich with languages from a lookup.
 Design (scale): the two lookups (valid countries, country -> languages) are
 dimensions bounded by the number of countries.  They are folded into one
 member-info table and, behind a checked row bound, into a single map value
-(scalar subquery, evaluated once and shipped to every task like a broadcast).
+(scalar subquery, evaluated once and shipped to every task like a broadcast;
+lookups in a map value scan its keys, hence a bound of ``MAP_LOOKUP_MAX_ROWS``).
 Each title then resolves its own members with higher-order functions —
 no explode / join / group-back round trip and no shuffle except the final
 full-row de-duplication the semantics require.  Above the bound the same
@@ -38,6 +39,12 @@ from catalogprep.functions.strings import LIST_SEPARATOR, split_list, strip_lead
 from catalogprep.operators._common import BROADCAST_MAX_ROWS, maybe_broadcast, within_rows
 
 UNKNOWN = "Unknown"
+
+#: Largest member table resolved per row from one map value.  Spark looks a
+#: key up in a map value by scanning its keys, so the map path is only cheap
+#: for small lookups (country lists have a few hundred entries); larger
+#: lookups use the explode -> join -> regroup path.
+MAP_LOOKUP_MAX_ROWS = 1_000
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
@@ -125,21 +132,23 @@ def member_lookup(
 ) -> DataFrame:
     """One row per known country: ``country, is_valid, is_mapped, languages``
     (languages of duplicate lookup entries are unioned and sorted)."""
-    valid = _distinct_valid(valid_df, valid_col).select(
-        F.col("_valid_name").alias("country"), F.lit(True).alias("is_valid")
+    valid = valid_df.select(
+        F.col(valid_col).alias("country"), F.lit(True).alias("_v"), F.lit(False).alias("_m"), _empty().alias("_l")
+    )
+    mapped = lang_map_df.select(
+        F.col(country_col).alias("country"), F.lit(False).alias("_v"), F.lit(True).alias("_m"),
+        F.coalesce(F.col(languages_col), _empty()).alias("_l"),
     )
-    langs = (
-        lang_map_df.select(F.col(country_col).alias("country"), F.col(languages_col).alias("_l"))
+    # one aggregate over both lookups (a single small shuffle)
+    return (
+        valid.unionByName(mapped)
         .where(F.col("country").isNotNull())
         .groupBy("country")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("_l", _empty()))))).alias("languages"))
-        .withColumn("is_mapped", F.lit(True))
-    )
-    return valid.join(langs, "country", "full_outer").select(
-        "country",
-        F.coalesce("is_valid", F.lit(False)).alias("is_valid"),
-        F.coalesce("is_mapped", F.lit(False)).alias("is_mapped"),
-        F.coalesce("languages", _empty()).alias("languages"),
+        .agg(
+            F.max("_v").alias("is_valid"),
+            F.max("_m").alias("is_mapped"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("_l")))).alias("languages"),
+        )
     )
 
 
@@ -171,13 +180,15 @@ def enrich_languages(
     valid_col: str = "country",
     country_col: str = "country",
     languages_col: str = "Languages",
-    max_lookup_rows: int = BROADCAST_MAX_ROWS,
+    max_lookup_rows: int = MAP_LOOKUP_MAX_ROWS,
 ) -> DataFrame:
     """Validate the comma list in ``list_col`` and add languages.
 
     Returns ``df`` without ``list_col`` plus ``countries_out`` and
     ``languages_out`` (both ``array<string>``); see the module docstring for
     the two modes.  ``compat`` ends with a full-row de-duplication.
+    ``max_lookup_rows`` bounds the member table resolved per row from a map
+    value; above it the shuffle-join path runs (same results).
     """
     if mode not in ("compat", "keep_all"):
         raise ValueError(f"unknown mode {mode!r}")

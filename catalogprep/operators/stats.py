@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogprep.operators._common import maybe_broadcast
+from catalogprep.operators._common import maybe_broadcast, spread
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -89,7 +89,7 @@ def exact_quantiles(
             for i, p in enumerate(probs)
         ])).alias("_b"),
     ).select(*groups, "_n", "_b.*")
-    per_row = src.select(*groups, "_v", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
+    per_row = spread(src).select(*groups, "_v", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
     j = per_row.join(F.broadcast(brackets) if few_groups else maybe_broadcast(brackets), [*groups, "_p"])
     below = F.col("_lo").isNotNull() & (F.col("_v") < F.col("_lo"))
     above = F.col("_hi").isNotNull() & (F.col("_v") > F.col("_hi"))
