@@ -10,6 +10,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalogprep.operators._common import maybe_broadcast
+from catalogprep.session import checkpoint_dir
 from catalogprep.operators.stats import QUARTILES, exact_quantiles, quantile_columns, quantiles
 
 
@@ -93,24 +95,27 @@ def boxplot_stats(df: DataFrame, group: str, column: str, *, exact: bool = True,
     """Per group: ``n, q1, median, q3, whisker_lo, whisker_hi, n_outliers``
     (matplotlib's rule: whiskers at the most extreme values within
     ``whisker * IQR`` of the quartiles).  Two aggregate passes; the per-group
-    quartile table is tiny and joins back by broadcast."""
+    quartile table is written once and joins back by a checked broadcast."""
     src = df.where(F.col(group).isNotNull() & F.col(column).isNotNull()).select(
         group, F.col(column).cast("double").alias("v")
     )
-    sizes = src.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     if exact:
         qs = quantile_columns(exact_quantiles(src, "v", QUARTILES, [group]), [group],
                               {0.25: "q1", 0.5: "median", 0.75: "q3"})
     else:
         q = quantiles(F.col("v"), exact=False)
-        qs = src.groupBy(group).agg(q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
-    qs = sizes.join(qs, group)
+        qs = src.groupBy(group).agg(
+            F.count(F.lit(1)).alias("n"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")
+        )
     fences = qs.select(
         "*",
         (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("_lo"),
         (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("_hi"),
     )
-    j = src.join(F.broadcast(fences), group)
+    # one row per group: written once (small) so the size check and the join
+    # do not re-run the quantile passes; broadcast only behind the check
+    checkpoint_dir(df.sparkSession)
+    j = src.join(maybe_broadcast(fences.checkpoint(eager=True)), group)
     inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
     return j.groupBy(group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogprep.operators._common import maybe_broadcast, spread
+from catalogprep.session import checkpoint_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -47,7 +48,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation, as numpy / pandas / DuckDB's
     ``quantile_cont``) per group without gathering a group's values in one
-    task.  Returns ``(groups..., p, q)``.
+    task.  Returns ``(groups..., n, p, q)`` (``n``: non-null values).
 
     1. One aggregate: the group size ``n`` and ``percentile_approx`` brackets
        at ``p -/+ 3/accuracy``; the sketch's rank error is at most
@@ -89,8 +90,16 @@ def exact_quantiles(
             for i, p in enumerate(probs)
         ])).alias("_b"),
     ).select(*groups, "_n", "_b.*")
+    if few_groups:
+        side_table = F.broadcast(brackets)
+    else:
+        # The bracket table is small (groups x probabilities) but costs a
+        # full pass; write it once to the shared checkpoint folder so the size
+        # check and the join read it instead of re-scanning the data.
+        checkpoint_dir(df.sparkSession)
+        side_table = maybe_broadcast(brackets.checkpoint(eager=True))
     per_row = spread(src).select(*groups, "_v", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
-    j = per_row.join(F.broadcast(brackets) if few_groups else maybe_broadcast(brackets), [*groups, "_p"])
+    j = per_row.join(side_table, [*groups, "_p"])
     below = F.col("_lo").isNotNull() & (F.col("_v") < F.col("_lo"))
     above = F.col("_hi").isNotNull() & (F.col("_v") > F.col("_hi"))
     side = F.when(below, 1).when(above, 2).otherwise(0)
@@ -112,12 +121,12 @@ def exact_quantiles(
         F.min(F.when(F.col("_cum") >= F.floor(F.col("_p") * (F.col("_n") - 1)) + 2, F.col("_kv"))).alias("_hi_v"),
     )
     q = F.when(frac == 0, F.col("_lo_v")).otherwise(F.col("_lo_v") + frac * (F.col("_hi_v") - F.col("_lo_v")))
-    return picked.select(*groups, F.col("_p").alias("p"), q.alias("q"))
+    return picked.select(*groups, F.col("_n").alias("n"), F.col("_p").alias("p"), q.alias("q"))
 
 
 def quantile_columns(qs: DataFrame, groups: list[str] | tuple[str, ...], names: dict[float, str]) -> DataFrame:
-    """Long ``(groups..., p, q)`` -> one column per probability."""
-    return qs.groupBy(*groups).agg(
+    """Long ``(groups..., n, p, q)`` -> ``(groups..., n, <one column per probability>)``."""
+    return qs.groupBy(*groups, "n").agg(
         *[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(n) for p, n in names.items()]
     )
 
@@ -153,7 +162,7 @@ def describe_numeric(
             exact_quantiles(stacked, "_x", QUARTILES, ["column_name"], few_groups=True), ["column_name"],
             {0.25: "p25", 0.5: "p50", 0.75: "p75"},
         )
-        out = out.join(qs, "column_name", "left").select(
+        out = out.join(qs.drop("n"), "column_name", "left").select(
             "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
         )
     if decimals is not None:

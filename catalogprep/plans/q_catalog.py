@@ -174,7 +174,7 @@ FROM orders GROUP BY o_orderstatus""",
 )
 def age_summary(spark, d):
     o = read_table(spark, d, "orders").select("o_orderstatus", age_in_years(F.year("o_orderdate"), AS_OF).alias("age"))
-    moments = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.avg("age").alias("mean_age"))
+    moments = o.groupBy("o_orderstatus").agg(F.avg("age").alias("mean_age"))
     med = quantile_columns(exact_quantiles(o, "age", [0.5], ["o_orderstatus"]), ["o_orderstatus"], {0.5: "median_age"})
     return moments.join(med, "o_orderstatus")
 

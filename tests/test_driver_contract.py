@@ -64,5 +64,6 @@ def test_query_matches_oracle(spark, duck, name):
 def test_no_python_udf_in_any_plan(spark):
     for name, fn in E.queries().items():
         plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-        for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct"):
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
+                    "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
