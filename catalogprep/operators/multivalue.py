@@ -206,8 +206,15 @@ def _enrich_with_map(df, info, others, list_col, countries_out, languages_out, m
     # inside higher-order functions, column references may.
     df = df.withColumn("_lookup", _lookup_map(info))
     lookup = F.col("_lookup")
-    members = member_list(list_col, pattern)
-    infos = F.transform(members, lambda c: F.struct(c.alias("c"), F.try_element_at(lookup, c).alias("i")))
+    # members and their lookups are projected once: every later expression
+    # refers to them several times, and higher-order functions run
+    # interpreted, so an inlined copy would be re-evaluated per reference
+    df = df.withColumn("_members", member_list(list_col, pattern))
+    members = F.col("_members")
+    df = df.withColumn(
+        "_infos", F.transform(members, lambda c: F.struct(c.alias("c"), F.try_element_at(lookup, c).alias("i")))
+    )
+    infos = F.col("_infos")
     valid = lambda x: F.coalesce(x["i"]["is_valid"], F.lit(False))
     mapped = lambda x: F.coalesce(x["i"]["is_mapped"], F.lit(False))
     good = F.filter(infos, lambda x: valid(x) & mapped(x))
