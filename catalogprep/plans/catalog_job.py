@@ -23,6 +23,7 @@ from catalogprep.operators.classify import reach_classification, split_duration
 from catalogprep.operators.multivalue import enrich_languages
 from catalogprep.operators.quality import clean_nulls
 from catalogprep.sources.readers import read_language_map, read_titles_csv, read_valid_countries
+from catalogprep.session import scratch_path
 from catalogprep.sources.writers import write_parquet
 
 #: Columns filled with ``'Unknown'`` before rows with other nulls are dropped.
@@ -74,9 +75,21 @@ def run(
     multi_line: bool = False,
     valid_has_header: bool = True,
     partition_by: list[str] | None = None,
+    stage_input: bool = False,
 ) -> CleanResult:
-    """Read, clean, write Parquet (overwrite) and return the read-back table."""
+    """Read, clean, write Parquet (overwrite) and return the read-back table.
+
+    The CSV is scanned by the null profile, by the main pass and (``compat``)
+    by the pass computing the ``['Unknown']`` language union.  CSV cannot
+    prune columns, so with ``stage_input=True`` it is parsed once into
+    Parquet under the shared checkpoint folder and every pass reads only the
+    columns it needs from there.
+    """
     raw = read_titles_csv(spark, titles_path, multi_line=multi_line)
+    if stage_input:
+        staged = scratch_path(spark, "titles-staged")
+        raw.write.mode("overwrite").parquet(staged)
+        raw = spark.read.parquet(staged)
     valid = read_valid_countries(spark, valid_countries_path, header=valid_has_header)
     langs = read_language_map(spark, language_map_path)
     result = clean_titles(raw, valid, langs, mode=mode)
@@ -97,10 +110,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--mode", default="compat", choices=["compat", "keep_all"])
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--no-valid-header", action="store_true")
+    ap.add_argument("--stage-input", action="store_true", help="parse the CSV once into Parquet first")
     args = ap.parse_args(argv)
     spark = get_session("catalogprep-clean")
     res = run(spark, args.titles, args.valid_countries, args.language_map, args.output,
-              mode=args.mode, multi_line=args.multi_line, valid_has_header=not args.no_valid_header)
+              mode=args.mode, multi_line=args.multi_line, valid_has_header=not args.no_valid_header,
+              stage_input=args.stage_input)
     res.null_profile.orderBy("position").show(truncate=False)
     res.titles.orderBy("show_id").show(5, truncate=False)
 
