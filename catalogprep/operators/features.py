@@ -144,3 +144,34 @@ def tfidf(
     w = tf.join(vocab, "term").select(id_col, "term", *extra, (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", *extra, (F.col("raw") / norm).alias("weight"))
+
+
+def document_features(
+    docs: DataFrame,
+    labels: DataFrame | None = None,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    categorical: tuple[str, ...] = ("lang", "source"),
+    numeric: tuple[str, ...] = ("n_chars",),
+    max_features: int = 5_000,
+) -> DataFrame:
+    """The whole feature chain keyed by id (no row-position alignment):
+    one-hot categoricals, standard-scaled numerics, optional label columns
+    joined by key, and the sparse TF-IDF row as aligned ``tfidf_idx`` /
+    ``tfidf_val`` arrays over the sorted vocabulary (<= ``max_features``
+    entries per row)."""
+    base = docs.select(id_col, *categorical, *[F.col(c).cast("double").alias(c) for c in numeric])
+    for c in categorical:
+        base = one_hot(base, c)
+    base = standard_scale(base, list(numeric))
+    if labels is not None:
+        base = base.join(labels, id_col, "left")
+    weights = tfidf(docs.select(id_col, text_col), id_col, text_col, max_features=max_features, index_col="idx")
+    pair = F.struct(F.col("idx").alias("i"), F.col("weight").alias("w"))
+    sparse = (
+        weights.groupBy(id_col)
+        .agg(F.array_sort(F.collect_list(pair)).alias("_p"))
+        .select(id_col, F.col("_p.i").alias("tfidf_idx"), F.col("_p.w").alias("tfidf_val"))
+    )
+    return base.join(sparse, id_col, "left")

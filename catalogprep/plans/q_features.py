@@ -82,22 +82,37 @@ def tfidf(spark, d):
     return FE.tfidf(docs, "doc_id", "text").withColumn("weight", F.round("weight", 6))
 
 
-@register("feature_matrix")
+LANGS = ["de", "en", "es", "fr"]
+SOURCES = [f"src{i}" for i in range(20)]
+
+FEATURE_SQL = TFIDF_SQL.replace(
+    "SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM w",
+    """, weights AS (SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM w),
+idx AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM terms),
+sparse AS (
+  SELECT doc_id, string_agg(CAST(idx AS VARCHAR) || ':' || printf('%.6f', weight), ' ' ORDER BY idx) AS tfidf
+  FROM weights JOIN idx ON weights.term = idx.term GROUP BY doc_id),
+fit AS (SELECT avg(CAST(n_chars AS DOUBLE)) AS m, stddev_pop(CAST(n_chars AS DOUBLE)) AS s FROM documents)
+SELECT d.doc_id, """
+    + ", ".join(f"CASE WHEN d.lang = '{v}' THEN 1 ELSE 0 END AS lang_{v}" for v in LANGS) + ", "
+    + ", ".join(f"CASE WHEN d.source = '{v}' THEN 1 ELSE 0 END AS source_{v}" for v in SOURCES)
+    + """, round((CAST(d.n_chars AS DOUBLE) - m) / CASE WHEN s > 0 THEN s ELSE 1.0::DOUBLE END, 6) AS n_chars,
+       l.quality, l.toxic, sp.tfidf
+FROM documents d CROSS JOIN fit LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN sparse sp ON sp.doc_id = d.doc_id""",
+)
+
+
+@register("feature_matrix", FEATURE_SQL)
 def feature_matrix(spark, d):
-    """Documents as one feature row each: one-hot language and source,
-    scaled length, labels, and the sparse TF-IDF row as (index, value)
-    arrays over the sorted vocabulary."""
-    docs = read_table(spark, d, "documents")
-    labels = read_table(spark, d, "labels")
-    base = docs.select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
-    base = FE.one_hot(base, "lang")
-    base = FE.one_hot(base, "source")
-    base = FE.standard_scale(base, ["n_chars"])
-    base = base.join(labels, "doc_id", "left")
-    weights = FE.tfidf(docs.select("doc_id", "text"), "doc_id", "text", index_col="idx")
-    sparse = (
-        weights.groupBy("doc_id")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("i"), F.col("weight").alias("w")))).alias("_p"))
-        .select("doc_id", F.col("_p.i").alias("tfidf_idx"), F.col("_p.w").alias("tfidf_val"))
+    """Documents as one feature row each; the sparse TF-IDF row is rendered
+    as ``idx:weight`` text (weights to 6 dp) for the oracle comparison."""
+    feats = FE.document_features(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+    pairs = F.transform(
+        F.arrays_zip("tfidf_idx", "tfidf_val"),
+        lambda z: F.concat(z["tfidf_idx"].cast("string"), F.lit(":"), F.format_number(F.round(z["tfidf_val"], 6), 6)),
+    )
+    return feats.select(
+        *[c for c in feats.columns if c not in ("n_chars", "tfidf_idx", "tfidf_val")],
+        F.round("n_chars", 6).alias("n_chars"),
+        F.array_join(pairs, " ").alias("tfidf"),
     )
-    return base.join(sparse, "doc_id", "left")

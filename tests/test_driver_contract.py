@@ -37,8 +37,7 @@ def test_entry_runs(spark):
 
 
 def test_oracle_keys_are_queries():
-    assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"feature_matrix"}
+    assert set(E.oracle_sql()) == set(E.queries())
 
 
 @pytest.fixture(scope="module")
