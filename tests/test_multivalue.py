@@ -126,3 +126,16 @@ def test_enrich_plan_has_no_python_udf_or_cross_join(spark):
     plan = M.enrich_languages(titles, valid, langs)._jdf.queryExecution().executedPlan().toString()
     for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
+
+
+@pytest.mark.parametrize("max_lookup_rows", [100_000, 0])
+def test_compat_when_unknown_is_itself_valid_and_mapped(spark, max_lookup_rows):
+    valid = VALID + ["Unknown"]
+    langs = LANGS + [("Unknown", ["Esperanto"])]
+    titles = spark.createDataFrame(TITLES, "show_id string, country string")
+    got = _rows(M.enrich_languages(
+        titles, spark.createDataFrame([(v,) for v in valid], "country string"),
+        spark.createDataFrame(langs, "country string, Languages array<string>"),
+        max_lookup_rows=max_lookup_rows,
+    ))
+    assert got == published_model(TITLES, valid, langs)

@@ -89,3 +89,15 @@ def test_exact_quantiles_small_and_bracketed(spark):
         for p in probs:
             assert math.isclose(got[("g", p)], float(np.quantile(vals, p)), abs_tol=1e-12), (acc, p)
             assert math.isclose(got[("h", p)], float(np.quantile([1.0, 3.0], p)))
+
+
+def test_empty_and_single_row_statistics(spark):
+    empty = spark.createDataFrame([], "g string, v double")
+    assert ST.exact_quantiles(empty, "v", [0.5], ["g"]).count() == 0
+    assert [r.n for r in D.histogram(empty, "v", 3).collect()] == [0, 0, 0]
+    one = spark.createDataFrame([("a", 2.0)], "g string, v double")
+    r = ST.describe_numeric(one.select("v")).collect()[0]
+    assert (r["count"], r.mean, r.std, r.p25, r.p50, r.p75) == (1, 2.0, None, 2.0, 2.0, 2.0)
+    b = D.boxplot_stats(one, "g", "v").collect()[0]
+    assert (b.n, b.q1, b.median, b.q3, b.whisker_lo, b.whisker_hi, b.n_outliers) == (1, 2.0, 2.0, 2.0, 2.0, 2.0, 0)
+    assert [r.n for r in D.histogram(one, "v", 4).orderBy("bin").collect()] == list(np.histogram([2.0], bins=4)[0])
