@@ -162,7 +162,8 @@ def describe_numeric(
             exact_quantiles(stacked, "_x", QUARTILES, ["column_name"], few_groups=True), ["column_name"],
             {0.25: "p25", 0.5: "p50", 0.75: "p75"},
         )
-        out = out.join(qs.drop("n"), "column_name", "left").select(
+        # one row per column on both sides: bounded by the schema
+        out = out.join(F.broadcast(qs.drop("n")), "column_name", "left").select(
             "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
         )
     if decimals is not None:
