@@ -228,29 +228,60 @@ def _enrich_with_map(df, info, others, list_col, countries_out, languages_out, m
     is_unknown_list = members == unknown_list
     to_unknown = lambda x: mapped(x) & (~valid(x) | is_unknown_list)
 
-    # Global union of languages over every member routed to ['Unknown'].
-    # Partial collect_set keeps each task's buffer bounded by the number of
-    # distinct languages; the result is one small value.
-    routed = df.select(F.explode(F.filter(infos, to_unknown)).alias("x"))
-    unknown_langs = routed.select(F.explode("x.i.languages").alias("lang")).agg(
-        F.array_sort(F.collect_set("lang"))
-    ).scalar()
-
-    df = df.withColumn("_unknown_langs", unknown_langs)
-    unknown_langs = F.col("_unknown_langs")
+    routed_langs = _sorted_union(F.transform(F.filter(infos, to_unknown), lambda x: x["i"]["languages"]))
     has_own = (F.size(good) > 0) & ~is_unknown_list
     has_unknown = F.exists(infos, to_unknown)
-    rows = F.filter(
-        F.array(
-            F.when(has_own, F.struct(members.alias("_rc"), _none_if_empty(good_langs).alias("_rl"))),
-            F.when(has_unknown, F.struct(unknown_list.alias("_rc"), _none_if_empty(unknown_langs).alias("_rl"))),
+    no_list = F.lit(None).cast("array<string>")
+    rows = F.concat(
+        F.filter(
+            F.array(
+                F.when(has_own, F.struct(members.alias("_rc"), _none_if_empty(good_langs).alias("_rl"),
+                                         F.lit(False).alias("_b"), F.lit(False).alias("_m"))),
+                F.when(has_unknown, F.struct(unknown_list.alias("_rc"), no_list.alias("_rl"),
+                                             F.lit(True).alias("_b"), F.lit(False).alias("_m"))),
+            ),
+            lambda r: r.isNotNull(),
         ),
-        lambda r: r.isNotNull(),
+        # one marker per routed language (feeds the data-wide union)
+        F.transform(routed_langs, lambda lang: F.struct(no_list.alias("_rc"), F.array(lang).alias("_rl"),
+                                                        F.lit(False).alias("_b"), F.lit(True).alias("_m"))),
     )
-    out = df.select(*others, F.explode(rows).alias("_r")).select(
-        *others, F.col("_r._rc").alias(countries_out), F.col("_r._rl").alias(languages_out)
+    pre = df.select(*others, F.explode(rows).alias("_r")).select(
+        *[F.when(~F.col("_r._m"), F.col(c)).alias(c) for c in others], "_r.*"
     )
-    return out.dropDuplicates()
+    return _finish_compat(pre, others, countries_out, languages_out)
+
+
+def _finish_compat(pre: DataFrame, others: list[str], countries_out: str, languages_out: str) -> DataFrame:
+    """De-duplicate and give every ``['Unknown']`` row the data-wide language
+    union, reading the input once.
+
+    ``pre`` holds the candidate rows — ``_rc`` (list), ``_rl`` (languages of
+    an own-list row), ``_b`` (an ``['Unknown']`` row) — plus marker rows
+    (``_m``) carrying one routed language each with every other column NULL.
+    The full-row de-duplication (a hash aggregate with a map-side partial
+    step) collapses the markers to one per language, so a language present
+    in every row still costs one row per task.  The union is a one-row
+    aggregate of the de-duplicated markers (the planner reuses the same
+    shuffle instead of re-reading the input), joined back on the ``_b`` flag
+    as a one-row broadcast — an equi-join, not a cross join.
+    """
+    deduped = pre.dropDuplicates()
+    # No filter on either consumer of ``deduped``: a filter on a grouping key
+    # would be pushed below the de-duplication and fork the plan, and the two
+    # consumers could no longer share one shuffle of the input.
+    union = deduped.agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("_m"), F.col("_rl")))))).alias("_u"),
+        F.max("_m").alias("_k"),  # from the data, not a literal: keeps an equi-join
+    )
+    j = deduped.join(F.broadcast(union), deduped["_b"] == union["_k"], "left")
+    out = F.struct(
+        *[F.col(c).alias(c) for c in others],
+        F.col("_rc").alias(countries_out),
+        F.when(F.col("_b"), _none_if_empty(F.col("_u"))).otherwise(F.col("_rl")).alias(languages_out),
+    )
+    # markers leave through a generator (not pushed below the shared shuffle)
+    return j.select(F.inline(F.filter(F.array(out), lambda _: ~F.col("_m"))))
 
 
 def _enrich_with_join(df, info, others, list_col, countries_out, languages_out, mode, unknown, pattern):
@@ -282,23 +313,27 @@ def _enrich_with_join(df, info, others, list_col, countries_out, languages_out,
     unknown_list = F.array(F.lit(unknown))
     is_unknown_list = F.col("_m") == unknown_list
     to_unknown = mapped & (~valid | is_unknown_list)
-    unknown_langs = F.col("_unknown_langs")
-    routed_langs = j.where(to_unknown).select(F.explode("languages").alias("lang")).agg(
-        F.array_sort(F.collect_set("lang"))
-    ).scalar()
     per = j.groupBy(*others, "_m").agg(
         F.max(good & ~is_unknown_list).alias("_own"),
         _sorted_union(F.collect_list(F.when(good, F.col("languages")))).alias("_langs"),
         F.max(to_unknown).alias("_unk"),
-    ).withColumn("_unknown_langs", routed_langs)
-    rows = F.filter(
-        F.array(
-            F.when(F.col("_own"), F.struct(F.col("_m").alias("_rc"), _none_if_empty(F.col("_langs")).alias("_rl"))),
-            F.when(F.col("_unk"), F.struct(unknown_list.alias("_rc"), _none_if_empty(unknown_langs).alias("_rl"))),
+        _sorted_union(F.collect_list(F.when(to_unknown, F.col("languages")))).alias("_routed"),
+    )
+    no_list = F.lit(None).cast("array<string>")
+    rows = F.concat(
+        F.filter(
+            F.array(
+                F.when(F.col("_own"), F.struct(F.col("_m").alias("_rc"), _none_if_empty(F.col("_langs")).alias("_rl"),
+                                               F.lit(False).alias("_b"), F.lit(False).alias("_m"))),
+                F.when(F.col("_unk"), F.struct(unknown_list.alias("_rc"), no_list.alias("_rl"),
+                                               F.lit(True).alias("_b"), F.lit(False).alias("_m"))),
+            ),
+            lambda r: r.isNotNull(),
         ),
-        lambda r: r.isNotNull(),
+        F.transform("_routed", lambda lang: F.struct(no_list.alias("_rc"), F.array(lang).alias("_rl"),
+                                                     F.lit(False).alias("_b"), F.lit(True).alias("_m"))),
     )
-    out = per.select(*others, F.explode(rows).alias("_r")).select(
-        *others, F.col("_r._rc").alias(countries_out), F.col("_r._rl").alias(languages_out)
+    pre = per.select(*others, F.explode(rows).alias("_r")).select(
+        *[F.when(~F.col("_r._m"), F.col(c)).alias(c) for c in others], "_r.*"
     )
-    return out.dropDuplicates()
+    return _finish_compat(pre, others, countries_out, languages_out)
