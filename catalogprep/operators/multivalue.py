@@ -8,8 +8,10 @@ member-info table and, behind a checked row bound, into a single map value
 lookups in a map value scan its keys, hence a bound of ``MAP_LOOKUP_MAX_ROWS``).
 Each title then resolves its own members with higher-order functions —
 no explode / join / group-back round trip and no shuffle except the final
-full-row de-duplication the semantics require.  Above the bound the same
-semantics run as explode -> join -> regroup (shuffle-based).
+full-row de-duplication the semantics require.  The data-wide language
+union of the ``['Unknown']`` rows rides that same de-duplication as marker
+rows, so the input is read once (see :func:`_finish_compat`).  Above the
+bound the same semantics run as explode -> join -> regroup (shuffle-based).
 
 ``mode="compat"`` reproduces the published job exactly:
 
