@@ -45,7 +45,7 @@ REACH_SQL = """reach AS (
     "reach_classification",
     S.with_(PARTS_SQL, REACH_SQL)
     + """SELECT coalesce(movie_type, show_type) AS reach,
-       count_if(type = 'Movie') AS n_movie, count_if(type = 'TV Show') AS n_tv_show
+       count(*) FILTER (WHERE type = 'Movie') AS n_movie, count(*) FILTER (WHERE type = 'TV Show') AS n_tv_show
 FROM reach WHERE coalesce(movie_type, show_type) IS NOT NULL GROUP BY 1""",
 )
 def reach_classification(spark, d):
@@ -336,10 +336,10 @@ def catalog_clean_job(spark, d):
     "catalog_null_profile",
     S.with_(S.TITLES, """agg AS (
   SELECT count(*) AS total_rows,
-         count_if(type IS NOT NULL AND title IS NOT NULL AND date_added IS NOT NULL AND release_year IS NOT NULL
+         count(*) FILTER (WHERE type IS NOT NULL AND title IS NOT NULL AND date_added IS NOT NULL AND release_year IS NOT NULL
                   AND rating IS NOT NULL AND duration IS NOT NULL AND listed_in IS NOT NULL AND description IS NOT NULL
                   AND show_id IS NOT NULL) AS rows_after_drop,
-         """ + ", ".join(f'count_if("{c}" IS NULL) AS n{i}' for i, c in enumerate(
+         """ + ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS n{i}' for i, c in enumerate(
         ["show_id", "type", "title", "director", "cast", "country", "date_added", "release_year", "rating",
          "duration", "listed_in", "description"])) + " FROM titles)")
     + "\n  UNION ALL ".join(

@@ -47,8 +47,8 @@ def two_key_counts(spark, d):
 
 @register(
     "year_type_pivot",
-    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count_if(o_orderstatus = 'F') AS "F",
-       count_if(o_orderstatus = 'O') AS "O", count_if(o_orderstatus = 'P') AS "P", count(*) AS total
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) FILTER (WHERE o_orderstatus = 'F') AS "F",
+       count(*) FILTER (WHERE o_orderstatus = 'O') AS "O", count(*) FILTER (WHERE o_orderstatus = 'P') AS "P", count(*) AS total
 FROM orders GROUP BY 1""",
 )
 def year_type_pivot(spark, d):
@@ -74,7 +74,7 @@ def month_year_pivot(spark, d):
 @register(
     "crosstab",
     "SELECT o_orderstatus, "
-    + ", ".join(f"count_if(o_orderpriority = '{p}') AS \"{p}\"" for p in PRIORITIES)
+    + ", ".join(f"count(*) FILTER (WHERE o_orderpriority = '{p}') AS \"{p}\"" for p in PRIORITIES)
     + " FROM orders GROUP BY 1",
 )
 def crosstab(spark, d):
@@ -107,8 +107,8 @@ def weekday_ordered(spark, d):
 @register(
     "recent_years",
     """WITH piv AS (
-  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count_if(o_orderstatus = 'F') AS "F",
-         count_if(o_orderstatus = 'O') AS "O", count_if(o_orderstatus = 'P') AS "P", count(*) AS total
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) FILTER (WHERE o_orderstatus = 'F') AS "F",
+         count(*) FILTER (WHERE o_orderstatus = 'O') AS "O", count(*) FILTER (WHERE o_orderstatus = 'P') AS "P", count(*) AS total
   FROM orders GROUP BY 1)
 SELECT *, total > 2000 AS labelled FROM piv WHERE year >= (SELECT max(year) FROM piv) - 3""",
 )

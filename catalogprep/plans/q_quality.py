@@ -15,7 +15,7 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 
 
 def _profile_sql(source: str, cols: list[str]) -> str:
-    counts = ", ".join(f"count_if({c} IS NULL) AS n{i}" for i, c in enumerate(cols))
+    counts = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n{i}" for i, c in enumerate(cols))
     parts = "\n  UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, n{i} AS null_count, "
         f"CAST(n{i} AS DOUBLE) * 100.0::DOUBLE / total_rows AS null_pct, total_rows FROM agg"
@@ -56,7 +56,7 @@ def fill_and_drop(spark, d):
 
 def _fill_profile_sql() -> str:
     cols = ORDER_COLS
-    counts = ", ".join(f"count_if({c} IS NULL) AS n{i}" for i, c in enumerate(cols))
+    counts = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n{i}" for i, c in enumerate(cols))
     complete = " AND ".join(f"{c} IS NOT NULL" for c in cols if c not in ORDER_FILL)
     parts = []
     for i, c in enumerate(cols):
@@ -68,7 +68,7 @@ def _fill_profile_sql() -> str:
         )
     body = "\n  UNION ALL ".join(parts)
     return (
-        S.with_(S.ORDERS_WITH_NULLS, f"agg AS (SELECT count(*) AS total_rows, count_if({complete}) AS rows_after_drop, {counts} FROM orders_n)")
+        S.with_(S.ORDERS_WITH_NULLS, f"agg AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE {complete}) AS rows_after_drop, {counts} FROM orders_n)")
         + body
     )
 

@@ -158,7 +158,7 @@ q AS (SELECT event_type, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_c
 f AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi FROM q)
 SELECT f.event_type, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
        min(v) FILTER (WHERE v >= lo AND v <= hi) AS whisker_lo, max(v) FILTER (WHERE v >= lo AND v <= hi) AS whisker_hi,
-       count_if(NOT (v >= lo AND v <= hi)) AS n_outliers
+       count(*) FILTER (WHERE NOT (v >= lo AND v <= hi)) AS n_outliers
 FROM s JOIN f ON s.event_type = f.event_type GROUP BY f.event_type, n, q1, median, q3""",
 )
 def boxplot_stats(spark, d):
