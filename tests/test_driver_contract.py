@@ -66,3 +66,17 @@ def test_no_python_udf_in_any_plan(spark):
         for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
                     "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+def test_result_types_match_oracle(spark, duck):
+    for name, sql in E.oracle_sql().items():
+        df = E.queries()[name](spark, SMALL)
+        rel = duck.sql(sql)
+        duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        for f in df.schema.fields:
+            s = f.dataType.simpleString()
+            assert SPARK_TO_DUCK.get(s, s) == duck_types[f.name], (name, f.name, s, duck_types[f.name])
