@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from catalogprep.functions import dates as D
 from catalogprep.functions import strings as S
