@@ -43,11 +43,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and registered, so ``DataFrame.checkpoint()`` works.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    if not path:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="catalogprep-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - a session may refuse core confs at run time
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
