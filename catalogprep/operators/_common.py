@@ -46,11 +46,14 @@ def bounded_domain(df: DataFrame, column: str, max_values: int) -> list:
     return [r[0] for r in vals]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the source has
-    fewer splits than cores (e.g. one large Parquet row group), before
-    CPU-heavy per-row work such as tokenising whole texts.  A source that is
-    already split at least that finely is returned unchanged, so at scale
-    this adds no shuffle."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread the rows over the cluster's cores when the source has fewer
+    splits than cores (e.g. one large Parquet row group), before CPU-heavy
+    per-row work such as tokenising whole texts.  With ``keys`` the rows are
+    hash-partitioned on them, so later aggregates and windows on those keys
+    reuse the partitioning.  A source that is already split at least that
+    finely is returned unchanged, so at scale this adds no shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)

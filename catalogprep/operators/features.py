@@ -123,7 +123,7 @@ def tfidf(
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     toks = drop_stop_words(tokens(text_col, pattern), stop_words)
     tf = (
-        spread(df.select(id_col, text_col))
+        spread(df.select(id_col, text_col), id_col)
         .select(id_col, F.explode(toks).alias("term"))
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
