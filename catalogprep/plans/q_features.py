@@ -90,7 +90,7 @@ FEATURE_SQL = TFIDF_SQL.replace(
     """, weights AS (SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM w),
 idx AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM terms),
 sparse AS (
-  SELECT doc_id, string_agg(CAST(idx AS VARCHAR) || ':' || printf('%.6f', weight), ' ' ORDER BY idx) AS tfidf
+  SELECT doc_id, string_agg(CAST(idx AS VARCHAR) || ':' || CAST(CAST(weight AS DECIMAL(10,6)) AS VARCHAR), ' ' ORDER BY idx) AS tfidf
   FROM weights JOIN idx ON weights.term = idx.term GROUP BY doc_id),
 fit AS (SELECT avg(CAST(n_chars AS DOUBLE)) AS m, stddev_pop(CAST(n_chars AS DOUBLE)) AS s FROM documents)
 SELECT d.doc_id, """
@@ -109,7 +109,8 @@ def feature_matrix(spark, d):
     feats = FE.document_features(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
     pairs = F.transform(
         F.arrays_zip("tfidf_idx", "tfidf_val"),
-        lambda z: F.concat(z["tfidf_idx"].cast("string"), F.lit(":"), F.format_number(F.round(z["tfidf_val"], 6), 6)),
+        lambda z: F.concat(z["tfidf_idx"].cast("string"), F.lit(":"),
+                           F.round(z["tfidf_val"], 6).cast("decimal(10,6)").cast("string")),
     )
     return feats.select(
         *[c for c in feats.columns if c not in ("n_chars", "tfidf_idx", "tfidf_val")],
