@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogprep.operators._common import BROADCAST_MAX_ROWS, within_rows
+from catalogprep.operators._common import BROADCAST_MAX_ROWS, spread, within_rows
 from catalogprep.sources.readers import read_table
 
 #: Nulls injected identically in Spark and in the oracle (no driver column
@@ -50,7 +50,10 @@ def orders_with_nulls(spark: SparkSession, d: str) -> DataFrame:
 
 def order_country_lists(spark: SparkSession, d: str) -> DataFrame:
     """``o_orderkey, country`` — distinct supplier nations per order."""
-    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
+    # a thin (single row-group) lineitem is spread by order key so the join
+    # and the per-order aggregate run in parallel and the aggregate reuses the
+    # partitioning; an already-split lineitem is left as is
+    li = spread(read_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey"), "l_orderkey")
     su = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     # nation has 25 rows at every scale factor (fixed by the TPC-H schema)
     na = F.broadcast(read_table(spark, d, "nation").select("n_nationkey", "n_name"))
