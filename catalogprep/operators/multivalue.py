@@ -268,22 +268,21 @@ def _finish_compat(pre: DataFrame, others: list[str], countries_out: str, langua
     shuffle instead of re-reading the input), joined back on the ``_b`` flag
     as a one-row broadcast — an equi-join, not a cross join.
     """
-    deduped = pre.dropDuplicates()
-    # No filter on either consumer of ``deduped``: a filter on a grouping key
-    # would be pushed below the de-duplication and fork the plan, and the two
-    # consumers could no longer share one shuffle of the input.
+    # The de-duplication groups on every visible column; the marker flag is
+    # an aggregate output (max), so filters on it are never pushed below the
+    # aggregate, and both consumers below share one shuffle of the input.
+    # (A marker never collides with a real row: its list column is NULL.)
+    deduped = pre.groupBy(*others, "_rc", "_rl", "_b").agg(F.max("_m").alias("_mm"))
     union = deduped.agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("_m"), F.col("_rl")))))).alias("_u"),
-        F.max("_m").alias("_k"),  # from the data, not a literal: keeps an equi-join
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("_mm"), F.col("_rl")))))).alias("_u"),
+        F.max("_mm").alias("_k"),  # from the data, not a literal: keeps an equi-join
     )
     j = deduped.join(F.broadcast(union), deduped["_b"] == union["_k"], "left")
-    out = F.struct(
-        *[F.col(c).alias(c) for c in others],
+    return j.where(~F.col("_mm")).select(
+        *others,
         F.col("_rc").alias(countries_out),
         F.when(F.col("_b"), _none_if_empty(F.col("_u"))).otherwise(F.col("_rl")).alias(languages_out),
     )
-    # markers leave through a generator (not pushed below the shared shuffle)
-    return j.select(F.inline(F.filter(F.array(out), lambda _: ~F.col("_m"))))
 
 
 def _enrich_with_join(df, info, others, list_col, countries_out, languages_out, mode, unknown, pattern):
