@@ -79,11 +79,10 @@ def run(
 ) -> CleanResult:
     """Read, clean, write Parquet (overwrite) and return the read-back table.
 
-    The CSV is scanned by the null profile, by the main pass and (``compat``)
-    by the pass computing the ``['Unknown']`` language union.  CSV cannot
-    prune columns, so with ``stage_input=True`` it is parsed once into
-    Parquet under the shared checkpoint folder and every pass reads only the
-    columns it needs from there.
+    The CSV is scanned twice: by the one-pass null profile and by the
+    cleaning pass.  CSV cannot prune columns, so with ``stage_input=True``
+    it is parsed once into Parquet under the shared checkpoint folder and
+    both passes read only the columns they need from there.
     """
     raw = read_titles_csv(spark, titles_path, multi_line=multi_line)
     if stage_input:
