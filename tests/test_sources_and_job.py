@@ -149,3 +149,22 @@ def test_job_staged_input_same_result(spark, tmp_dir, titles_csv):
     a = run(spark, titles_csv, vpath, lpath, os.path.join(tmp_dir, "a"), multi_line=True)
     b = run(spark, titles_csv, vpath, lpath, os.path.join(tmp_dir, "b"), multi_line=True, stage_input=True)
     assert sorted(map(tuple, a.titles.collect()), key=repr) == sorted(map(tuple, b.titles.collect()), key=repr)
+
+
+def test_generic_readers_and_partitioned_sink(spark, tmp_dir):
+    arr = os.path.join(tmp_dir, "records.json")
+    with open(arr, "w") as f:
+        json.dump([{"a": 1, "b": "x"}, {"a": 2, "b": "y"}], f, indent=2)
+    assert sorted(tuple(r) for r in R.read_json_array(spark, arr, "a int, b string").collect()) == [(1, "x"), (2, "y")]
+    lines = os.path.join(tmp_dir, "lines.txt")
+    with open(lines, "w") as f:
+        f.write("one\ntwo\n")
+    assert [r.word for r in R.read_text_lines(spark, lines, "word").collect()] == ["one", "two"]
+    csv = os.path.join(tmp_dir, "t.csv")
+    with open(csv, "w") as f:
+        f.write("k,v\n1,a\n2,\n")
+    assert [tuple(r) for r in R.read_csv(spark, csv, "k int, v string").collect()] == [(1, "a"), (2, None)]
+    src = spark.createDataFrame([("Movie", 1), ("TV Show", 2), ("Movie", 3)], "type string, n int")
+    back = W.write_parquet(src, os.path.join(tmp_dir, "by_type"), partition_by=["type"])
+    assert sorted((r.type, r.n) for r in back.collect()) == [("Movie", 1), ("Movie", 3), ("TV Show", 2)]
+    assert os.path.isdir(os.path.join(tmp_dir, "by_type", "type=Movie"))
