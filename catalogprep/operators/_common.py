@@ -52,7 +52,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     per-row work such as tokenising whole texts.  With ``keys`` the rows are
     hash-partitioned on them, so later aggregates and windows on those keys
     reuse the partitioning.  A source that is already split at least that
-    finely is returned unchanged, so at scale this adds no shuffle."""
+    finely is returned unchanged, so at scale this adds no shuffle.
+
+    Call it on a table scan, before any shuffle (the query plans do): reading
+    the partition count of an already-shuffled DataFrame would make AQE run
+    that shuffle early.  Library operators therefore never call it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df

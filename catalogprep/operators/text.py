@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogprep.functions.text import CLOUD_TOKEN, ENGLISH_STOP_WORDS, tokens
-from catalogprep.operators._common import spread
 
 
 def cloud_tokens(text_col: str) -> Column:
@@ -36,7 +35,7 @@ def term_freq(df: DataFrame, text_col: str, *, top: int = 200, stop_words=ENGLIS
     """``(term, n, weight)`` for the ``top`` most frequent terms."""
     stop = list(stop_words)
     toks = F.filter(cloud_tokens(text_col), lambda t: ~t.isin(stop))
-    counts = spread(df.select(text_col)).select(F.explode(toks).alias("term")).groupBy("term").agg(
+    counts = df.select(F.explode(toks).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n")
     )
     return _top(counts, "term", top)
@@ -46,7 +45,7 @@ def bigram_freq(df: DataFrame, text_col: str, *, top: int = 200, stop_words=ENGL
     """``(bigram, n, weight)`` for the ``top`` most frequent word pairs."""
     stop = list(stop_words)
     # tokens projected once: the pair expression refers to them three times
-    df = spread(df.select(text_col)).select(cloud_tokens(text_col).alias("_toks"))
+    df = df.select(cloud_tokens(text_col).alias("_toks"))
     toks = F.col("_toks")
     k = F.greatest(F.size(toks) - 1, F.lit(0))
     pairs = F.zip_with(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogprep.functions.text import ENGLISH_STOP_WORDS
 from catalogprep.operators import features as FE
-from catalogprep.operators._common import bounded_domain
+from catalogprep.operators._common import bounded_domain, spread
 from catalogprep.operators.multivalue import member_list
 from catalogprep.plans import oracle_sql as S
 from catalogprep.plans import standins
@@ -78,7 +78,8 @@ SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id))
 
 @register("tfidf", TFIDF_SQL)
 def tfidf(spark, d):
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    # thin scan spread by id: term counts and the per-document norm reuse it
+    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     return FE.tfidf(docs, "doc_id", "text").withColumn("weight", F.round("weight", 6))
 
 
@@ -106,7 +107,8 @@ FROM documents d CROSS JOIN fit LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT J
 def feature_matrix(spark, d):
     """Documents as one feature row each; the sparse TF-IDF row is rendered
     as ``idx:weight`` text (weights to 6 dp) for the oracle comparison."""
-    feats = FE.document_features(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+    docs = spread(read_table(spark, d, "documents"), "doc_id")
+    feats = FE.document_features(docs, read_table(spark, d, "labels"))
     pairs = F.transform(
         F.arrays_zip("tfidf_idx", "tfidf_val"),
         lambda z: F.concat(z["tfidf_idx"].cast("string"), F.lit(":"),

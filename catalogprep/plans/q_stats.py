@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalogprep.operators import distribution as D
 from catalogprep.operators import stats as ST
+from catalogprep.operators._common import spread
 from catalogprep.plans.registry import register
 from catalogprep.sources.readers import read_table
 
@@ -162,7 +163,7 @@ SELECT f.event_type, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3
 FROM s JOIN f ON s.event_type = f.event_type GROUP BY f.event_type, n, q1, median, q3""",
 )
 def boxplot_stats(spark, d):
-    b = D.boxplot_stats(read_table(spark, d, "events"), "event_type", "value")
+    b = D.boxplot_stats(spread(read_table(spark, d, "events").select("event_type", "value")), "event_type", "value")
     return b.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
 
 

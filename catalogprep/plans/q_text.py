@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogprep.operators import text as TX
+from catalogprep.operators._common import spread
 from catalogprep.plans.q_features import STOP_SQL
 from catalogprep.plans.registry import register
 from catalogprep.sources.readers import read_table
@@ -25,7 +26,7 @@ c AS (SELECT term, count(*) AS n FROM (SELECT unnest(t) AS term FROM toks) WHERE
 SELECT term, n, n / max(n) OVER () AS weight FROM c""",
 )
 def term_freq(spark, d):
-    return TX.term_freq(read_table(spark, d, "documents"), "text")
+    return TX.term_freq(spread(read_table(spark, d, "documents").select("text")), "text")
 
 
 @register(
@@ -38,7 +39,7 @@ c AS (SELECT bigram, count(*) AS n FROM p WHERE bigram IS NOT NULL GROUP BY 1 OR
 SELECT bigram, n, n / max(n) OVER () AS weight FROM c""",
 )
 def bigram_freq(spark, d):
-    return TX.bigram_freq(read_table(spark, d, "documents"), "text")
+    return TX.bigram_freq(spread(read_table(spark, d, "documents").select("text")), "text")
 
 
 @register(
