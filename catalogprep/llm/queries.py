@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from catalogprep.llm import license_scan, mixing
+from catalogprep.llm import license_scan, mixing, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
+    "op7_simhash": simhash.query,
     "op10_mixing": mixing.query,
 }
 ORACLE = {
