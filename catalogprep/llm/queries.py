@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from catalogprep.llm import license_scan, mixing, simhash
+from catalogprep.llm import embed_dedup, license_scan, mixing, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
+    "op2_embedding_dedup": embed_dedup.query,
     "op7_simhash": simhash.query,
     "op10_mixing": mixing.query,
 }
