@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from catalogprep.llm import embed_dedup, license_scan, mixing, simhash
+from catalogprep.llm import embed_dedup, license_scan, mixing, quality, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
     "op2_embedding_dedup": embed_dedup.query,
+    "op4_quality": quality.query,
     "op7_simhash": simhash.query,
     "op10_mixing": mixing.query,
 }
