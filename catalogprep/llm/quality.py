@@ -162,7 +162,7 @@ def train(docs: DataFrame, graded: DataFrame, bits: int = BITS, max_train: int =
 
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     rows = (picked.mapInPandas(features, "doc_id long, grade int, ids array<long>").dropDuplicates(["doc_id"])
-            .groupBy(F.lit(1)).applyInPandas(fitted, "weights binary, thresholds binary").collect())
+            .withColumn("all", F.lit(1)).groupBy("all").applyInPandas(fitted, "weights binary, thresholds binary").collect())
     if not rows:
         return Model(np.zeros(1 << bits, np.float32), np.full(1, -40.0, np.float32), bits)
     return Model(np.frombuffer(rows[0].weights, np.float32), np.frombuffer(rows[0].thresholds, np.float32), bits)

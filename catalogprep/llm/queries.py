@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from catalogprep.llm import embed_dedup, license_scan, mixing, quality, simhash
+from catalogprep.llm import embed_dedup, license_scan, mixing, quality, simhash, topk_search
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
     "op2_embedding_dedup": embed_dedup.query,
     "op4_quality": quality.query,
     "op7_simhash": simhash.query,
+    "op9_topk_search": topk_search.query,
     "op10_mixing": mixing.query,
 }
 ORACLE = {
+    "op9_topk_search": topk_search.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
