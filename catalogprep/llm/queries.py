@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from catalogprep.llm import embed_dedup, license_scan, mixing, pieces, quality, simhash, substring, topk_search
+from catalogprep.llm import brown_lm, embed_dedup, license_scan, mixing, pieces, quality, simhash, substring, topk_search
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
     "op2_embedding_dedup": embed_dedup.query,
     "op4_quality": quality.query,
     "op5_sentencepiece": pieces.query,
+    "op6_lm_scoring": brown_lm.query,
     "op7_simhash": simhash.query,
     "op8_substring_dedup": substring.query,
     "op9_topk_search": topk_search.query,
