@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from catalogprep.llm import brown_lm, embed_dedup, license_scan, mixing, pieces, quality, simhash, substring, topk_search
+from catalogprep.llm import brown_lm, embed_dedup, license_scan, mixing, pieces, quality, simhash, substring, token_store, topk_search
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
     "op2_embedding_dedup": embed_dedup.query,
+    "op3_token_store": token_store.query,
     "op4_quality": quality.query,
     "op5_sentencepiece": pieces.query,
     "op6_lm_scoring": brown_lm.query,
