@@ -6,8 +6,8 @@ the fraction, drawn from a hash of a seed and its id, so reruns agree.
 
 Defined results: a null text has size 0; null is a source of its own, ordered last;
 a source without words has target 0 and its documents are not emitted; rows repeated
-with the same id draw the same number; a null id draws as the text 'null'.  Columns of
-the input that clash with the added ones are replaced.
+with the same id draw the same number; a null id draws as the text 'null'; other columns
+do not matter, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from catalogprep.llm._common import SPACED, saved, small_side, text_of
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 SEED = "mix-1"
-ADDED = ("size", "source_size", "target", "copies", "taken")
 
 
 def text_size(text: Column) -> Column:
@@ -57,24 +56,30 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     return table.select("source", "source_size", F.least(F.col("weight") * F.lit(level), cap).alias("target"))
 
 
-def mix_plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
-    """``docs`` with size, source_size, target, copies (how often the mix emits the
-    document) and taken (words taken, repeats counted)."""
-    docs = docs.drop(*ADDED)
-    sized = docs.withColumn("size", text_size(text_of()))
+def _planned(sized: DataFrame, weights, max_repeat: int, seed: str) -> DataFrame:
+    """``sized`` (doc_id, source, size and others) with source_size, target and copies."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sums, weights, max_repeat).withColumnRenamed("source", "__source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate)
     copies = (whole + (draw(F.col("doc_id"), seed) < rate - whole).cast("bigint")).cast("bigint")
     return (sized.join(small_side(targets), F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
-            .withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")))
+            .withColumn("copies", copies))
+
+
+def mix_plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies (how often the mix emits the
+    document) and taken (words taken, repeats counted) of every row."""
+    sized = docs.select("doc_id", "source", text_size(text_of()).alias("size"))
+    return _planned(sized, weights, max_repeat, seed).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as the mix takes it."""
-    plan = mix_plan(docs, weights, max_repeat, seed).where("copies > 0")
-    return plan.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).drop(*ADDED)
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), "doc_id", "source", text_size(text_of()).alias("size"))
+    plan = _planned(rows, weights, max_repeat, seed).where("copies > 0")
+    return (plan.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+            .select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

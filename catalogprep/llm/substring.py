@@ -219,8 +219,9 @@ def _judged_by_counts(contexts: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
-    """(__id, __th, runs): for documents with repeated windows, structs (start, mask) whose
+    """(__id, __th, __runs): for documents with repeated windows, structs (start, mask) whose
     mask's bit i stands for the window that starts i words after start."""
+    docs = docs.select("__id", "__th", "text")
     found = saved(_seed_rows(docs, window), "seeds")
     again = found.groupBy("seed").count().where("count > 1").select("seed")
     listed = (found.join(again, "seed").groupBy("__id", "__th")
@@ -233,7 +234,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard: int = SHARD)
              .unionByName(_judged_by_counts(contexts.join(hot, "seed", "left_semi"), window)))
     masks = saved(masks, "masks")
     return (occurrences.select("__id", "__th", "start", "seed", "cid").join(masks, ["seed", "cid"])
-            .groupBy("__id", "__th").agg(F.collect_set(F.struct("start", "mask")).alias("runs")))
+            .groupBy("__id", "__th").agg(F.collect_set(F.struct("start", "mask")).alias("__runs")))
 
 
 def _kept(words: list[bytes], runs, window: int) -> list[bytes]:
@@ -261,11 +262,10 @@ def remove(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFra
     where something was removed, the text as it was elsewhere.  Documents stay, even if empty."""
     @F.pandas_udf("string")
     def shortened(texts: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([b" ".join(_kept(t.encode().split(), r, window)).decode() for t, r in zip(texts, runs)], dtype=object)
+        return pd.Series([t if r is None else b" ".join(_kept(t.encode().split(), r, window)).decode()
+                          for t, r in zip(texts, runs)], dtype=object)
 
-    both = _with_runs(docs, window, shard)
-    text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(shortened(F.coalesce("text", F.lit("")), F.coalesce("runs", F.array())))
-    return both.withColumn("text", text).select(docs.columns)
+    return _with_runs(docs, window, shard).withColumn("text", shortened("text", "__runs")).select(docs.columns)
 
 
 def digests(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
@@ -273,14 +273,14 @@ def digests(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFr
     def run(batches):
         for b in batches:
             out = []
-            for i, text, runs in zip(b["doc_id"], b["text"], b["runs"]):
+            for i, text, runs in zip(b["doc_id"], b["text"], b["__runs"]):
                 words = (text or "").encode().split()
                 kept = words if runs is None else _kept(words, runs, window)
                 out.append((i, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (_with_runs(docs.select("doc_id", "text"), window, shard).select("doc_id", "text", "runs")
+    return (_with_runs(docs.select("doc_id", "text"), window, shard).select("doc_id", "text", "__runs")
             .mapInPandas(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"))
 
 
