@@ -42,6 +42,7 @@ CLASSES = 64
 ROUNDS = 6
 ALPHA = 0.1
 RESIDENT = 200_000
+NO_ID = -(1 << 63)
 WORD_BYTES = 64  # longer words are joined, not resident
 
 
@@ -67,7 +68,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         def rows():
             words = list(train.keys() | rest.keys())
-            out = pd.DataFrame({"word": words, "c": [train[w] for w in words], "c_all": [train[w] + rest[w] for w in words]})
+            out = pd.DataFrame({"word": pd.Series(words, dtype=object), "c": [train[w] for w in words], "c_all": [train[w] + rest[w] for w in words]})
             train.clear()
             rest.clear()
             return out
@@ -239,12 +240,12 @@ def score(docs: DataFrame, frequent: int = FREQUENT, pools: int = POOLS,
                 rare += [(i, t, 0, 0, 0, 0.0, 0.0, w, n)
                          for w, n in Counter([words[j] for j in np.flatnonzero(c < 0).tolist()]).items()]
                 if len(rare) > 200_000:
-                    yield pd.DataFrame(rare, columns=_COLUMNS)
+                    yield pd.DataFrame(rare, columns=_COLUMNS).astype({"word": object})
                     rare = []
-            yield pd.DataFrame(docs_of + rare, columns=_COLUMNS)
+            yield pd.DataFrame(docs_of + rare, columns=_COLUMNS).astype({"word": object})
 
     # a row's key is its id and a hash of its text; rows that share both have equal results
-    keyed = docs.withColumns({"i": F.col("doc_id").cast("long"), "t": F.xxhash64("text")})
+    keyed = docs.withColumns({"i": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "t": F.xxhash64("text")})
     parts = saved(keyed.select("i", "t", "text").mapInPandas(
         run, "i long, t long, rows long, n_tokens long, n_known long, logs double, moved double, word string, n long"), "scored")
     sums = [F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "logs", "moved")]
@@ -254,7 +255,7 @@ def score(docs: DataFrame, frequent: int = FREQUENT, pools: int = POOLS,
                     (F.log10(F.col("c") + 1.0) * F.col("n")).alias("logs"), F.lit(0.0).alias("moved")))
     whole = (parts.where("word is null").drop("word", "n").unionByName(rare).groupBy("i", "t").agg(*sums)
              # rows that share a key share the sums
-             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))))
+             .withColumn("i", F.nullif("i", F.lit(NO_ID))).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))))
     each = {c: (F.col(c) / F.col("rows")) for c in ("n_tokens", "n_known", "logs", "moved")}
     out = whole.select(F.col("i").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
                        held_out(F.col("i")).alias("held_out"),

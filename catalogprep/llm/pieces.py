@@ -252,25 +252,25 @@ def load(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _parts(b: pd.DataFrame, chars: int = 1 << 22):
-    """The batch in parts of bounded text, as very long texts may stand together."""
-    size = b["text"].str.len().fillna(0).cumsum() // chars
-    return (p for _, p in b.groupby(size, sort=True))
+def _encoded(path: str, texts: pd.Series, chars: int = 1 << 22):
+    """Ids of each text, in parts of bounded text, as very long texts may stand together."""
+    part = texts.str.len().fillna(0).cumsum() // chars
+    for _, p in texts.groupby(part, sort=True):
+        yield from load(path).encode_batch(p.tolist())
 
 
 def encode(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns with n_tokens and ids (array) of every whole text."""
     path = path or model_path()
 
-    def run(batches):
-        for b in batches:
-            for p in _parts(b):
-                ids = load(path).encode_batch(p["text"].tolist())
-                yield p[list(keep)].assign(n_tokens=[len(x) for x in ids], ids=ids)
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        out = pd.Series(index=range(len(texts)), dtype=object)
+        for i, x in enumerate(_encoded(path, texts)):
+            out[i] = x
+        return out
 
-    cols = [c for c in dict.fromkeys([*keep, "text"])]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*cols).mapInPandas(run, f"{schema}, n_tokens long, ids array<int>")
+    return docs.select(*keep, ids("text").alias("ids")).select(*keep, F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 def decode(encoded: DataFrame, path: str | None = None, column: str = "ids") -> DataFrame:
@@ -289,18 +289,15 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     decoded text, and whether it is the text that was encoded, for every row."""
     path = path or model_path()
 
-    def run(batches):
-        for b in batches:
-            for p in _parts(b):
-                model, out = load(path), []
-                for i, t, ids in zip(p["doc_id"], p["text"], model.encode_batch(p["text"].tolist())):
-                    back = model.decode(ids)
-                    out.append((i, len(ids), crc32(ids.tobytes()), len(back), back == (t or "")))
-                yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_crc32", "n_decoded", "exact"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        run, f"doc_id {kind}, n_tokens long, ids_crc32 long, n_decoded long, exact boolean")
+    @F.pandas_udf("n_tokens long, ids_crc32 long, n_decoded long, exact boolean")
+    def trip(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, ids in zip(texts, _encoded(path, texts)):
+            back = load(path).decode(ids)
+            out.append((len(ids), crc32(ids.astype("<i4").tobytes()), len(back), back == (t or "")))
+        return pd.DataFrame(out, columns=["n_tokens", "ids_crc32", "n_decoded", "exact"])
+
+    return docs.select("doc_id", trip("text").alias("t")).select("doc_id", "t.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

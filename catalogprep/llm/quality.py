@@ -172,15 +172,13 @@ def grade(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:
     """doc_id, expected_grade, tail (probability of the top grade), keep for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^bits weights, whatever the input
 
-    def run(batches):
-        for b in batches:
-            m = shared.value
-            tails = m.tails(np.fromiter((m.score(t) for t in b["text"]), np.float64, len(b)))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "expected_grade": tails.sum(axis=1), "tail": tails[:, -1],
-                                "keep": tails[:, -1] >= keep_at})
+    @F.pandas_udf("expected_grade double, tail double, keep boolean")
+    def graded(texts: pd.Series) -> pd.DataFrame:
+        m = shared.value
+        tails = m.tails(np.fromiter((m.score(t) for t in texts), np.float64, len(texts)))
+        return pd.DataFrame({"expected_grade": tails.sum(axis=1), "tail": tails[:, -1], "keep": tails[:, -1] >= keep_at})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, expected_grade double, tail double, keep boolean")
+    return docs.select("doc_id", graded("text").alias("g")).select("doc_id", "g.*")
 
 
 def select(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:

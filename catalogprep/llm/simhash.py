@@ -58,12 +58,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the fingerprint's 64 bits as a signed long)."""
-    def run(batches):
-        for b in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in b["text"]), np.uint64, len(b))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps.view(np.int64)})
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    return docs.select("doc_id", fp("text").alias("fp"))
 
 
 def _masks(blocks: int) -> list[int]:

@@ -170,7 +170,7 @@ def _contexts(docs: DataFrame, window: int) -> DataFrame:
                     context = b" ".join(words[start:start + n + window - 1])
                     out.append((i, th, start, x["seed"], xxhash.xxh64_intdigest(context, 1) - (1 << 63), context.decode()))
             if out:
-                yield pd.DataFrame(out, columns=["__id", "__th", "start", "seed", "cid", "context"])
+                yield pd.DataFrame(out, columns=["__id", "__th", "start", "seed", "cid", "context"]).astype({"context": object})
 
     return docs.select("__id", "__th", "text", "at").mapInPandas(
         run, "__id long, __th long, start int, seed long, cid long, context string")
@@ -270,18 +270,17 @@ def remove(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFra
 
 def digests(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row."""
-    def run(batches):
-        for b in batches:
-            out = []
-            for i, text, runs in zip(b["doc_id"], b["text"], b["__runs"]):
-                words = (text or "").encode().split()
-                kept = words if runs is None else _kept(words, runs, window)
-                out.append((i, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return (_with_runs(docs.select("doc_id", "text"), window, shard).select("doc_id", "text", "__runs")
-            .mapInPandas(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"))
+    @F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
+    def digest(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, r in zip(texts, runs):
+            words = (text or "").encode().split()
+            kept = words if r is None else _kept(words, r, window)
+            out.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+        return pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256"]).astype({"kept_sha256": object})
+
+    both = _with_runs(docs.select("doc_id", "text"), window, shard)
+    return both.select("doc_id", digest("text", "__runs").alias("d")).select("doc_id", "d.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
