@@ -5,23 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Default upper bound (rows) for a side we are willing to broadcast.
-BROADCAST_MAX_ROWS = 100_000
+#: Default upper bound (estimated bytes) for a side we are willing to broadcast.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """Row count (one job, summed over tasks) times the schema's default row width."""
+    rows = df.agg(F.count(F.lit(1))).first()[0]
+    return rows * max(8, df._jdf.schema().defaultSize())
 
-    Runs one small job that stops reading after ``max_rows + 1`` rows, so the
-    check itself is bounded however large ``df`` is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Hint a broadcast only behind a checked size; otherwise leave the join
-    to the planner (sort-merge, or AQE's runtime broadcast/skew handling)."""
-    return F.broadcast(df) if within_rows(df, max_rows) else df
+    to the planner (sort-merge, or AQE's runtime broadcast/skew handling).
+    Give a table that is already written, as the check counts its rows."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def require_columns(df: DataFrame, columns) -> None:
@@ -30,15 +28,13 @@ def require_columns(df: DataFrame, columns) -> None:
         raise ValueError(f"unknown column(s) {missing}; available: {df.columns}")
 
 
-def bounded_domain(df: DataFrame, column: str, max_values: int) -> list:
-    """Sorted distinct non-null values of ``column`` for a pivot/one-hot
-    domain.  Raises when there are more than ``max_values`` — wide output is
-    only built for bounded domains (use the long form otherwise)."""
-    vals = (
-        df.where(F.col(column).isNotNull()).select(column).distinct()
-        .orderBy(column).limit(max_values + 1).collect()
-    )
-    if len(vals) > max_values:
+def bounded_domain(df: DataFrame, column: str, max_values: int | None = None) -> list:
+    """Sorted distinct non-null values of ``column``: the columns of a pivot or
+    a one-hot table, which the driver must know.  With ``max_values`` a wider
+    domain raises; the long-form operators need no domain."""
+    found = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+    vals = (found if max_values is None else found.limit(max_values + 1)).collect()
+    if max_values is not None and len(vals) > max_values:
         raise ValueError(
             f"column {column!r} has more than {max_values} distinct values; "
             "use the long-form operator instead of a wide one"
@@ -46,17 +42,21 @@ def bounded_domain(df: DataFrame, column: str, max_values: int) -> list:
     return [r[0] for r in vals]
 
 
+#: Tables above this size are never spread: their splits are the parallelism.
+SPREAD_MAX_BYTES = 2 << 30
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread the rows over the cluster's cores when the source has fewer
-    splits than cores (e.g. one large Parquet row group), before CPU-heavy
-    per-row work such as tokenising whole texts.  With ``keys`` the rows are
-    hash-partitioned on them, so later aggregates and windows on those keys
-    reuse the partitioning.  A source that is already split at least that
-    finely is returned unchanged, so at scale this adds no shuffle.
-
-    Call it on a table scan, before any shuffle (the query plans do): reading
-    the partition count of an already-shuffled DataFrame would make AQE run
-    that shuffle early.  Library operators therefore never call it."""
+    """Spread the rows of a **small** scan over the cores when its file has
+    fewer splits than cores (e.g. one Parquet row group of some megabytes),
+    before CPU-heavy per-row work such as tokenising texts.  With ``keys`` the
+    rows are hash-partitioned on them, so later aggregates reuse it.  Scans of
+    over ``SPREAD_MAX_BYTES`` (the planner's file-size estimate) and scans with
+    enough splits are returned unchanged: a large table is never shuffled.
+
+    Call it on a table scan (the query plans do); operators never call it."""
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_MAX_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df

@@ -40,7 +40,8 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(float(bins))
-    return F.broadcast(all_bins).join(counts, "bin", "left").select(
+    # both sides have at most ``bins`` rows; the planner picks the join
+    return all_bins.join(counts, "bin", "left").select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_lo"),
         (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
@@ -59,35 +60,36 @@ def kde_grid(
     """Gaussian kernel density on an even grid, ``(i, x, density)``.
 
     Bandwidth is Scott's rule (``std * n ** -0.2``, sample std); the grid
-    spans ``[min - cut*bw, max + cut*bw]``.  Work is bounded by
-    ``distinct values x points``: values are first collapsed to
-    ``(value, weight)`` by a partial aggregate, and each distinct value emits
-    its contribution to the fixed-size grid.  ``prebin`` (optional) snaps
-    values to that many even bins first — an approximation for columns with
-    very many distinct values.
+    spans ``[min - cut*bw, max + cut*bw]``.  Every value adds its
+    contribution to the grid points inside its own task (a partial aggregate
+    of ``points`` groups), so no value is shuffled: a task sends ``points``
+    numbers.  ``prebin`` (optional) snaps values to that many even
+    bins first.  A constant or one-row column has no bandwidth: its grid
+    points all lie at the value and their density is NULL; an empty column
+    gives no rows.
     """
     src = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
     st = src.agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
     n = st.select("n").scalar()
-    bw = st.select(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
+    bw = st.select(F.coalesce(F.col("sd"), F.lit(0.0)) * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
     lo = st.select("lo").scalar()
     hi = st.select("hi").scalar()
-    g_lo = lo - F.lit(cut) * bw
-    g_hi = hi + F.lit(cut) * bw
-    step = (g_hi - g_lo) / F.lit(float(points - 1))
     v = F.col("v")
     if prebin:
         width = (hi - lo) / F.lit(float(prebin))
         v = F.when(width > 0, lo + (bin_index(v, lo, hi, prebin) + F.lit(0.5)) * width).otherwise(v)
-    weights = src.select(v.alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    grid = weights.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    gx = g_lo + F.col("i") * step
-    contrib = F.col("w") * F.exp(F.lit(-0.5) * F.pow((gx - F.col("v")) / bw, F.lit(2.0)))
+    # one value per row beside the (constant) grid; NULL where there is no bandwidth
+    rows = src.select(v.alias("v"), F.nullif(bw, F.lit(0.0)).alias("bw"), (lo - F.lit(cut) * bw).alias("g_lo"),
+                      ((hi - lo + F.lit(2 * cut) * bw) / F.lit(float(points - 1))).alias("step"))
+    each = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    z = (F.col("g_lo") + F.col("i") * F.col("step") - F.col("v")) / F.col("bw")
+    sums = each.groupBy("i").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_s"))
+    g_lo, step = lo - F.lit(cut) * bw, (hi - lo + F.lit(2 * cut) * bw) / F.lit(float(points - 1))
     norm = n * bw * F.lit(math.sqrt(2.0 * math.pi))
-    return grid.groupBy("i").agg(F.sum(contrib).alias("_s")).select(
-        "i", (g_lo + F.col("i") * step).alias("x"), (F.col("_s") / norm).alias("density")
+    return sums.select(
+        "i", (g_lo + F.col("i") * step).alias("x"), F.try_divide(F.col("_s"), norm).alias("density")
     )
 
 
@@ -150,7 +152,9 @@ def pair_binned_counts(df: DataFrame, columns: list[str], *, bins: int = 20) ->
     one scan: each row emits one cell per pair (a fixed number per row) and
     a partial aggregate counts cells.  Rows missing either value of a pair
     are left out of that pair only."""
-    lo_hi = {c: _edges(df.where(F.col(c).isNotNull()), c) for c in columns}
+    # min and max leave nulls out by themselves: the same unfiltered input for
+    # every column lets the planner merge all extremes into one aggregate
+    lo_hi = {c: _edges(df, c) for c in columns}
     cells = []
     for i, a in enumerate(columns):
         for b in columns[i + 1:]:

@@ -3,8 +3,9 @@ calendar features.
 
 Fit steps are small aggregates (label domains, mean/std, vocabulary with
 document frequencies); transform steps are projections or joins against
-those bounded tables.  Wide indicator columns are built only for bounded
-domains; the long ``(id, feature, value)`` forms have no such limit.
+those tables.  Wide indicator columns are for domains that fit a schema (pass
+the values, or they are read from the data); the long ``(id, feature, value)``
+forms take any domain.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from catalogprep.functions.dates import date_int_parts
 from catalogprep.functions.text import ENGLISH_STOP_WORDS, WORD_TOKEN, drop_stop_words, tokens
 from catalogprep.operators._common import bounded_domain
 
-MAX_INDICATORS = 1_000
-
 
 def one_hot(
     df: DataFrame,
@@ -26,7 +25,7 @@ def one_hot(
     prefix: str | None = None,
     values=None,
     drop: bool = True,
-    max_values: int = MAX_INDICATORS,
+    max_values: int | None = None,
 ) -> DataFrame:
     """``pd.get_dummies(columns=[c], prefix=c, dtype=int)``: one int column per
     value (sorted), NULL -> all zeros, no level dropped."""
@@ -53,7 +52,7 @@ def multi_hot(
     prefix: str | None = None,
     values=None,
     drop: bool = True,
-    max_values: int = MAX_INDICATORS,
+    max_values: int | None = None,
 ) -> DataFrame:
     """``MultiLabelBinarizer``: one int column per label (labels sorted)."""
     if values is None:
@@ -124,6 +123,9 @@ def tfidf(
     toks = drop_stop_words(tokens(text_col, pattern), stop_words)
     tf = (
         df.select(id_col, F.explode(toks).alias("term"))
+        # the join below would add this filter to its branch only; with it in
+        # both, the two uses of the counts are one plan and one shuffle
+        .where(F.col("term").isNotNull())
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -166,11 +168,41 @@ def document_features(
     base = standard_scale(base, list(numeric))
     if labels is not None:
         base = base.join(labels, id_col, "left")
-    weights = tfidf(docs.select(id_col, text_col), id_col, text_col, max_features=max_features, index_col="idx")
+    return base.join(sparse_text(docs, id_col, text_col, max_features), id_col, "left")
+
+
+def sparse_text(df: DataFrame, id_col: str, text_col: str, max_features: int = 5_000) -> DataFrame:
+    """One sparse TF-IDF row per id: ``tfidf_idx`` / ``tfidf_val``, aligned, in
+    vocabulary order (at most ``max_features`` entries)."""
+    weights = tfidf(df.select(id_col, text_col), id_col, text_col, max_features=max_features, index_col="idx")
     pair = F.struct(F.col("idx").alias("i"), F.col("weight").alias("w"))
-    sparse = (
+    return (
         weights.groupBy(id_col)
         .agg(F.array_sort(F.collect_list(pair)).alias("_p"))
         .select(id_col, F.col("_p.i").alias("tfidf_idx"), F.col("_p.w").alias("tfidf_val"))
     )
-    return base.join(sparse, id_col, "left")
+
+
+def title_features(
+    titles: DataFrame,
+    *,
+    categorical: dict[str, list],
+    lists: dict[str, list],
+    id_col: str = "show_id",
+    numeric: tuple[str, ...] = ("movie_duration", "seasons", "release_year"),
+    text_col: str = "description",
+    date_col: str = "added_date",
+    max_features: int = 5_000,
+) -> DataFrame:
+    """The feature chain over the clean titles table, keyed by ``id_col`` (one
+    row per title): one-hot ``categorical`` and multi-hot ``lists`` columns for
+    the values given, scaled ``numeric`` columns, calendar parts of the date,
+    and the sparse TF-IDF row of the text.  A NULL label or date gives zeros or
+    NULL parts; titles without a kept term have NULL TF-IDF arrays."""
+    base = titles.select(id_col, *categorical, *lists, date_col, *[F.col(c).cast("double").alias(c) for c in numeric])
+    for c, values in categorical.items():
+        base = one_hot(base, c, values=values)
+    for c, values in lists.items():
+        base = multi_hot(base, c, values=values)
+    base = calendar_features(standard_scale(base, list(numeric)), date_col)
+    return base.join(sparse_text(titles, id_col, text_col, max_features), id_col, "left")

@@ -38,7 +38,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogprep.functions.strings import LIST_SEPARATOR, split_list, strip_leading_comma
-from catalogprep.operators._common import BROADCAST_MAX_ROWS, maybe_broadcast, within_rows
 
 UNKNOWN = "Unknown"
 
@@ -86,13 +85,12 @@ def invalid_members(
     *,
     member_col: str = "country",
     valid_col: str = "country",
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Distinct members with no match in the valid list (left anti join; a
     NULL member never matches, so it is reported too).  Stays distributed:
     distinct first (partial aggregation), then the anti join."""
     members = exploded.select(F.col(member_col).alias(member_col)).distinct()
-    valid = maybe_broadcast(_distinct_valid(valid_df, valid_col), max_broadcast_rows)
+    valid = _distinct_valid(valid_df, valid_col)
     return members.join(valid, members[member_col] == valid["_valid_name"], "left_anti")
 
 
@@ -106,16 +104,13 @@ def flag_invalid_members(
     valid_col: str = "country",
     unknown: str = UNKNOWN,
     drop_lists: bool = True,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Per exploded row: ``['Unknown']`` when the member is not valid, else
     the whole original list (a NULL member keeps its list, as ``isin`` with
     a NULL result falls to the ``otherwise`` branch).  The list is joined as
     a left-join flag, not collected to the driver."""
-    valid = maybe_broadcast(
-        _distinct_valid(valid_df, valid_col).withColumn("_is_valid", F.lit(True)),
-        max_broadcast_rows,
-    )
+    # the planner (or AQE, by bytes at run time) decides on a broadcast
+    valid = _distinct_valid(valid_df, valid_col).withColumn("_is_valid", F.lit(True))
     joined = exploded.join(valid, exploded[member_col] == valid["_valid_name"], "left")
     bad = F.col(member_col).isNotNull() & F.col("_is_valid").isNull()
     out = joined.withColumn(
@@ -149,7 +144,7 @@ def member_lookup(
         .agg(
             F.max("_v").alias("is_valid"),
             F.max("_m").alias("is_mapped"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("_l")))).alias("languages"),
+            _sorted_union(F.collect_list("_l")).alias("languages"),
         )
     )
 
@@ -161,7 +156,8 @@ def _lookup_map(info: DataFrame) -> Column:
 
 
 def _sorted_union(arrays: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.flatten(arrays)))
+    """Distinct non-null elements of all the arrays, sorted (a null language is no language)."""
+    return F.array_sort(F.array_distinct(F.array_compact(F.flatten(arrays))))
 
 
 def _none_if_empty(a: Column) -> Column:
@@ -190,7 +186,9 @@ def enrich_languages(
     ``languages_out`` (both ``array<string>``); see the module docstring for
     the two modes.  ``compat`` ends with a full-row de-duplication.
     ``max_lookup_rows`` bounds the member table resolved per row from a map
-    value; above it the shuffle-join path runs (same results).
+    value; above it the shuffle-join path runs.  Both paths give the same rows:
+    a NULL list stays NULL in both outputs of ``keep_all`` and has no row in
+    ``compat``; NULL languages of the lookup are left out.
     """
     if mode not in ("compat", "keep_all"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -198,7 +196,7 @@ def enrich_languages(
         valid_df, lang_map_df, valid_col=valid_col, country_col=country_col, languages_col=languages_col
     )
     others = [c for c in df.columns if c != list_col]
-    if within_rows(info, max_lookup_rows):
+    if info.agg(F.count(F.lit(1))).first()[0] <= max_lookup_rows:
         return _enrich_with_map(df, info, others, list_col, countries_out, languages_out, mode, unknown, pattern)
     return _enrich_with_join(df, info, others, list_col, countries_out, languages_out, mode, unknown, pattern)
 
@@ -274,7 +272,7 @@ def _finish_compat(pre: DataFrame, others: list[str], countries_out: str, langua
     # (A marker never collides with a real row: its list column is NULL.)
     deduped = pre.groupBy(*others, "_rc", "_rl", "_b").agg(F.max("_m").alias("_mm"))
     union = deduped.agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("_mm"), F.col("_rl")))))).alias("_u"),
+        _sorted_union(F.collect_list(F.when(F.col("_mm"), F.col("_rl")))).alias("_u"),
         F.max("_mm").alias("_k"),  # from the data, not a literal: keeps an equi-join
     )
     j = deduped.join(F.broadcast(union), deduped["_b"] == union["_k"], "left")
@@ -307,7 +305,8 @@ def _enrich_with_join(df, info, others, list_col, countries_out, languages_out,
         return per.select(
             *others,
             cleaned.alias(countries_out),
-            F.col(languages_out),
+            # a NULL list has no languages to speak of: NULL, as on the map path
+            F.when(F.col("_m").isNotNull(), F.col(languages_out)).alias(languages_out),
             F.explode(F.array_repeat(F.lit(0), (F.col("_n") / copies).cast("int"))).alias("_k"),
         ).drop("_k")
 

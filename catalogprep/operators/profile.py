@@ -1,9 +1,10 @@
 """Counts, pivots, contingency tables, shares and top-N — long form first.
 
 pandas drops NULL keys in ``value_counts`` / ``groupby`` / ``crosstab``;
-these operators do the same explicitly.  Wide (pivoted) output is built only
-for bounded domains: either pass the values, or they are read from the data
-behind a bound check.  Every aggregate is a hash aggregate with a map-side
+these operators do the same explicitly.  The long form (``group_counts``) takes
+any domain.  Wide (pivoted) output has a column per value: pass the values, or
+they are read from the data; a caller may set ``max_values`` to be told of a
+domain wider than expected, by default there is no cap.  Every aggregate is a hash aggregate with a map-side
 partial step, so a hot key costs one partial row per task, not a hot task.
 """
 
@@ -14,8 +15,6 @@ from pyspark.sql import functions as F
 
 from catalogprep.operators._common import bounded_domain
 
-MAX_PIVOT_VALUES = 1_000
-
 
 def _not_null(df: DataFrame, *cols: str) -> DataFrame:
     cond = F.lit(True)
@@ -46,7 +45,7 @@ def group_counts(df: DataFrame, *keys: str, count_col: str = "count") -> DataFra
     return _not_null(df, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
 
 
-def _domain(df: DataFrame, column: str, values, max_values: int):
+def _domain(df: DataFrame, column: str, values, max_values: int | None):
     return list(values) if values is not None else bounded_domain(df, column, max_values)
 
 
@@ -57,12 +56,12 @@ def pivot_counts(
     *,
     values=None,
     total_col: str | None = "total",
-    max_values: int = MAX_PIVOT_VALUES,
+    max_values: int | None = None,
 ) -> DataFrame:
     """``groupby([row, column]).size().unstack().fillna(0)`` (+ row totals).
 
     One aggregate: a ``count_if`` per pivot value; the value list is taken
-    from ``values`` or read from the data behind a ``max_values`` check.
+    from ``values`` or read from the data.
     """
     vals = _domain(df, column, values, max_values)
     src = _not_null(df, row, column)
@@ -72,7 +71,7 @@ def pivot_counts(
     return src.groupBy(row).agg(*aggs)
 
 
-def crosstab(df: DataFrame, row: str, column: str, *, values=None, max_values: int = MAX_PIVOT_VALUES) -> DataFrame:
+def crosstab(df: DataFrame, row: str, column: str, *, values=None, max_values: int | None = None) -> DataFrame:
     """Contingency table (``pd.crosstab``): counts, missing cells 0, NULL
     keys dropped.  Unlike ``DataFrame.stat.crosstab`` nothing is collected."""
     return pivot_counts(df, row, column, values=values, total_col=None, max_values=max_values)
@@ -85,7 +84,7 @@ def pivot_sum(
     value: str,
     *,
     values=None,
-    max_values: int = MAX_PIVOT_VALUES,
+    max_values: int | None = None,
     fill: float | int | None = 0,
 ) -> DataFrame:
     """Pivot a long table: ``pivot(index, columns, values).fillna(0)``."""
@@ -104,9 +103,10 @@ def row_share(df: DataFrame, row: str, column: str, *, count_col: str = "n", sha
 
 def percent_share(df: DataFrame, column: str, *, count_col: str = "n", pct_col: str = "pct") -> DataFrame:
     """Counts per value and their percentage of all counted rows.  The grand
-    total is a scalar subquery, not a window over one partition."""
+    total is the sum of the counts (a scalar subquery over the same aggregate,
+    so the table is read once), not a window over one partition."""
     counts = value_counts(df, column, count_col=count_col, sort="none")
-    total = _not_null(df, column).agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum(count_col)).scalar()
     return counts.withColumn(pct_col, F.col(count_col) * F.lit(100.0) / total)
 
 
@@ -119,10 +119,10 @@ def reindex(
 ) -> DataFrame:
     """Align to a canonical category order (months, weekdays): every label
     appears once, a label absent from ``df`` gets NULL measures.  The label
-    dimension is a small literal table joined by broadcast."""
+    dimension is a small literal table; the planner picks the join."""
     spark = df.sparkSession
     dim = spark.createDataFrame(list(enumerate(order)), f"{ord_col} int, {key} string")
-    return F.broadcast(dim).join(df, key, "left")
+    return dim.join(df, key, "left")
 
 
 def top_n(df: DataFrame, column: str, n: int, *, count_col: str = "n") -> DataFrame:

@@ -2,7 +2,7 @@
 
 The reference profiles nulls with one job per column (two profiles over 12
 columns = 24 jobs).  Here a profile is one aggregate pass: ``count_if`` per
-column in a single ``agg``, then ``unpivot`` of that one-row result.
+column in a single ``agg``, then one row per column from that one-row result.
 """
 
 from __future__ import annotations
@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 from catalogprep.operators._common import require_columns
 
 
+def _per_column(wide: DataFrame, kept: list[str], entries: list) -> DataFrame:
+    """One row per profiled column from a one-row aggregate: the position and the
+    fields of each entry (a struct), exploded together, so that no expression has to
+    cut a position out of a name."""
+    return wide.select(*kept, F.posexplode(F.array(*entries)).alias("position", "e")).select("position", "e.*", *kept)
+
+
 def _pct(n, total):
     return F.try_divide(n * F.lit(100.0), total)
 
@@ -27,18 +34,16 @@ def null_profile(df: DataFrame, columns: list[str] | None = None, *, decimals: i
         F.count(F.lit(1)).alias("total_rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
     )
-    long = wide.unpivot(
-        ["total_rows"], [f"n{i}" for i in range(len(cols))], "slot", "null_count"
-    )
-    pos = F.substring("slot", 2, 10).cast("int")
-    names = F.array(*[F.lit(c) for c in cols])
+    long = _per_column(wide, ["total_rows"], [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count")) for i, c in enumerate(cols)
+    ])
     pct = _pct(F.col("null_count"), F.col("total_rows"))
     return long.select(
-        pos.alias("position"),
-        F.element_at(names, pos + 1).alias("column_name"),
-        F.col("null_count"),
+        "position",
+        "column_name",
+        "null_count",
         (F.round(pct, decimals) if decimals is not None else pct).alias("null_pct"),
-        F.col("total_rows"),
+        "total_rows",
     )
 
 
@@ -61,22 +66,20 @@ def fill_profile(df: DataFrame, fill: dict[str, object], columns: list[str] | No
         F.count_if(complete).alias("rows_after_drop"),
         *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
     )
-    long = wide.unpivot(
-        ["total_rows", "rows_after_drop"], [f"n{i}" for i in range(len(cols))], "slot", "null_count"
-    )
-    pos = F.substring("slot", 2, 10).cast("int")
-    names = F.array(*[F.lit(c) for c in cols])
-    filled = F.array(*[F.lit(c in fill) for c in cols])
-    after = F.when(F.element_at(filled, pos + 1), F.lit(0).cast("bigint")).otherwise(F.col("null_count"))
+    long = _per_column(wide, ["total_rows", "rows_after_drop"], [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"),
+                 (F.lit(0).cast("bigint") if c in fill else F.col(f"n{i}")).alias("nulls_after_fill"))
+        for i, c in enumerate(cols)
+    ])
     return long.select(
-        pos.alias("position"),
-        F.element_at(names, pos + 1).alias("column_name"),
-        F.col("null_count"),
+        "position",
+        "column_name",
+        "null_count",
         _pct(F.col("null_count"), F.col("total_rows")).alias("null_pct"),
-        after.alias("nulls_after_fill"),
-        _pct(after, F.col("total_rows")).alias("pct_after_fill"),
-        F.col("total_rows"),
-        F.col("rows_after_drop"),
+        "nulls_after_fill",
+        _pct(F.col("nulls_after_fill"), F.col("total_rows")).alias("pct_after_fill"),
+        "total_rows",
+        "rows_after_drop",
     )
 
 
@@ -128,16 +131,10 @@ def schema_report(df: DataFrame) -> DataFrame:
     non_null_count`` — types from the schema, counts in one pass."""
     fields = df.schema.fields
     wide = df.agg(*[F.count(F.col(f.name)).alias(f"n{i}") for i, f in enumerate(fields)])
-    long = wide.unpivot([], [f"n{i}" for i in range(len(fields))], "slot", "non_null_count")
-    pos = F.substring("slot", 2, 10).cast("int")
-    names = F.array(*[F.lit(f.name) for f in fields])
-    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
-    return long.select(
-        pos.alias("position"),
-        F.element_at(names, pos + 1).alias("column_name"),
-        F.element_at(types, pos + 1).alias("data_type"),
-        F.col("non_null_count"),
-    )
+    return _per_column(wide, [], [
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.col(f"n{i}").alias("non_null_count")) for i, f in enumerate(fields)
+    ])
 
 
 def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:

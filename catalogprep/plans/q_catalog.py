@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogprep.functions.dates import age_in_years, date_int_parts, date_text_parts, parse_text_date
-from catalogprep.functions.strings import first_number, to_int
+from catalogprep.functions.strings import first_number, split_literal, to_int
 from catalogprep.operators import classify as C
 from catalogprep.operators import multivalue as M
 from catalogprep.operators.stats import exact_quantiles, quantile_columns
+from catalogprep.operators.features import calendar_features
 from catalogprep.operators.quality import fill_nulls
 from catalogprep.plans import oracle_sql as S
 from catalogprep.plans import standins
-from catalogprep.plans.catalog_job import clean_titles
+from catalogprep.plans.catalog_job import clean_titles, run
 from catalogprep.plans.registry import register, render
+from catalogprep.session import scratch_path
+from catalogprep.sources import writers as W
 from catalogprep.sources.readers import read_table
 
 # --------------------------------------------------------------------------
@@ -313,8 +316,7 @@ result AS (
   FROM joined j LEFT JOIN langs l ON l.country_clean = j.country_clean)"""
 
 
-@register(
-    "catalog_clean_job",
+CLEAN_JOB_SQL = (
     S.with_(S.TITLES, S.VALID, S.LANG_MAP, JOB_SQL)
     + """SELECT show_id, type, title, director, "cast", date_added, TRY_CAST(release_year AS INTEGER) AS release_year, rating,
        CASE WHEN type = 'Movie' THEN TRY_CAST(regexp_replace(duration, ' min', '', 'g') AS INTEGER) END AS movie_duration,
@@ -323,7 +325,13 @@ result AS (
        array_to_string(released_languages, ', ') AS released_languages, movie_type, show_type,
        array_to_string(genres, ', ') AS genres, added_date, strftime(added_date, '%Y') AS year,
        strftime(added_date, '%B') AS month, strftime(added_date, '%-d') AS day, strftime(added_date, '%A') AS day_of_week
-FROM result""",
+FROM result"""
+)
+
+
+@register(
+    "catalog_clean_job",
+    CLEAN_JOB_SQL,
 )
 def catalog_clean_job(spark, d):
     res = clean_titles(
@@ -332,8 +340,7 @@ def catalog_clean_job(spark, d):
     return res.titles.withColumns({c: render(c) for c in ("released_countries", "released_languages", "genres")})
 
 
-@register(
-    "catalog_null_profile",
+CLEAN_PROFILE_SQL = (
     S.with_(S.TITLES, """agg AS (
   SELECT count(*) AS total_rows,
          count(*) FILTER (WHERE type IS NOT NULL AND title IS NOT NULL AND date_added IS NOT NULL AND release_year IS NOT NULL
@@ -350,10 +357,68 @@ def catalog_clean_job(spark, d):
         + " / total_rows AS pct_after_fill, total_rows, rows_after_drop FROM agg"
         for i, c in enumerate(["show_id", "type", "title", "director", "cast", "country", "date_added",
                                "release_year", "rating", "duration", "listed_in", "description"])
-    ),
+    )
+)
+
+
+@register(
+    "catalog_null_profile",
+    CLEAN_PROFILE_SQL,
 )
 def catalog_null_profile(spark, d):
     res = clean_titles(
         standins.titles_from_orders(spark, d), standins.valid_nations(spark, d), standins.nation_languages(spark, d)
     )
     return res.null_profile
+
+
+def _job_from_files(spark, d):
+    """The job as users run it: a titles CSV, a list of valid countries and a JSON array of
+    records are written and read back by ``run``, whose Parquet output is read back too."""
+    base = scratch_path(spark, "catalog-job")
+    W.write_csv(standins.titles_from_orders(spark, d), f"{base}/titles")
+    W.write_valid_countries(standins.valid_nations(spark, d), f"{base}/valid", header=True)
+    W.write_language_map(standins.nation_languages(spark, d), f"{base}/languages", shape="array")
+    return run(spark, f"{base}/titles", f"{base}/valid", f"{base}/languages", f"{base}/clean")
+
+
+@register("job_from_files", CLEAN_JOB_SQL)
+def job_from_files(spark, d):
+    res = _job_from_files(spark, d)
+    return res.titles.withColumns({c: render(c) for c in ("released_countries", "released_languages", "genres")})
+
+
+@register("job_load_profile", CLEAN_PROFILE_SQL)
+def job_load_profile(spark, d):
+    return _job_from_files(spark, d).null_profile
+
+
+@register(
+    "language_enrich_joined",
+    S.with_(S.TITLES, S.VALID, S.LANG_MAP, SPLIT_SQL, COMPAT_SQL)
+    + """SELECT show_id, array_to_string(released_countries, ', ') AS released_countries,
+       array_to_string(released_languages, ', ') AS released_languages FROM enriched""",
+)
+def language_enrich_joined(spark, d):
+    """The path for lookups too large for one value per row; same rows."""
+    out = M.enrich_languages(_order_lists(spark, d), standins.valid_nations(spark, d),
+                             standins.nation_languages(spark, d), mode="compat", max_lookup_rows=0)
+    return out.select("show_id", render("released_countries").alias("released_countries"),
+                      render("released_languages").alias("released_languages"))
+
+
+@register(
+    "literal_split_calendar",
+    """SELECT o_orderkey, o_orderstatus AS first_part, o_orderpriority AS second_part,
+       CAST(year(o_orderdate) AS INTEGER) AS added_year, CAST(month(o_orderdate) AS INTEGER) AS added_month,
+       CAST(day(o_orderdate) AS INTEGER) AS added_day, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS added_dayofweek
+FROM orders""",
+)
+def literal_split_calendar(spark, d):
+    """A literal separator with regex signs, and calendar features of ISO date text."""
+    o = read_table(spark, d, "orders").select(
+        "o_orderkey", F.concat("o_orderstatus", F.lit(" .* "), "o_orderpriority").alias("both"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("added"))
+    parts = split_literal("both", " .* ")
+    out = calendar_features(o.withColumns({"first_part": parts[0], "second_part": parts[1]}), "added")
+    return out.drop("both")

@@ -10,6 +10,8 @@ from catalogprep.operators._common import bounded_domain, spread
 from catalogprep.operators.multivalue import member_list
 from catalogprep.plans import oracle_sql as S
 from catalogprep.plans import standins
+from catalogprep.plans.catalog_job import clean_titles
+from catalogprep.plans.q_catalog import JOB_SQL, KEEP_ALL_SQL, SPLIT_SQL
 from catalogprep.plans.registry import register
 from catalogprep.sources.readers import read_table
 
@@ -38,7 +40,7 @@ def one_hot(spark, d):
 def multi_hot(spark, d):
     lists = standins.order_country_lists(spark, d).select("o_orderkey", member_list("country").alias("countries"))
     # the label universe is the nation dimension (bounded), not the labels seen
-    labels = bounded_domain(read_table(spark, d, "nation"), "n_name", FE.MAX_INDICATORS)
+    labels = bounded_domain(read_table(spark, d, "nation"), "n_name")
     return FE.multi_hot(lists, "countries", values=labels)
 
 
@@ -109,13 +111,92 @@ def feature_matrix(spark, d):
     as ``idx:weight`` text (weights to 6 dp) for the oracle comparison."""
     docs = spread(read_table(spark, d, "documents"), "doc_id")
     feats = FE.document_features(docs, read_table(spark, d, "labels"))
+    return feats.select(
+        *[c for c in feats.columns if c not in ("n_chars", "tfidf_idx", "tfidf_val")],
+        F.round("n_chars", 6).alias("n_chars"),
+        _sparse_as_text().alias("tfidf"),
+    )
+
+
+def _sparse_as_text():
     pairs = F.transform(
         F.arrays_zip("tfidf_idx", "tfidf_val"),
         lambda z: F.concat(z["tfidf_idx"].cast("string"), F.lit(":"),
                            F.round(z["tfidf_val"], 6).cast("decimal(10,6)").cast("string")),
     )
+    return F.array_join(pairs, " ")
+
+
+@register(
+    "one_hot_long",
+    "SELECT event_id, 'event_type_' || event_type AS feature, CAST(1 AS INTEGER) AS value FROM events WHERE event_type IS NOT NULL",
+)
+def one_hot_long(spark, d):
+    return FE.one_hot_long(read_table(spark, d, "events"), "event_id", "event_type")
+
+
+@register(
+    "multi_hot_long",
+    S.with_(S.LISTS, "arrs AS (SELECT o_orderkey, list_distinct(regexp_split_to_array(country, ',\\s*')) AS arr FROM lists)")
+    + "SELECT o_orderkey, 'countries_' || unnest(arr) AS feature, CAST(1 AS INTEGER) AS value FROM arrs",
+)
+def multi_hot_long(spark, d):
+    lists = standins.order_country_lists(spark, d).select("o_orderkey", member_list("country").alias("countries"))
+    return FE.multi_hot_long(lists, "o_orderkey", "countries")
+
+
+CATEGORIES = {
+    "type": ["Movie", "TV Show"],
+    "rating": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    "movie_type": ["Global", "Local"],
+    "show_type": ["Global", "Local"],
+}
+LABELS = {
+    "genres": ["Comedies", "Docuseries", "Dramas", "Independent", "International"],
+    "released_countries": [*NATIONS, "Unknown"],
+    "released_languages": ["lang_africa", "lang_america", "lang_asia", "lang_europe", "lang_extra", "lang_middle east"],
+}
+NUMBERS = ("movie_duration", "seasons", "release_year")
+
+
+def _title_features_sql() -> str:
+    # the steps up to the typed titles are those of the cleaning job
+    head = JOB_SQL[:JOB_SQL.index("exploded AS")].rstrip().rstrip(",")
+    text = TFIDF_SQL[len("WITH "):TFIDF_SQL.index("SELECT doc_id, term, round(")].rstrip()
+    text = text.replace("doc_id", "show_id").replace("lower(text)", "lower(description)").replace("FROM documents", "FROM clean")
+    clean = """clean AS (
+  SELECT s.show_id, s.type, s.rating, s.movie_type, s.show_type, s.genres, s.added_date, s.description,
+         p.cl AS released_countries, p.langs AS released_languages,
+         CAST(CASE WHEN type = 'Movie' THEN TRY_CAST(regexp_replace(duration, ' min', '', 'g') AS INTEGER) END AS DOUBLE) AS movie_duration,
+         CAST(CASE WHEN type = 'TV Show' THEN TRY_CAST(regexp_replace(duration, '\\D', '', 'g') AS INTEGER) END AS DOUBLE) AS seasons,
+         CAST(TRY_CAST(release_year AS INTEGER) AS DOUBLE) AS release_year
+  FROM shaped s JOIN per p ON p.show_id = s.show_id)"""
+    sparse = """idx AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM terms),
+weights AS (SELECT show_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY show_id)), 6) AS weight FROM w),
+sparse AS (
+  SELECT show_id, string_agg(CAST(idx AS VARCHAR) || ':' || CAST(CAST(weight AS DECIMAL(10,6)) AS VARCHAR), ' ' ORDER BY idx) AS tfidf
+  FROM weights JOIN idx ON weights.term = idx.term GROUP BY show_id),
+fit AS (SELECT """ + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMBERS) + " FROM clean)"
+    one = [f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS \"{c}_{v}\"" for c, vs in CATEGORIES.items() for v in vs]
+    many = [f"CAST(coalesce(list_contains({c}, '{v}'), false) AS INTEGER) AS \"{c}_{v}\"" for c, vs in LABELS.items() for v in vs]
+    scaled = [f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0::DOUBLE END, 6) AS {c}" for c in NUMBERS]
+    days = ["CAST(year(added_date) AS INTEGER) AS added_year", "CAST(month(added_date) AS INTEGER) AS added_month",
+            "CAST(day(added_date) AS INTEGER) AS added_day", "CAST(isodow(added_date) - 1 AS INTEGER) AS added_dayofweek"]
+    return (S.with_(S.TITLES, S.VALID, S.LANG_MAP, SPLIT_SQL, KEEP_ALL_SQL, head, clean, text, sparse)
+            + "SELECT c.show_id, " + ", ".join([*one, *many, *scaled, *days])
+            + ", sp.tfidf FROM clean c CROSS JOIN fit LEFT JOIN sparse sp ON sp.show_id = c.show_id")
+
+
+@register("title_features", _title_features_sql())
+def title_features(spark, d):
+    """Clean titles (one row each) to features: the whole chain, keyed by show_id."""
+    titles = clean_titles(
+        standins.titles_from_orders(spark, d), standins.valid_nations(spark, d), standins.nation_languages(spark, d),
+        mode="keep_all",
+    ).titles
+    feats = FE.title_features(titles, categorical=CATEGORIES, lists=LABELS)
     return feats.select(
-        *[c for c in feats.columns if c not in ("n_chars", "tfidf_idx", "tfidf_val")],
-        F.round("n_chars", 6).alias("n_chars"),
-        F.array_join(pairs, " ").alias("tfidf"),
+        *[f"`{c}`" for c in feats.columns if c not in (*NUMBERS, "tfidf_idx", "tfidf_val")],
+        *[F.round(c, 6).alias(c) for c in NUMBERS],
+        _sparse_as_text().alias("tfidf"),
     )

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogprep.operators._common import BROADCAST_MAX_ROWS, spread, within_rows
+from catalogprep.operators._common import spread
 from catalogprep.sources.readers import read_table
 
 #: Nulls injected identically in Spark and in the oracle (no driver column
@@ -58,13 +58,8 @@ def order_country_lists(spark: SparkSession, d: str) -> DataFrame:
     # nation has 25 rows at every scale factor (fixed by the TPC-H schema)
     na = F.broadcast(read_table(spark, d, "nation").select("n_nationkey", "n_name"))
     sup_nation = su.join(na, su["s_nationkey"] == na["n_nationkey"]).select("s_suppkey", "n_name")
-    # supplier -> nation is broadcast only while its size is checked small
-    # (nation keys are unique, so the join has at most as many rows as the
-    # supplier scan, which is what is checked); lineitem then streams through
-    # without a shuffle before the per-order aggregate.  Beyond the bound the
-    # planner shuffles both sides.
-    small = within_rows(su, BROADCAST_MAX_ROWS)
-    lines = li.join(F.broadcast(sup_nation) if small else sup_nation, li["l_suppkey"] == sup_nation["s_suppkey"])
+    # the planner and AQE decide by bytes whether supplier -> nation is broadcast
+    lines = li.join(sup_nation, li["l_suppkey"] == sup_nation["s_suppkey"])
     # collect_set per order is bounded by the number of nations.
     return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.array_join(F.array_sort(F.collect_set("n_name")), ", ").alias("country")

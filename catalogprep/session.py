@@ -8,6 +8,7 @@ when that setting is unset (tests, laptops).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -39,13 +41,16 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    When the setting is unset (local runs and tests only) a private folder is
-    created and registered, so ``DataFrame.checkpoint()`` works.
+    When the setting is unset a private folder is created and registered, so
+    ``DataFrame.checkpoint()`` works, but only in local mode; on a cluster each
+    executor would write to its own disk, so that raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not path:
         path = sc.getCheckpointDir()
+    if not path and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="catalogprep-ckpt-")
         try:
@@ -61,6 +66,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    if "://" not in base:
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", base):
         os.makedirs(base, exist_ok=True)
     return f"{base}{sep}catalogprep-scratch/{name}-{uuid.uuid4().hex}"

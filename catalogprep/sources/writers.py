@@ -71,25 +71,20 @@ def write_language_map(
     shape: str = "array",
     country: str = "country",
     languages: str = "Languages",
-    max_rows: int = 100_000,
 ) -> None:
     """Write the lookup as JSON.
 
     ``shape="array"`` writes one array of records, ``"object"`` one object
     ``{country: [languages]}`` (duplicate countries are unioned), ``"lines"``
-    JSON lines.  The first two fold the lookup into a single document, which
-    is fine only because a lookup is bounded (one row per country); above
-    ``max_rows`` they refuse (use ``"lines"``).
+    JSON lines.  The first two are one document by definition, so one task
+    writes them; they are for lookups (one row per country).  Use ``"lines"``
+    for a table that grows.
     """
     if shape == "lines":
         df.select(F.col(country).alias("country"), F.col(languages).alias("Languages")).write.mode(
             "overwrite"
         ).json(path)
         return
-    from catalogprep.operators._common import within_rows
-
-    if not within_rows(df, max_rows):
-        raise ValueError(f"lookup has more than {max_rows} rows; write it with shape='lines'")
     if shape == "array":
         doc = F.to_json(
             F.array_sort(F.collect_list(F.struct(F.col(country).alias("country"),

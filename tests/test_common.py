@@ -3,11 +3,11 @@ import pytest
 from catalogprep.operators import _common as C
 
 
-def test_within_rows_and_maybe_broadcast(spark):
+def test_maybe_broadcast_checks_bytes(spark):
     df = spark.range(10)
-    assert C.within_rows(df, 10) and not C.within_rows(df, 9)
-    small = C.maybe_broadcast(df, 10)
-    big = C.maybe_broadcast(df, 5)
+    assert C.estimated_bytes(df) == 80
+    small = C.maybe_broadcast(df, 80)
+    big = C.maybe_broadcast(df, 79)
     joined = spark.range(100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in joined.lower()
     plain = spark.range(100).join(big, "id")._jdf.queryExecution().optimizedPlan().toString()
@@ -27,5 +27,6 @@ def test_spread_only_when_thin(spark):
 def test_bounded_domain(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "v string")
     assert C.bounded_domain(df, "v", 2) == ["a", "b"]
+    assert C.bounded_domain(df, "v") == ["a", "b"]
     with pytest.raises(ValueError):
         C.bounded_domain(df, "v", 1)

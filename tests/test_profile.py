@@ -21,7 +21,7 @@ def test_pivot_counts_fills_zero_and_totals(spark):
 def test_pivot_domain_bound(spark):
     import pytest
 
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError):  # a cap is the caller's
         P.pivot_counts(_df(spark), "type", "rating", max_values=1)
 
 
