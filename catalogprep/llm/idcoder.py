@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 
 LANES = 2048
-SLOTS = 1 << 12
+SLOTS = 1 << 11
 _LOW_NODES = 512
 _NODES = 1 + 16 + 256 + _LOW_NODES
 _GAIN, _LIMIT = 24, 1 << 13
