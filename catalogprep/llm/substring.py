@@ -17,6 +17,9 @@ the task that streams the text that can match it.
    its windows are counted one by one in a grouped aggregate instead, which is exact too.
 4. Spans go back to their documents, judged on the input.
 
+Seeds are computed twice, for their counts and for the places of the repeated ones, rather
+than written; texts are compressed before they are shuffled to their seeds and spans.
+
 Defined results: null and empty texts have no words; rows repeated with one id and text
 are two places, so their windows repeat; documents shorter than a window stay whole; an
 empty table gives an empty result.  Extra columns are kept by ``remove`` and do not matter.
@@ -29,7 +32,8 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogprep.llm._common import read_table, saved, small_side
@@ -140,6 +144,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
                              "__th": F.xxhash64("text")})
 
 
+def _packed(c: str) -> Column:
+    """Texts compressed for a shuffle; null stays null."""
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return pd.Series([None if t is None else pack(t.encode()) for t in texts], dtype=object)
+
+    return packed(c)
+
+
+def _unpacked(packed: bytes | None) -> bytes:
+    return b"" if packed is None else zstandard.ZstdDecompressor().decompress(packed)
+
+
 def _seed_rows(docs: DataFrame, window: int) -> DataFrame:
     def run(batches):
         for b in batches:
@@ -163,8 +181,8 @@ def _contexts(docs: DataFrame, window: int) -> DataFrame:
     def run(batches):
         for b in batches:
             out = []
-            for i, th, text, at in zip(b["__id"], b["__th"], b["text"], b["at"]):
-                words = text.encode().split()
+            for i, th, packed, at in zip(b["__id"], b["__th"], b["__text"], b["at"]):
+                words = _unpacked(packed).split()
                 for x in at:
                     start, n = x["start"], x["n"]
                     context = b" ".join(words[start:start + n + window - 1])
@@ -172,7 +190,7 @@ def _contexts(docs: DataFrame, window: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=["__id", "__th", "start", "seed", "cid", "context"]).astype({"context": object})
 
-    return docs.select("__id", "__th", "text", "at").mapInPandas(
+    return docs.select("__id", "__th", "__text", "at").mapInPandas(
         run, "__id long, __th long, start int, seed long, cid long, context string")
 
 
@@ -222,11 +240,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard: int = SHARD)
     """(__id, __th, __runs): for documents with repeated windows, structs (start, mask) whose
     mask's bit i stands for the window that starts i words after start."""
     docs = docs.select("__id", "__th", "text")
-    found = saved(_seed_rows(docs, window), "seeds")
+    found = _seed_rows(docs, window)
     again = found.groupBy("seed").count().where("count > 1").select("seed")
     listed = (found.join(again, "seed").groupBy("__id", "__th")
               .agg(F.collect_set(F.struct("start", "n", "seed")).alias("at")))
-    occurrences = saved(_contexts(docs.join(listed, ["__id", "__th"]), window), "contexts")
+    texts = docs.select("__id", "__th", _packed("text").alias("__text"))
+    occurrences = saved(_contexts(texts.join(listed, ["__id", "__th"]), window), "contexts")
     contexts = saved(occurrences.groupBy("seed", "cid", "context").agg(F.count("*").alias("n")), "shards")
     hot = saved(contexts.groupBy("seed").count().where(F.col("count") > shard).select("seed"), "hot-seeds")
     hot = small_side(hot)
@@ -252,9 +271,11 @@ def _kept(words: list[bytes], runs, window: int) -> list[bytes]:
 
 
 def _with_runs(docs: DataFrame, window: int, shard: int) -> DataFrame:
+    """``docs`` with ``__text`` (compressed) for ``text``, and ``__runs``."""
     keyed = _keyed(docs)
     runs = saved(repeated_windows(keyed, window, shard), "runs")
-    return keyed.join(small_side(runs), ["__id", "__th"], "left")
+    packed = keyed.withColumn("__text", _packed("text")).drop("text")
+    return packed.join(runs, ["__id", "__th"], "left")
 
 
 def remove(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
@@ -262,10 +283,11 @@ def remove(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFra
     where something was removed, the text as it was elsewhere.  Documents stay, even if empty."""
     @F.pandas_udf("string")
     def shortened(texts: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([t if r is None else b" ".join(_kept(t.encode().split(), r, window)).decode()
+        return pd.Series([None if t is None else _unpacked(t).decode() if r is None
+                          else b" ".join(_kept(_unpacked(t).split(), r, window)).decode()
                           for t, r in zip(texts, runs)], dtype=object)
 
-    return _with_runs(docs, window, shard).withColumn("text", shortened("text", "__runs")).select(docs.columns)
+    return _with_runs(docs, window, shard).withColumn("text", shortened("__text", "__runs")).select(docs.columns)
 
 
 def digests(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
@@ -274,13 +296,13 @@ def digests(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFr
     def digest(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
         out = []
         for text, r in zip(texts, runs):
-            words = (text or "").encode().split()
+            words = _unpacked(text).split()
             kept = words if r is None else _kept(words, r, window)
             out.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
         return pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256"]).astype({"kept_sha256": object})
 
     both = _with_runs(docs.select("doc_id", "text"), window, shard)
-    return both.select("doc_id", digest("text", "__runs").alias("d")).select("doc_id", "d.*")
+    return both.select("doc_id", digest("__text", "__runs").alias("d")).select("doc_id", "d.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
