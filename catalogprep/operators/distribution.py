@@ -10,8 +10,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogprep.operators._common import maybe_broadcast
-from catalogprep.session import checkpoint_dir
 from catalogprep.operators.stats import QUARTILES, exact_quantiles, quantile_columns, quantiles
 
 
@@ -96,8 +94,8 @@ def kde_grid(
 def boxplot_stats(df: DataFrame, group: str, column: str, *, exact: bool = True, whisker: float = 1.5) -> DataFrame:
     """Per group: ``n, q1, median, q3, whisker_lo, whisker_hi, n_outliers``
     (matplotlib's rule: whiskers at the most extreme values within
-    ``whisker * IQR`` of the quartiles).  Two aggregate passes; the per-group
-    quartile table is written once and joins back by a checked broadcast."""
+    ``whisker * IQR`` of the quartiles): the quartiles, then one aggregate over
+    the rows beside their group's fences."""
     src = df.where(F.col(group).isNotNull() & F.col(column).isNotNull()).select(
         group, F.col(column).cast("double").alias("v")
     )
@@ -114,10 +112,8 @@ def boxplot_stats(df: DataFrame, group: str, column: str, *, exact: bool = True,
         (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("_lo"),
         (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("_hi"),
     )
-    # one row per group: written once (small) so the size check and the join
-    # do not re-run the quantile passes; broadcast only behind the check
-    checkpoint_dir(df.sparkSession)
-    j = src.join(maybe_broadcast(fences.checkpoint(eager=True)), group)
+    # one row per group; the planner and AQE choose the join
+    j = src.join(fences, group)
     inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
     return j.groupBy(group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),

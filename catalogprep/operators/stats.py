@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogprep.operators._common import maybe_broadcast
-from catalogprep.session import checkpoint_dir
-
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -37,6 +34,11 @@ def quantiles(c: Column, probs=QUARTILES, *, exact: bool = True, accuracy: int =
     return F.percentile(c, arr) if exact else F.percentile_approx(c, arr, accuracy)
 
 
+#: A bracket is cut into this many ranges of equal width; only the ranges that
+#: hold a wanted order statistic are sorted.
+BRACKET_RANGES = 4096
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -48,80 +50,96 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation, as numpy / pandas / DuckDB's
     ``quantile_cont``) per group without gathering a group's values in one
-    task.  Returns ``(groups..., n, p, q)`` (``n``: non-null values).
+    task.  Returns ``(groups..., n, p, q)`` (``n``: non-null values).  Lazy.
 
     1. One aggregate: the group size ``n`` and ``percentile_approx`` brackets
        at ``p -/+ 3/accuracy``; the sketch's rank error is at most
        ``n/accuracy``, so the exact order statistics at ranks
        ``floor(p(n-1))`` and the next lie inside the bracket.
-    2. One partial aggregate over the data: rows below / above the bracket
-       collapse to two counters, rows inside are counted per distinct value
-       (a hot value stays one row).
-    3. A running count over each bracket — at most about ``6n/accuracy``
-       distinct values — picks the two order statistics.
-
-    Groups with fewer than about ``4*accuracy/3`` rows are counted whole
-    (per distinct value), which keeps the result exact for any size.
-    ``few_groups=True`` says the group count is bounded by construction (e.g.
-    one group per column) so the bracket table is broadcast unchecked.
+    2. One partial aggregate over the rows, each beside its group's brackets:
+       rows inside some bracket are counted per distinct value (a hot value
+       stays one row), all others collapse to one row; conditional sums count
+       what lies below each bracket.  No row is repeated per probability.
+    3. Each bracket's counts (about ``6n/accuracy`` values) are summed over
+       ``BRACKET_RANGES`` ranges; the ranges that hold the two order statistics
+       are found from these sums, and only their values are ordered.
+
+    A rank outside its bracket would be an error of the sketch; it raises
+    rather than give a wrong value.  Groups with fewer than about
+    ``4*accuracy/3`` rows are counted whole (per distinct value), which keeps
+    the result exact for any size.  ``few_groups=True`` says that the group
+    count is bounded by construction (e.g. one group per column), so the
+    brackets are broadcast; else the planner and AQE choose the join.
     """
-    groups = list(groups)
-    eps = 3.0 / accuracy
-    src = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    sketch = src.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_a")
+    named = list(groups)
+    src = df.select(*named, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    if not named:
+        src = src.withColumn("_all", F.lit(1))
+    by = named or ["_all"]
+    probs, k, eps = [float(p) for p in probs], len(probs), 3.0 / accuracy
+    sketch = src.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs], accuracy).alias("_a"),
     )
-    k = len(probs)
     # The sketch's rank error is at most n/accuracy = eps*n/3, so a bracket
     # of +-eps holds both order statistics once eps*n >= 4.  Smaller groups
-    # (under ~4*accuracy/3 rows) get an open bracket: all their values are
-    # counted per distinct value, which that size bounds.
+    # (under ~4*accuracy/3 rows) get an open bracket.
     wide_enough = F.lit(eps) * F.col("_n") >= 4
+    none = F.lit(None).cast("double")
     brackets = sketch.select(
-        *groups, "_n",
-        F.explode(F.array(*[
-            F.struct(
-                F.lit(float(p)).alias("_p"),
-                (F.when(wide_enough, F.col("_a")[i]) if p - eps > 0 else F.lit(None).cast("double")).alias("_lo"),
-                (F.when(wide_enough, F.col("_a")[k + i]) if p + eps < 1 else F.lit(None).cast("double")).alias("_hi"),
-            )
-            for i, p in enumerate(probs)
-        ])).alias("_b"),
-    ).select(*groups, "_n", "_b.*")
-    if few_groups:
-        side_table = F.broadcast(brackets)
-    else:
-        # The bracket table is small (groups x probabilities) but costs a
-        # full pass; write it once to the shared checkpoint folder so the size
-        # check and the join read it instead of re-scanning the data.
-        checkpoint_dir(df.sparkSession)
-        side_table = maybe_broadcast(brackets.checkpoint(eager=True))
-    per_row = src.select(*groups, "_v", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_p"))
-    j = per_row.join(side_table, [*groups, "_p"])
-    below = F.col("_lo").isNotNull() & (F.col("_v") < F.col("_lo"))
-    above = F.col("_hi").isNotNull() & (F.col("_v") > F.col("_hi"))
-    side = F.when(below, 1).when(above, 2).otherwise(0)
-    cells = j.groupBy(*groups, "_p", "_n", side.alias("_side"), F.when(side == 0, F.col("_v")).alias("_kv")).agg(
-        F.count(F.lit(1)).alias("_c")
+        *by, "_n",
+        *[(F.when(wide_enough, F.col("_a")[i]) if p - eps > 0 else none).alias(f"_lo{i}") for i, p in enumerate(probs)],
+        *[(F.when(wide_enough, F.col("_a")[k + i]) if p + eps < 1 else none).alias(f"_hi{i}") for i, p in enumerate(probs)],
+    )
+    j = src.join(F.broadcast(brackets) if few_groups else brackets, by)
+    v = F.col("_v")
+    below = [F.col(f"_lo{i}").isNotNull() & (v < F.col(f"_lo{i}")) for i in range(k)]
+    inside = [~below[i] & ~(F.col(f"_hi{i}").isNotNull() & (v > F.col(f"_hi{i}"))) for i in range(k)]
+    some = inside[0]
+    for x in inside[1:]:
+        some = some | x
+    cells = j.groupBy(*by, F.when(some, v).alias("_kv")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"),
+        *[F.sum(below[i].cast("bigint")).alias(f"_b{i}") for i in range(k)],
+        *[F.max(f"_{e}{i}").alias(f"_{e}{i}") for i in range(k) for e in ("lo", "hi")],
+    )
+
+    def entry(i: int) -> Column:
+        lo, hi, kv = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col("_kv")
+        held = kv.isNotNull() & (lo.isNull() | (kv >= lo)) & (hi.isNull() | (kv <= hi))
+        at = F.floor((kv - lo) / (hi - lo) * BRACKET_RANGES)
+        part = F.when(hi > lo, F.greatest(F.least(at, F.lit(BRACKET_RANGES - 1)), F.lit(0))).otherwise(0)
+        return F.struct(F.lit(probs[i]).alias("p"), held.alias("held"), F.when(held, part).otherwise(0).cast("int").alias("part"),
+                        F.when(held, F.col("_c")).otherwise(0).alias("c"), F.col(f"_b{i}").alias("b"))
+
+    long = cells.select(*by, "_n", "_kv", F.explode(F.array(*[entry(i) for i in range(k)])).alias("_e")).select(
+        *by, "_n", "_kv", "_e.*")
+    key = [*by, "p"]
+    # at most BRACKET_RANGES rows for each group and probability from here on
+    per_part = long.groupBy(*key, "_n", "part").agg(F.sum("c").alias("_s"), F.sum("b").alias("_b"))
+    whole = Window.partitionBy(*key)
+    so_far = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = F.floor(F.col("p") * (F.col("_n") - 1))
+    placed = per_part.select(
+        *key, "_n", "part", "_s", (F.sum("_s").over(so_far) - F.col("_s")).alias("_before"),
+        F.sum("_s").over(whole).alias("_in"), F.sum("_b").over(whole).alias("_below"),
     )
-    key = [*groups, "_p"]
-    n_below = F.coalesce(F.sum(F.when(F.col("_side") == 1, F.col("_c"))).over(Window.partitionBy(*key)), F.lit(0))
-    run = Window.partitionBy(*key).orderBy("_side", "_kv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = cells.select(
-        *key, "_n", "_side", "_kv",
-        (n_below + F.sum(F.when(F.col("_side") == 0, F.col("_c")).otherwise(0)).over(run)).alias("_cum"),
-    ).where(F.col("_side") == 0)
-    pos = F.col("_p") * (F.col("_n") - 1)
-    rank = F.floor(pos)
-    frac = pos - rank
-    picked = ranked.groupBy(*key, "_n").agg(
-        F.min(F.when(F.col("_cum") >= F.floor(F.col("_p") * (F.col("_n") - 1)) + 1, F.col("_kv"))).alias("_lo_v"),
-        F.min(F.when(F.col("_cum") >= F.floor(F.col("_p") * (F.col("_n") - 1)) + 2, F.col("_kv"))).alias("_hi_v"),
+    missed = (F.col("_below") > rank) | (F.col("_below") + F.col("_in") < F.least(rank + 2, F.col("_n")))
+    before = F.when(missed, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("bigint")).otherwise(
+        F.col("_below") + F.col("_before"))
+    wanted = placed.select(*key, "_s", "part", before.alias("_before"), rank.alias("_r")).where(
+        (F.col("_before") < F.col("_r") + 2) & (F.col("_before") + F.col("_s") >= F.col("_r") + 1)
+    ).select(*key, "part", "_before", "_r")
+    run = Window.partitionBy(*key, "part").orderBy("_kv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = long.where("held").join(wanted, [*key, "part"]).select(
+        *key, "_n", "_kv", "_r", (F.col("_before") + F.sum("c").over(run)).alias("_cum"))
+    picked = ranked.groupBy(*key, "_n", "_r").agg(
+        F.min(F.when(F.col("_cum") >= F.col("_r") + 1, F.col("_kv"))).alias("_lo_v"),
+        F.min(F.when(F.col("_cum") >= F.col("_r") + 2, F.col("_kv"))).alias("_hi_v"),
     )
+    frac = F.col("p") * (F.col("_n") - 1) - F.col("_r")
     q = F.when(frac == 0, F.col("_lo_v")).otherwise(F.col("_lo_v") + frac * (F.col("_hi_v") - F.col("_lo_v")))
-    return picked.select(*groups, F.col("_n").alias("n"), F.col("_p").alias("p"), q.alias("q"))
+    return picked.select(*named, F.col("_n").alias("n"), "p", q.alias("q"))
 
 
 def quantile_columns(qs: DataFrame, groups: list[str] | tuple[str, ...], names: dict[float, str]) -> DataFrame:
