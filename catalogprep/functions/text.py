@@ -54,7 +54,14 @@ def drop_stop_words(toks: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
     return F.filter(toks, lambda t: ~t.isin(list(stop_words)))
 
 
-def adjacent_pairs(toks: Column, sep: str = " ") -> Column:
-    """Bigrams of neighbouring tokens (empty for fewer than two tokens)."""
+def adjacent_pairs(toks: Column, sep: str = " ", stop_words=()) -> Column:
+    """Bigrams of neighbouring tokens (empty for fewer than two tokens); pairs
+    with a stop word are left out."""
+    stop = list(stop_words)
     k = F.greatest(F.size(toks) - 1, F.lit(0))
-    return F.zip_with(F.slice(toks, 1, k), F.slice(toks, 2, k), lambda a, b: F.concat(a, F.lit(sep), b))
+
+    def pair(a: Column, b: Column) -> Column:
+        both = F.concat(a, F.lit(sep), b)
+        return F.when(~a.isin(stop) & ~b.isin(stop), both) if stop else both
+
+    return F.array_compact(F.zip_with(F.slice(toks, 1, k), F.slice(toks, 2, k), pair))

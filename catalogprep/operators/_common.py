@@ -5,23 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Default upper bound (estimated bytes) for a side we are willing to broadcast.
-BROADCAST_MAX_BYTES = 32 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Row count (one job, summed over tasks) times the schema's default row width."""
-    rows = df.agg(F.count(F.lit(1))).first()[0]
-    return rows * max(8, df._jdf.schema().defaultSize())
-
-
-def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only behind a checked size; otherwise leave the join
-    to the planner (sort-merge, or AQE's runtime broadcast/skew handling).
-    Give a table that is already written, as the check counts its rows."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
-
-
 def require_columns(df: DataFrame, columns) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

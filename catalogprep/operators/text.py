@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalogprep.functions.text import CLOUD_TOKEN, ENGLISH_STOP_WORDS, tokens
+from catalogprep.functions.text import CLOUD_TOKEN, ENGLISH_STOP_WORDS, adjacent_pairs, tokens
 
 
 def cloud_tokens(text_col: str) -> Column:
@@ -43,15 +43,8 @@ def term_freq(df: DataFrame, text_col: str, *, top: int = 200, stop_words=ENGLIS
 
 def bigram_freq(df: DataFrame, text_col: str, *, top: int = 200, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """``(bigram, n, weight)`` for the ``top`` most frequent word pairs."""
-    stop = list(stop_words)
     # tokens projected once: the pair expression refers to them three times
     df = df.select(cloud_tokens(text_col).alias("_toks"))
-    toks = F.col("_toks")
-    k = F.greatest(F.size(toks) - 1, F.lit(0))
-    pairs = F.zip_with(
-        F.slice(toks, 1, k), F.slice(toks, 2, k),
-        lambda a, b: F.when(~a.isin(stop) & ~b.isin(stop), F.concat(a, F.lit(" "), b)),
-    )
-    kept = F.filter(pairs, lambda p: p.isNotNull())
+    kept = adjacent_pairs(F.col("_toks"), stop_words=stop_words)
     counts = df.select(F.explode(kept).alias("bigram")).groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
     return _top(counts, "bigram", top)

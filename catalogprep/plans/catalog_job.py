@@ -44,6 +44,18 @@ def add_genres_and_dates(df: DataFrame, *, genre_col: str = "listed_in", date_co
     return out.withColumns(date_text_parts("added_date"))
 
 
+def typed_titles(
+    cleaned: DataFrame, valid_countries: DataFrame, language_map: DataFrame, *, mode: str
+) -> DataFrame:
+    """The 21-column table of titles without missing values."""
+    df = reach_classification(cleaned)
+    df = add_genres_and_dates(df)
+    df = enrich_languages(df, valid_countries, language_map, mode=mode)
+    df = df.withColumn("release_year", F.col("release_year").try_cast("int"))
+    df = split_duration(df)
+    return df.select(*schemas.CLEAN_TITLE_COLUMNS)
+
+
 def clean_titles(
     raw: DataFrame,
     valid_countries: DataFrame,
@@ -56,12 +68,7 @@ def clean_titles(
     data_cols = [c for c in raw.columns if c != schemas.CORRUPT_RECORD]
     raw = raw.select(*data_cols)
     cleaned, profile = clean_nulls(raw, FILL_UNKNOWN)
-    df = reach_classification(cleaned)
-    df = add_genres_and_dates(df)
-    df = enrich_languages(df, valid_countries, language_map, mode=mode)
-    df = df.withColumn("release_year", F.col("release_year").try_cast("int"))
-    df = split_duration(df)
-    return CleanResult(df.select(*schemas.CLEAN_TITLE_COLUMNS), profile)
+    return CleanResult(typed_titles(cleaned, valid_countries, language_map, mode=mode), profile)
 
 
 def run(

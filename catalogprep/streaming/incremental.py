@@ -16,14 +16,11 @@ exactly-once output across restarts and lost executors.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from catalogprep import schemas
-from catalogprep.operators.classify import reach_classification, split_duration
-from catalogprep.operators.multivalue import enrich_languages
 from catalogprep.operators.quality import drop_null_rows, fill_nulls
-from catalogprep.plans.catalog_job import FILL_UNKNOWN, add_genres_and_dates
+from catalogprep.plans.catalog_job import FILL_UNKNOWN, typed_titles
 
 
 def read_titles_stream(spark: SparkSession, folder: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,13 +39,7 @@ def read_titles_stream(spark: SparkSession, folder: str, *, max_files_per_trigge
 
 def clean_titles_incremental(raw: DataFrame, valid_countries: DataFrame, language_map: DataFrame) -> DataFrame:
     """Per-row cleaning (works on a streaming or a static DataFrame)."""
-    df = drop_null_rows(fill_nulls(raw, FILL_UNKNOWN))
-    df = reach_classification(df)
-    df = add_genres_and_dates(df)
-    df = enrich_languages(df, valid_countries, language_map, mode="keep_all")
-    df = df.withColumn("release_year", F.col("release_year").try_cast("int"))
-    df = split_duration(df)
-    return df.select(*schemas.CLEAN_TITLE_COLUMNS)
+    return typed_titles(drop_null_rows(fill_nulls(raw, FILL_UNKNOWN)), valid_countries, language_map, mode="keep_all")
 
 
 def start_clean_stream(

@@ -3,17 +3,6 @@ import pytest
 from catalogprep.operators import _common as C
 
 
-def test_maybe_broadcast_checks_bytes(spark):
-    df = spark.range(10)
-    assert C.estimated_bytes(df) == 80
-    small = C.maybe_broadcast(df, 80)
-    big = C.maybe_broadcast(df, 79)
-    joined = spark.range(100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in joined.lower()
-    plain = spark.range(100).join(big, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in plain.lower()
-
-
 def test_spread_only_when_thin(spark):
     cores = spark.sparkContext.defaultParallelism
     thin = spark.range(0, 1000, numPartitions=1)
