@@ -136,7 +136,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             yield pd.DataFrame([(shard, seq, len(ids), held, pack(doc_ids, ids))], columns=_COLUMNS)
 
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("i"), "text")
-    (keyed.repartitionByRange("i", "text").sortWithinPartitions("i", "text").mapInPandas(run, _RECORD)
+    # ranges are drawn from a sample of keys at the driver, so the key holds no whole texts
+    (keyed.repartitionByRange("i", F.substring("text", 1, 32)).sortWithinPartitions("i", "text").mapInPandas(run, _RECORD)
      .write.option("compression", "none").parquet(path))
 
 
