@@ -70,6 +70,17 @@ def small_side(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def hash_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """About ``n`` rows (never more): those with the smallest hash of ``keys``.  Rows whose
+    hash lies well above the n-th smallest are left out before the ordering, so tasks
+    send few rows however many there are."""
+    rows = df.count()
+    h = F.xxhash64(F.lit(3), *keys)
+    if rows > 8 * n:
+        df = df.where(h < F.lit(int(-(1 << 63) + (1 << 64) * 8 * n / rows)).cast("bigint"))
+    return df.orderBy(h, *keys).limit(n)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a, b: long) as (node, component), for nodes
     that have an edge; component is the smallest node.

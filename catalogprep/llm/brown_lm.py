@@ -14,9 +14,9 @@ and of each word's emission from its class.
 * Scoring is a pass over the documents with the classes and transitions (bounded), and
   adds up log10((c + 1) / (N_class + V_class + 1)) for emissions, c the word's count and N,
   V the training tokens and distinct words of its class, and
-  log10((n(a, b) + alpha) / (n(a) + alpha * K)) for transitions.  Counts of the ``resident``
-  most frequent words are broadcast (a fixed number of rows); occurrences of all others
-  are joined with the count table.
+  log10((n(a, b) + alpha) / (n(a) + alpha * K)) for transitions.  Counts of at most
+  ``resident`` most frequent words are broadcast (a bounded number of rows); occurrences of
+  all others are joined with the count table.
 
 Defined results: null and empty texts are one end token; with nothing to learn from, all
 counts are 0; rows repeated with one id count and are scored each; a null id counts as the
@@ -219,8 +219,7 @@ def score(docs: DataFrame, frequent: int = FREQUENT, pools: int = POOLS,
     for r in mass:  # one row per class
         room[r.k] += r.n + r.v
     step = np.log10((table + alpha) / (table.sum(axis=1, keepdims=True) + alpha * classes))
-    top = (counts.where(F.octet_length("word") <= WORD_BYTES).orderBy(F.desc("c_all"), "word").limit(resident)
-           .select("word", "c").toPandas())  # a fixed number of rows of bounded length
+    top = _most_frequent(counts, resident).select("word", "c").toPandas()  # at most ``resident`` rows of bounded length
     known_counts = spark.sparkContext.broadcast(dict(zip(top["word"], top["c"].astype(int).tolist())))
     pieces = spark.sparkContext.broadcast((step, -np.log10(room)))
     base_room = -float(np.log10(total + kinds + 1))
@@ -266,6 +265,20 @@ def score(docs: DataFrame, frequent: int = FREQUENT, pools: int = POOLS,
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` words of bounded length: all whose count reaches a step that a
+    histogram of the counts (a few hundred steps) gives, so no task sorts or sends others."""
+    step = F.floor(F.log2("c_all") * 16).cast("int")
+    short = counts.where(F.octet_length("word") <= WORD_BYTES).withColumn("step", step)
+    sizes = {r.step: r.n for r in short.groupBy("step").agg(F.count("*").alias("n")).collect()}
+    at, held = max(sizes, default=0) + 1, 0
+    for s in sorted(sizes, reverse=True):
+        if held + sizes[s] > most:
+            break
+        at, held = s, held + sizes[s]
+    return short.where(F.col("step") >= at)
+
+
 _COLUMNS = ["i", "t", "rows", "n_tokens", "n_known", "logs", "moved", "word", "n"]
 
 

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogprep.llm._common import read_table, saved
+from catalogprep.llm._common import hash_sample, read_table, saved
 
 BITS = 18
 MAX_TRAIN = 8192
@@ -148,7 +148,7 @@ def fit(ids: list[np.ndarray], grades: np.ndarray, bits: int = BITS, rounds: int
 def train(docs: DataFrame, graded: DataFrame, bits: int = BITS, max_train: int = MAX_TRAIN) -> Model:
     """Fit on at most ``max_train`` graded documents.  ``graded``: doc_id, grade."""
     one = graded.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
-    sample = saved(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train), "graded")  # a top-n, bounded
+    sample = saved(hash_sample(saved(one, "grades"), max_train, "doc_id"), "graded")
 
     def features(batches):
         for b in batches:

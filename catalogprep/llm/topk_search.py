@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalogprep.llm._common import read_table, saved, small_side
+from catalogprep.llm._common import hash_sample, read_table, saved, small_side
 
 K = 5
 SCALE = 256
@@ -128,7 +128,7 @@ def _enough(ids: np.ndarray, own: int, k: int) -> int:
 
 def _pages(vectors: DataFrame, longest2: float, page: int, routes: int) -> DataFrame:
     """Vectors with the route they belong to and their page number within it."""
-    sample = vectors.select("dim", "q").orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(routes).collect()
+    sample = hash_sample(vectors.select("vec_id", "dim", "q"), routes, "vec_id").collect()
     by_dim: dict[int, np.ndarray] = {}
     for d in {r.dim for r in sample}:
         by_dim[d] = _lifted(_matrix(r.q for r in sample if r.dim == d), longest2)

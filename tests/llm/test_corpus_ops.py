@@ -529,3 +529,13 @@ def test_pipeline_cases(spark, docs, no_docs):
             now = stage(spark, now, SMALL)
         assert now.columns == ["doc_id", "source", "n_tokens", "ids"]
         assert (now.count() > 0) == (given is docs)
+
+
+def test_hash_sample(spark):
+    from catalogprep.llm._common import hash_sample
+
+    ids = spark.range(20_000)
+    got = [r.id for r in hash_sample(ids, 50, "id").collect()]
+    h = F.xxhash64(F.lit(3), "id")
+    assert got == [r.id for r in ids.orderBy(h, "id").limit(50).collect()]
+    assert hash_sample(ids.limit(0), 50, "id").count() == 0 and hash_sample(ids.limit(20), 50, "id").count() == 20
