@@ -27,6 +27,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -252,23 +253,28 @@ def load(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _encoded(path: str, texts: pd.Series, chars: int = 1 << 22):
+def _encoded(path: str, texts: list[str | None], chars: int = 1 << 22):
     """Ids of each text, in parts of bounded text, as very long texts may stand together."""
-    part = texts.str.len().fillna(0).cumsum() // chars
-    for _, p in texts.groupby(part, sort=True):
-        yield from load(path).encode_batch(p.tolist())
+    part, held = [], 0
+    for t in texts:
+        part.append(t)
+        held += len(t or "")
+        if held > chars:
+            yield from load(path).encode_batch(part)
+            part, held = [], 0
+    yield from load(path).encode_batch(part)
 
 
 def encode(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns with n_tokens and ids (array) of every whole text."""
     path = path or model_path()
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        out = pd.Series(index=range(len(texts)), dtype=object)
-        for i, x in enumerate(_encoded(path, texts)):
-            out[i] = x
-        return out
+    @F.arrow_udf("array<int>")
+    def ids(texts: pa.Array) -> pa.Array:
+        found = list(_encoded(path, texts.to_pylist()))
+        ends = np.cumsum([0, *map(len, found)])
+        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
     return docs.select(*keep, ids("text").alias("ids")).select(*keep, F.size("ids").cast("long").alias("n_tokens"), "ids")
 
@@ -292,7 +298,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     @F.pandas_udf("n_tokens long, ids_crc32 long, n_decoded long, exact boolean")
     def trip(texts: pd.Series) -> pd.DataFrame:
         out = []
-        for t, ids in zip(texts, _encoded(path, texts)):
+        for t, ids in zip(texts, _encoded(path, texts.tolist())):
             back = load(path).decode(ids)
             out.append((len(ids), crc32(ids.astype("<i4").tobytes()), len(back), back == (t or "")))
         return pd.DataFrame(out, columns=["n_tokens", "ids_crc32", "n_decoded", "exact"])

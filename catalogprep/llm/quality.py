@@ -17,7 +17,7 @@ documents, or whose presence hardly depends on the grade there, get no weight.
 Defined results: null and empty texts have only shape features; rows repeated with one id
 count once in the fit and are scored each; contradicting grades of one id count as the
 lowest; null grades and grades of unknown documents are ignored; with fewer than two
-different grades there is nothing to learn, and every document gets the top grade; an empty
+different grades, or no telling feature, there is nothing to learn, and every document gets the top grade; an empty
 table gives an empty result.  Columns of the input that clash with the added ones are
 replaced.
 """
@@ -39,7 +39,7 @@ BITS = 18
 MAX_TRAIN = 8192
 MIN_DOCS = 3
 ROUNDS = 200
-LEAST_G = 60.0
+LEAST_G = (20.0, 60.0)
 L2 = 1.0
 KEEP_AT = 0.35
 PREFIX = 5
@@ -86,14 +86,20 @@ class Model:
         return _sigmoid(scores[:, None] - self.thresholds[None, :])
 
 
+def _neutral(top: int, bits: int) -> Model:
+    """Gives every document the top grade: where there is nothing to learn."""
+    return Model(np.zeros(1 << bits, np.float32), np.full(max(1, top), -40.0, np.float32), bits)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
 def telling(flat: np.ndarray, grade: np.ndarray, docs_of: np.ndarray, size: int, min_docs: int,
-            least: float = LEAST_G) -> np.ndarray:
-    """Which features' presence depends on the grade: likelihood ratio (G) of at least
-    ``least``.  Random words, by far the most, would else add noise to long texts."""
+            least: tuple[float, float] = LEAST_G) -> np.ndarray:
+    """Which features' presence depends on the grade: likelihood ratio (G) of at least a
+    hundredth of the documents, within ``least`` (G of a true dependence grows with them).
+    Random words, by far the most, would else add noise to long texts."""
     k = len(docs_of)
     seen = np.bincount(flat * k + grade, minlength=size * k).reshape(size, k).astype(np.float64)
     n, total = seen.sum(axis=1), docs_of.sum()
@@ -102,7 +108,7 @@ def telling(flat: np.ndarray, grade: np.ndarray, docs_of: np.ndarray, size: int,
         with np.errstate(divide="ignore", invalid="ignore"):
             x = has * np.log(has * total / (part[:, None] * docs_of[None, :]))
         g += 2 * np.nan_to_num(x, nan=0.0, posinf=0.0, neginf=0.0).sum(axis=1)
-    return (n >= min_docs) & (g >= least)
+    return (n >= min_docs) & (g >= min(max(docs_of.sum() / 100, least[0]), least[1]))
 
 
 def fit(ids: list[np.ndarray], grades: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, l2: float = L2,
@@ -111,10 +117,12 @@ def fit(ids: list[np.ndarray], grades: np.ndarray, bits: int = BITS, rounds: int
     one and positive steps, so they stay ordered."""
     kinds = np.unique(grades)
     if len(kinds) < 2:
-        return Model(np.zeros(1 << bits, np.float32), np.full(max(1, int(grades.max(initial=0))), -40.0, np.float32), bits)
+        return _neutral(int(grades.max(initial=0)), bits)
     top = int(grades.max())
     flat, rows = np.concatenate(ids), np.repeat(np.arange(len(ids)), [len(x) for x in ids])
     keep = telling(flat, grades[rows], np.bincount(grades, minlength=top + 1), 1 << bits, min_docs)
+    if not keep.any():
+        return _neutral(int(grades.max()), bits)
     flat, rows = flat[keep[flat]], rows[keep[flat]]
     used, col = np.unique(flat, return_inverse=True)
     n = len(ids)
@@ -164,7 +172,7 @@ def train(docs: DataFrame, graded: DataFrame, bits: int = BITS, max_train: int =
     rows = (picked.mapInPandas(features, "doc_id long, grade int, ids array<long>").dropDuplicates(["doc_id"])
             .withColumn("all", F.lit(1)).groupBy("all").applyInPandas(fitted, "weights binary, thresholds binary").collect())
     if not rows:
-        return Model(np.zeros(1 << bits, np.float32), np.full(1, -40.0, np.float32), bits)
+        return _neutral(1, bits)
     return Model(np.frombuffer(rows[0].weights, np.float32), np.frombuffer(rows[0].thresholds, np.float32), bits)
 
 
