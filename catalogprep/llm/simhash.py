@@ -12,8 +12,8 @@ lost.  Buckets of near copies are cut into units (see ``pairs``); a unit returns
 forest of its links, and components are found over these.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; rows
-repeated with one id get the same component; a component of rows without an id has a null
-component_id; an empty table gives an empty result.
+repeated with one id and text get the same component; a component of rows without an id has
+a null component_id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -57,12 +57,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a signed long)."""
+    """doc_id, text_hash and fp (the fingerprint's 64 bits as a signed long)."""
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
 
-    return docs.select("doc_id", fp("text").alias("fp"))
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fp("text").alias("fp"))
 
 
 def _masks(blocks: int) -> list[int]:
@@ -122,25 +122,27 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp, component_id for every row of ``docs``."""
+    """doc_id, text_hash, fp, root (the component's smallest fingerprint), component_id for
+    every row of ``docs``."""
     marked = saved(fingerprints(docs, shingle), "simhash")
     fps = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     member = components(links(fps, max_bits), "simhash-links").withColumnRenamed("node", "fp")
     rooted = fps.join(member, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
     rooted = saved(rooted, "simhash-nodes")
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
+    named = rooted.join(lowest, "root").select("fp", "root", "component_id")
     return marked.join(named, "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group: the one with the smallest id.  Rows repeated with one id
-    are one document; rows without an id stay, one for each text."""
+    """One row of each group: the one with the smallest id (none last), and of different
+    texts of that id in the group the one with the smallest hash."""
     found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    drop = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return (docs.join(drop, "doc_id", "left_anti").select(docs.columns)
-            .withColumn("__text", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-            .dropDuplicates(["doc_id", "__text"]).drop("__text"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__kept"))).alias("first")
+    kept = found.groupBy("root").agg(first).select("first.__id", "first.__kept")  # a text has one root, so no key twice
+    rows = docs.withColumn("__text", F.xxhash64("text"))
+    return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__kept")))
+            .select(*rows.columns).dropDuplicates(["doc_id", "__text"]).drop("__text"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

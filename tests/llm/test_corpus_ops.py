@@ -361,6 +361,17 @@ def test_simhash_against_brute_force(spark, docs, rows, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
 
 
+def test_keep_one_keeps_a_row_of_each_group(spark):
+    """One id on different texts, and near copies without an id."""
+    a, b, c = prose(41, 4000), prose(42, 4000), prose(43, 4000)
+    given = [(5, a), (7, a + " end"), (2, b), (5, b + " end"), (None, c), (None, c + " end"), (None, c), (9, prose(44, 50)), (9, prose(45, 50))]
+    found = brute_simhash(given)
+    assert [g for _, _, g in found if g is None] == [None] * 3 and {g for _, _, g in found} == {None, 5, 2, 9}
+    kept = [tuple(r) for r in simhash.keep_one(spark.createDataFrame(given, "doc_id long, text string").repartition(3)).collect()]
+    assert len(kept) == 5 and set(kept) <= set(given)
+    assert (5, a) in kept and (2, b) in kept and sum(i is None for i, _ in kept) == 1 and sum(i == 9 for i, _ in kept) == 2
+
+
 def test_simhash_links_of_random_fingerprints(spark, monkeypatch):
     rng = np.random.default_rng(4)
     fps = set()
