@@ -302,6 +302,61 @@ def test_language_model(docs, rows, no_docs):
     assert brown_lm.score(no_docs).count() == 0
 
 
+def brute_classes(rows, frequent, pools, classes, alpha):
+    """Scores with every training word outside the clustering moved to its best class."""
+    toks = [(i, brown_lm.tokens(t)) for i, t in rows]
+    held = lambda i: zlib.crc32(("null" if i is None else str(i)).encode()) % 7 == 2
+    train = [[brown_lm.END, *ws] for i, ws in toks if not held(i)]
+    c = Counter(w for ws in train for w in ws[1:])
+    top = sorted((w for w in c if w != brown_lm.END), key=lambda w: (-c[w], w))[:frequent]
+    unit = {brown_lm.END: 0} | {w: j + 1 for j, w in enumerate(top)}
+    size = len(unit)
+    unit_of = lambda w: unit.get(w, size + brown_lm.pool_of(w, pools))
+    counts = np.zeros((size + pools, size + pools))
+    pairs = Counter((a, b) for ws in train for a, b in zip(ws, ws[1:]))
+    for (a, b), n in pairs.items():
+        counts[unit_of(a), unit_of(b)] += n
+    of = brown_lm.exchange(counts, classes)
+    start = {w: int(of[unit_of(w)]) for w in c}
+    table = lambda k: (lambda t: [t.__setitem__((k[a], k[b]), t[k[a], k[b]] + n) for (a, b), n in pairs.items()] and t)(np.zeros((classes, classes)))
+
+    def likelihood(k):
+        t = table(k)
+        h = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+        return h(t) - h(t.sum(0)) - h(t.sum(1))
+
+    final = dict(start)
+    for w in c.keys() - unit.keys():
+        each = [likelihood(start | {w: k}) for k in range(classes)]
+        if max(each) > each[start[w]] + 1e-7:
+            final[w] = int(np.argmax(each))
+    t = table(final)
+    step = np.log10((t + alpha) / (t.sum(axis=1, keepdims=True) + alpha * classes))
+    room = np.ones(classes)
+    for w, n in c.items():
+        room[final[w]] += n + 1
+    k_of = lambda w: final.get(w, int(of[unit_of(w)]))
+    out = [(i, round(sum(step[k_of(a), k_of(b)] + math.log10((c[b] + 1) / room[k_of(b)]) for a, b in zip([brown_lm.END, *ws], ws)), 6))
+           for i, ws in toks]
+    return by_id(out), sum(final[w] != start[w] for w in c)
+
+
+def test_words_outside_the_clustering_get_their_best_class(spark):
+    rng = random.Random(12)
+    kinds = [[f"{a}{j}x" for j in range(12)] for a in "pqr"]  # one ending, so pools tell nothing
+    texts = []
+    for _ in range(40):
+        at = rng.randrange(3)
+        texts.append(" ".join(w for k in range(rng.randint(0, 12)) for w in [rng.choice(kinds[(at + k) % 3])] * rng.choice([1, 1, 1, 2])))
+    given = [*enumerate(texts), (None, texts[1]), (3, texts[3]), (41, None)]
+    want, moved = brute_classes(given, 4, 2, 3, brown_lm.ALPHA)
+    assert moved > 5
+    for resident in (200_000, 15, 0):
+        got = brown_lm.score(spark.createDataFrame(given, "doc_id long, text string").repartition(3), 4, 2, 3, resident=resident).collect()
+        assert [r[0] for r in by_id((g.doc_id, round(g.score, 6)) for g in got)] == [r[0] for r in want]
+        assert sorted(g.score for g in got) == pytest.approx(sorted(x for _, x in want), abs=2e-6)
+
+
 def test_language_model_query(spark):
     got = queries.QUERIES["op6_lm_scoring"](spark, "/root/testdata/sf0.01").collect()
     rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()
