@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from catalogprep.llm import brown_lm, embed_dedup, license_scan, mixing, pieces, quality, simhash, substring, token_store, topk_search
+from catalogprep.llm import (
+    brown_lm, embed_dedup, license_scan, merkle, mixing, periodic, pieces, quality, simhash, substring, token_store, topk_search, warc,
+)
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -15,8 +17,13 @@ QUERIES = {
     "op8_substring_dedup": substring.query,
     "op9_topk_search": topk_search.query,
     "op10_mixing": mixing.query,
+    "op11_warc": warc.query,
+    "op12_merkle": merkle.query,
+    "op13_periodic_runs": periodic.query,
 }
 ORACLE = {
     "op9_topk_search": topk_search.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_warc": warc.ORACLE,
+    "op12_merkle": merkle.ORACLE,
 }
