@@ -37,8 +37,9 @@ MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = np.uint64(0x100000001B3)
+_SEEN = 22
 LONG = 256
-CACHED = 200_000
+CACHED = 300_000
 
 
 def model_path() -> str:
@@ -84,14 +85,19 @@ class Pieces:
         self.merges = bool(np.all(self.scores == np.floor(self.scores)) and len(np.unique(self.scores)) > len(texts) // 2)
         self.uncovered = self.scores.min() - 10.0
         self.piece_text = {i: t for i, t in zip(ids, texts)}
+        #: which high bits of hashes occur at all, so that few substrings are searched for
+        self.seen = np.zeros(1 << _SEEN, dtype=bool)
+        self.seen[self.keys >> np.uint64(64 - _SEEN)] = True
+        #: words' ids: those of the last batches, and those that were used before these
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _key(text: str) -> np.uint64:
         return _substring_keys(np.array([[ord(c) for c in text]], dtype=np.uint64), len(text))[0, 0]
 
-    def segment(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word."""
+    def segment(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian 32-bit integers."""
         out: list = [None] * len(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for n in np.unique(lengths):
@@ -101,9 +107,12 @@ class Pieces:
                 part = at[k:k + step]
                 cut = [words[i] for i in part]
                 hit = self._hits(cut, int(n))
-                bounds = self._viterbi(hit) if not self.merges else self._merge(hit) if n <= LONG else self._merge_long(hit)
-                for i, word, row, b in zip(part, cut, hit, bounds):
-                    out[i] = self._ids(word, row, b)
+                if self.merges and n <= LONG:
+                    found = self._merge(cut, hit)
+                else:
+                    found = [self._ids(*x) for x in zip(cut, hit, self._merge_long(hit) if self.merges else self._viterbi(hit))]
+                for i, ids in zip(part, found):
+                    out[i] = ids
         return out
 
     def _hits(self, words: list[str], n: int) -> np.ndarray:
@@ -112,9 +121,11 @@ class Pieces:
         hit = np.full((len(words), n, min(n, self.longest)), -1, dtype=np.int32)
         for length in range(1, hit.shape[2] + 1):
             key = _substring_keys(codes, length)
+            row, start = np.nonzero(self.seen[key >> np.uint64(64 - _SEEN)])
+            key = key[row, start]
             place = np.searchsorted(self.keys, key)
             place[place == len(self.keys)] = 0
-            hit[:, :key.shape[1], length - 1] = np.where(self.keys[place] == key, place, -1)
+            hit[row, start, length - 1] = np.where(self.keys[place] == key, place, -1)
         return hit
 
     def _viterbi(self, hit: np.ndarray) -> list[list[int]]:
@@ -140,8 +151,8 @@ class Pieces:
             out.append(bounds[::-1])
         return out
 
-    def _merge(self, hit: np.ndarray) -> list[list[int]]:
-        """Bounds of the pieces after all merges; every step merges once in every word."""
+    def _merge(self, words: list[str], hit: np.ndarray) -> list[bytes]:
+        """Ids after all merges; every step merges once in every word."""
         rows, n, longest = hit.shape
         score = np.where(hit >= 0, self.scores[hit], -np.inf)
         out: list = [None] * rows
@@ -155,8 +166,12 @@ class Pieces:
                 options = np.where(length <= longest, score[who[:, None], start, np.minimum(length, longest) - 1], -np.inf)
                 pick = options.argmax(axis=1)
                 gone = np.isinf(options[np.arange(len(who)), pick])
-            for r, b in zip(who[gone].tolist(), bound[gone].tolist()):
-                out[r] = b
+            done, ends = who[gone], bound[gone]
+            place = hit[done[:, None], ends[:, :-1], np.diff(ends, axis=1) - 1]
+            ids = self.ids[place].astype("<i4").tobytes()
+            width = 4 * (m - 1)
+            for i, (r, covered) in enumerate(zip(done.tolist(), (place >= 0).all(axis=1).tolist())):
+                out[r] = ids[i * width:(i + 1) * width] if covered else self._ids(words[r], hit[r], ends[i].tolist())
             if gone.all():
                 break
             stay = ~gone
@@ -193,7 +208,7 @@ class Pieces:
                 offer(before[left])
         return [i for i in range(n) if live[i]] + [n]
 
-    def _ids(self, word: str, row: np.ndarray, bounds: list[int]) -> np.ndarray:
+    def _ids(self, word: str, row: np.ndarray, bounds: list[int]) -> bytes:
         ids: list[int] = []
         for a, b in zip(bounds, bounds[1:]):
             place = row[a, b - a - 1]
@@ -201,7 +216,7 @@ class Pieces:
                 ids.append(self.ids[place])
             else:  # one character that no piece covers
                 ids += self.byte_ids[list(word[a:b].encode())].tolist()
-        return np.array(ids, dtype=np.int32)
+        return np.array(ids, dtype="<i4").tobytes()
 
     def _words(self, text: str) -> list[str | None]:
         """Words with the space mark; None stands for a literal mark."""
@@ -214,17 +229,25 @@ class Pieces:
             out += _WORD.findall((MARK if not i else "") + part.replace(" ", MARK))
         return out
 
+    def _known(self, words: set[str]) -> None:
+        """See that ``cache`` holds these words; ones in use outlive those met once."""
+        if len(self.cache) > CACHED:
+            self.cache, self.older = {}, self.cache
+        new = []
+        for w in words:
+            if w not in self.cache:
+                if w in self.older:
+                    self.cache[w] = self.older[w]
+                else:
+                    new.append(w)
+        self.cache.update(zip(new, self.segment(new)))
+
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self._words(t or "") for t in texts]
-        new = list({w for words in split for w in words if w is not None and w not in self.cache})
-        if len(self.cache) + len(new) > CACHED:
-            self.cache.clear()
-            new = list({w for words in split for w in words if w is not None})
-        for w, ids in zip(new, self.segment(new)):
-            self.cache[w] = ids.tobytes()
-        literal = self.byte_ids[list(MARK.encode())].tobytes()
+        self._known({w for words in split for w in words if w is not None})
+        literal = self.byte_ids[list(MARK.encode())].astype("<i4").tobytes()
         known = self.cache
-        return [np.frombuffer(b"".join([literal if w is None else known[w] for w in words]), np.int32) for words in split]
+        return [np.frombuffer(b"".join([literal if w is None else known[w] for w in words]), "<i4") for words in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text; the space mark put before its first word goes."""

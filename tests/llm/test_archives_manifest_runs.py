@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from catalogprep.llm import merkle, periodic, queries, warc
+from catalogprep.llm import merkle, periodic, warc
 
 SMALL = "/root/testdata/sf0.001"
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -302,9 +302,3 @@ def test_no_runs_in_no_documents(spark):
     empty = spark.createDataFrame([], RUN_DOC)
     assert periodic.digests(periodic.with_planted_runs(empty)).count() == 0
     assert periodic.runs(empty).count() == 0
-
-
-@pytest.mark.parametrize("name,table", [("op11_warc", "pages"), ("op12_merkle", "documents")])
-def test_queries_match_their_sql(spark, name, table):
-    got = queries.QUERIES[name](spark, SMALL)
-    assert by_value(got.collect()) == by_value(from_sql(queries.ORACLE[name], table, f"{SMALL}/{table}.parquet"))

@@ -552,7 +552,7 @@ def test_mixing_comes_near_the_targets(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     df, cur = queries.QUERIES[name](spark, SMALL), con.execute(queries.ORACLE[name])
     cols = [c[0] for c in cur.description]
