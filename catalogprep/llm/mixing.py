@@ -2,12 +2,13 @@
 
 Tokens (words) are summed per source, a repetition rate is derived for each source, and
 every document is emitted floor(rate) times plus once more with a probability equal to
-the fraction, drawn from a hash of a seed and its id, so reruns agree.
+the fraction, drawn from a hash of a seed, its id and its text, so reruns agree.
 
 Defined results: a null text has size 0; null is a source of its own, ordered last;
-a source without words has target 0 and its documents are not emitted; rows repeated
-with the same id draw the same number; a null id draws as the text 'null'; other columns
-do not matter, whatever their names; an empty table gives an empty result.
+a source without words has target 0 and its documents are not emitted; different texts
+under one id, or without an id (drawn as the text 'null'), draw each for itself; rows equal
+in id and text draw the same number; other columns do not matter, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ def text_size(text: Column) -> Column:
     return F.regexp_count(text, F.lit(SPACED)).cast("bigint")
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the first 52 bits of an MD5 sum."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the first 52 bits of an MD5 sum of the id and the text's MD5 sum."""
+    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(text.cast("binary")))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -56,13 +57,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     return table.select("source", "source_size", F.least(F.col("weight") * F.lit(level), cap).alias("target"))
 
 
-def _planned(sized: DataFrame, weights, max_repeat: int, seed: str) -> DataFrame:
-    """``sized`` (doc_id, source, size and others) with source_size, target and copies."""
+def _planned(sized: DataFrame, weights, max_repeat: int) -> DataFrame:
+    """``sized`` (source, size, draw and others) with source_size, target and copies."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sums, weights, max_repeat).withColumnRenamed("source", "__source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate)
-    copies = (whole + (draw(F.col("doc_id"), seed) < rate - whole).cast("bigint")).cast("bigint")
+    copies = (whole + (F.col("draw") < rate - whole).cast("bigint")).cast("bigint")
     return (sized.join(small_side(targets), F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
             .withColumn("copies", copies))
 
@@ -70,14 +71,15 @@ def _planned(sized: DataFrame, weights, max_repeat: int, seed: str) -> DataFrame
 def mix_plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, copies (how often the mix emits the
     document) and taken (words taken, repeats counted) of every row."""
-    sized = docs.select("doc_id", "source", text_size(text_of()).alias("size"))
-    return _planned(sized, weights, max_repeat, seed).withColumn("taken", F.col("copies") * F.col("size"))
+    sized = docs.select("doc_id", "source", text_size(text_of()).alias("size"), draw(F.col("doc_id"), text_of(), seed).alias("draw"))
+    return _planned(sized, weights, max_repeat).drop("draw").withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as the mix takes it."""
-    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), "doc_id", "source", text_size(text_of()).alias("size"))
-    plan = _planned(rows, weights, max_repeat, seed).where("copies > 0")
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), "source", text_size(text_of()).alias("size"),
+                       draw(F.col("doc_id"), text_of(), seed).alias("draw"))
+    plan = _planned(rows, weights, max_repeat).where("copies > 0")
     return (plan.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
             .select("row.*"))
 
@@ -90,7 +92,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS th,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -110,7 +112,7 @@ t AS (SELECT source, source_size, least(weight * level, cap) AS target FROM r, f
 x AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)::DOUBLE
+         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':' || th), 1, 13) AS BIGINT)::DOUBLE
            / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,

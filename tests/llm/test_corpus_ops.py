@@ -88,6 +88,13 @@ def test_licences_against_brute_force(docs, rows, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
+def test_labels_of_a_file_do_not_depend_on_the_others(spark):
+    for others in (["licensed under"] * 20, ["cc by nc"] * 20):
+        rows = [(0, "CC BY-NC")] + [(1 + i, t) for i, t in enumerate(others)]
+        got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 0").first()
+        assert got.labels == "cc-by,cc-by-nc"
+
+
 def test_licences_of_the_documents(spark):
     got = queries.QUERIES["op1_license_scan"](spark, SMALL).collect()
     texts = duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall()
@@ -246,6 +253,54 @@ def test_quality_query_held_out_accuracy(spark):
     assert np.mean(clean) > 0.95 and np.mean(poor) < 0.05
 
 
+def test_toxic_recall_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, quality.graded_labels(labels.where("doc_id % 3 <> 0")))
+    held = quality.grade(docs.where("doc_id % 3 = 0"), model).join(quality.graded_labels(labels), "doc_id")
+    kept = {r.grade: r.kept for r in held.groupBy("grade").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()}
+    assert kept[2] > 0.95 and kept[0] < 0.05 and kept[1] < 0.35, kept
+
+
+def test_likelihood_thresholds_and_tails_by_hand():
+    rng = random.Random(8)
+    ids, grades = [], []
+    for i in range(300):
+        g = rng.randrange(3)
+        ids.append(np.array(sorted({g if rng.random() < 0.8 else rng.randrange(3), 3 + rng.randrange(2)})))
+        grades.append(g)
+    model = quality.fit(ids, np.array(grades), bits=3, rounds=2000, l2=1.0, min_docs=1)
+    counts = Counter(grades)
+
+    def loss(weights, thresholds):
+        total = 0.5 * sum(w * w for w in weights)
+        for x, g in zip(ids, grades):
+            above = [1.0] + [1 / (1 + math.exp(t - sum(weights[j] for j in x))) for t in thresholds] + [0.0]
+            total -= len(ids) / (3 * counts[g]) * math.log(above[g] - above[g + 1])
+        return total
+
+    w, t = model.weights.astype(float), model.thresholds.astype(float)
+    assert (w[3:] == 0).all()  # says nothing about the grade
+    for d in (-0.03, 0.03):  # no step lowers the penalised likelihood
+        for j in range(3):
+            assert loss(np.r_[w[:j], w[j] + d, w[j + 1:]], t) > loss(w, t) - 1e-4
+        for j in range(2):
+            assert loss(w, np.r_[t[:j], t[j] + d, t[j + 1:]]) > loss(w, t) - 1e-4
+    tails = model.tails(np.array([w[0], w[2]]))
+    assert tails == pytest.approx(np.array([[1 / (1 + math.exp(k - s)) for k in t] for s in (w[0], w[2])]), abs=1e-6)
+
+
+def test_model_and_grades_do_not_depend_on_the_order(spark):
+    rows = [(i, ("moron " if i % 2 else "fine ") + prose(i, 8)) for i in range(120)] + [(i, "other " + prose(500 + i, 5)) for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(120)], "doc_id long, quality int, toxic int")
+    models = [quality.train(spark.createDataFrame(rows[::step], "doc_id long, text string").repartition(n), quality.graded_labels(labels))
+              for step, n in ((1, 1), (-1, 3), (1, 4))]
+    assert models[0].weights.any() and all(m.weights.tolist() == models[0].weights.tolist() for m in models)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r, (_, text) in zip(quality.grade(docs, models[0]).collect(), rows):
+        tails = models[0].tails(np.array([sum(models[0].weights[j] for j in quality.feature_ids(text))]))[0]
+        assert (r.expected_grade, r.tail) == pytest.approx((tails.sum(), tails[-1]), abs=1e-5) and r.keep == (r.tail >= models[0].keep_at)
+
+
 # --- 5: pieces
 
 def test_pieces_round_trip_and_library():
@@ -457,6 +512,13 @@ def test_simhash_query(spark):
     assert by_id(got) == brute_simhash(duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall())
 
 
+def test_kept_row_of_equal_texts_does_not_depend_on_the_order(spark):
+    rows = [(3, "one two three", s) for s in "xyz"] + [(4, "one two three", "w")]
+    found = {tuple(simhash.keep_one(spark.createDataFrame(rows[::step], "doc_id long, text string, source string").repartition(n)).first())
+             for step in (1, -1) for n in (1, 2, 4)}
+    assert len(found) == 1 and found.pop()[0] == 3
+
+
 # --- 8: substrings
 
 def brute_substrings(rows, window=35):
@@ -542,6 +604,14 @@ def test_mixing_cases(spark, docs, rows, no_docs):
     assert [tuple(r)[2:6] for r in mixing.mix_plan(blank).collect()] == [(0, 0, 0.0, 0)] * 2
 
 
+def test_mixing_of_documents_without_an_id_comes_near_the_targets(spark):
+    rows = [(None, f"{i} " * 50, "a") for i in range(400)] + [(7, f"x{i} " * 50, "b") for i in range(100)]
+    rows += [(i, "z " * 50, "c") for i in range(20)]
+    plan = mixing.mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source, target in {(p.source, p.target) for p in plan}:
+        assert abs(sum(p.taken for p in plan if p.source == source) - target) < 0.2 * target
+
+
 def test_mixing_comes_near_the_targets(spark):
     got = mixing.query(spark, "/root/testdata/sf0.1")
     for r in got.join(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "source"), "doc_id").groupBy(
