@@ -7,6 +7,7 @@ frequency form the index: word -> (template, place).  A second pass takes each f
 occurrences of indexed words, turns every posting into the start that it implies,
 intersects a template's postings on equal starts, and verifies the key phrases there.
 A key phrase can only stand where its rarest words stand, so no place is missed.
+A place counts if its key phrases hold, whatever the other files say.
 The score of a place is the share of its template's IDF weight found at its relative
 places; a file's score is its best verified one.
 
@@ -50,7 +51,6 @@ MORE_TEMPLATES = (
     ("mpl-2.0", ((0, "mozilla public license"),), ((3, "version 2 0"),)),
     ("unlicense", ((0, "free and unencumbered software"),), ((4, "released into the public domain"),)),
 )
-MIN_SHARE = 0.5
 RARE_WORDS = 3
 
 
@@ -107,7 +107,7 @@ def _share(t: Template, idf: dict[str, float], s: Column) -> Column:
     return F.least(F.lit(1.0), got / total)
 
 
-def scan(docs: DataFrame, base=BASE_TEMPLATES, more=MORE_TEMPLATES, min_share: float = MIN_SHARE,
+def scan(docs: DataFrame, base=BASE_TEMPLATES, more=MORE_TEMPLATES,
          rare_words: int = RARE_WORDS) -> DataFrame:
     """doc_id, n_words, places (label, word, share of every verified place, base and
     other), n_base, first_word, last_word, base_labels, labels, score."""
@@ -132,7 +132,7 @@ def scan(docs: DataFrame, base=BASE_TEMPLATES, more=MORE_TEMPLATES, min_share: f
 
     out = scanned.select(
         "doc_id", F.size("words").cast("bigint").alias("n_words"), all_of(first).alias("base_places"),
-        F.filter(all_of(rest), lambda p: p.share >= min_share).alias("more_places"))
+        all_of(rest).alias("more_places"))
     joined = lambda c: F.array_join(F.sort_array(F.array_distinct(F.transform(c, lambda p: p.label))), ",")
     both = F.concat("base_places", "more_places")
     starts = F.transform("base_places", lambda p: p.word)
