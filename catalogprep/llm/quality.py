@@ -15,7 +15,7 @@ punctuation, each in steps).  Features in fewer than ``MIN_DOCS`` sampled
 documents, or whose presence hardly depends on the grade there, get no weight.
 
 Defined results: null and empty texts have only shape features; rows repeated with one id
-count once in the fit and are scored each; contradicting grades of one id count as the
+count once in the fit (of different texts the one with the smallest hash) and are scored each; contradicting grades of one id count as the
 lowest; null grades and grades of unknown documents are ignored; with fewer than two
 different grades, or no telling feature, there is nothing to learn, and every document gets the top grade; an empty
 table gives an empty result.  Columns of the input that clash with the added ones are
@@ -39,9 +39,11 @@ BITS = 18
 MAX_TRAIN = 8192
 MIN_DOCS = 3
 ROUNDS = 200
-LEAST_G = (20.0, 60.0)
+LEAST_G = 45.0
 L2 = 1.0
-KEEP_AT = 0.35
+KEEP_AT = 0.5
+KEEP_CLEAN = 0.98
+HELD_OUT = 8
 PREFIX = 5
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+")
 _STEPS = (0.0, 0.02, 0.05, 0.1, 0.2, 0.4, 0.6, 0.8)
@@ -72,11 +74,13 @@ def feature_ids(text: str | None, bits: int = BITS) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights by feature id and the ordered thresholds."""
+    """Weights by feature id, the ordered thresholds, and the tail probability from which
+    documents are kept."""
 
     weights: np.ndarray
     thresholds: np.ndarray
     bits: int = BITS
+    keep_at: float = KEEP_AT
 
     def score(self, text: str | None) -> float:
         return float(self.weights[feature_ids(text, self.bits)].sum())
@@ -96,10 +100,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def telling(flat: np.ndarray, grade: np.ndarray, docs_of: np.ndarray, size: int, min_docs: int,
-            least: tuple[float, float] = LEAST_G) -> np.ndarray:
-    """Which features' presence depends on the grade: likelihood ratio (G) of at least a
-    hundredth of the documents, within ``least`` (G of a true dependence grows with them).
-    Random words, by far the most, would else add noise to long texts."""
+            least: float = LEAST_G) -> np.ndarray:
+    """Which features' presence depends on the grade: likelihood ratio (G) of at least
+    ``least``.  Random words, by far the most, would else add noise to long texts."""
     k = len(docs_of)
     seen = np.bincount(flat * k + grade, minlength=size * k).reshape(size, k).astype(np.float64)
     n, total = seen.sum(axis=1), docs_of.sum()
@@ -108,7 +111,7 @@ def telling(flat: np.ndarray, grade: np.ndarray, docs_of: np.ndarray, size: int,
         with np.errstate(divide="ignore", invalid="ignore"):
             x = has * np.log(has * total / (part[:, None] * docs_of[None, :]))
         g += 2 * np.nan_to_num(x, nan=0.0, posinf=0.0, neginf=0.0).sum(axis=1)
-    return (n >= min_docs) & (g >= min(max(docs_of.sum() / 100, least[0]), least[1]))
+    return (n >= min_docs) & (g >= least)
 
 
 def fit(ids: list[np.ndarray], grades: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, l2: float = L2,
@@ -153,6 +156,19 @@ def fit(ids: list[np.ndarray], grades: np.ndarray, bits: int = BITS, rounds: int
     return Model(weights, (p[1][0] + np.r_[0.0, np.cumsum(np.exp(p[2]))]).astype(np.float32), bits)
 
 
+def calibrated(ids: list[np.ndarray], grades: np.ndarray, bits: int = BITS) -> Model:
+    """A model fitted on all but every ``HELD_OUT``-th row.  It keeps documents whose top grade
+    is more likely than not (``KEEP_AT``), or from a lower probability on if otherwise less than
+    ``KEEP_CLEAN`` of the held-out rows of the top grade stayed."""
+    held = np.arange(len(ids)) % HELD_OUT == HELD_OUT - 1
+    model = fit([x for x, h in zip(ids, held) if not h], grades[~held], bits)
+    model.bits = bits
+    clean = np.array([model.weights[x].sum() for x, h, g in zip(ids, held, grades) if h and g == grades.max()])
+    if len(clean) and model.weights.any():
+        model.keep_at = min(KEEP_AT, float(np.quantile(model.tails(clean)[:, -1], 1 - KEEP_CLEAN, method="lower")))
+    return model
+
+
 def train(docs: DataFrame, graded: DataFrame, bits: int = BITS, max_train: int = MAX_TRAIN) -> Model:
     """Fit on at most ``max_train`` graded documents.  ``graded``: doc_id, grade."""
     one = graded.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
@@ -160,23 +176,25 @@ def train(docs: DataFrame, graded: DataFrame, bits: int = BITS, max_train: int =
 
     def features(batches):
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("int64"), "grade": b["grade"].astype("int32"),
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("int64"), "th": b["th"].astype("int64"), "grade": b["grade"].astype("int32"),
                                 "ids": [feature_ids(t, bits) for t in b["text"]]})
 
     def fitted(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("doc_id").reset_index(drop=True)
-        model = fit([np.asarray(x, dtype=np.int64) for x in df["ids"]], df["grade"].to_numpy(dtype=np.int64), bits)
-        return pd.DataFrame({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tobytes()]})
-
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = (picked.mapInPandas(features, "doc_id long, grade int, ids array<long>").dropDuplicates(["doc_id"])
-            .withColumn("all", F.lit(1)).groupBy("all").applyInPandas(fitted, "weights binary, thresholds binary").collect())
+        model = calibrated([np.asarray(x, dtype=np.int64) for x in df["ids"]], df["grade"].to_numpy(dtype=np.int64), bits)
+        return pd.DataFrame({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tobytes()], "keep_at": [model.keep_at]})
+
+    picked = docs.select("doc_id", "text", F.xxhash64("text").alias("th")).join(F.broadcast(sample), "doc_id")
+    # of different texts under one id, the one with the smallest hash
+    rows = (picked.mapInPandas(features, "doc_id long, th long, grade int, ids array<long>")
+            .groupBy("doc_id").agg(F.min(F.struct("th", "grade", "ids")).alias("one")).select("doc_id", "one.grade", "one.ids")
+            .withColumn("all", F.lit(1)).groupBy("all").applyInPandas(fitted, "weights binary, thresholds binary, keep_at double").collect())
     if not rows:
         return _neutral(1, bits)
-    return Model(np.frombuffer(rows[0].weights, np.float32), np.frombuffer(rows[0].thresholds, np.float32), bits)
+    return Model(np.frombuffer(rows[0].weights, np.float32), np.frombuffer(rows[0].thresholds, np.float32), bits, rows[0].keep_at)
 
 
-def grade(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:
+def grade(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, expected_grade, tail (probability of the top grade), keep for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^bits weights, whatever the input
 
@@ -184,12 +202,12 @@ def grade(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:
     def graded(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
         tails = m.tails(np.fromiter((m.score(t) for t in texts), np.float64, len(texts)))
-        return pd.DataFrame({"expected_grade": tails.sum(axis=1), "tail": tails[:, -1], "keep": tails[:, -1] >= keep_at})
+        return pd.DataFrame({"expected_grade": tails.sum(axis=1), "tail": tails[:, -1], "keep": tails[:, -1] >= m.keep_at})
 
     return docs.select("doc_id", graded("text").alias("g")).select("doc_id", "g.*")
 
 
-def select(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame:
+def select(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that the classifier keeps, columns as they were."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -197,7 +215,7 @@ def select(docs: DataFrame, model: Model, keep_at: float = KEEP_AT) -> DataFrame
     def keep(texts: pd.Series) -> pd.Series:
         m = shared.value
         tails = m.tails(np.fromiter((m.score(t) for t in texts), np.float64, len(texts)))
-        return pd.Series(tails[:, -1] >= keep_at)
+        return pd.Series(tails[:, -1] >= m.keep_at)
 
     return docs.where(keep("text"))
 
