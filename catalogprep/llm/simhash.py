@@ -135,14 +135,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each group: the one with the smallest id (none last), and of different
-    texts of that id in the group the one with the smallest hash."""
+    """One row of each group: the one with the smallest id (none last), of different texts
+    of that id in the group the one with the smallest hash, and of rows equal in both the
+    one with the smallest hash of all columns."""
     found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__kept"))).alias("first")
     kept = found.groupBy("root").agg(first).select("first.__id", "first.__kept")  # a text has one root, so no key twice
-    rows = docs.withColumn("__text", F.xxhash64("text"))
+    rows, whole = docs.withColumn("__text", F.xxhash64("text")), [F.col(f"`{c}`") for c in docs.columns]
     return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__kept")))
-            .select(*rows.columns).dropDuplicates(["doc_id", "__text"]).drop("__text"))
+            .groupBy("doc_id", "__text").agg(F.min_by(F.struct(*whole), F.xxhash64(*whole)).alias("row"))
+            .select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
