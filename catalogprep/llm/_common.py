@@ -70,6 +70,18 @@ def small_side(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def salted_join(rows: DataFrame, side: DataFrame, keys: list[str], times: str, salt_by: list[str], cap: int = 4096) -> DataFrame:
+    """Inner join of ``rows`` with ``side``, a saved table of one row a key whose column ``times``
+    (which goes) says how many of ``rows`` have it.  Keys of more than ``cap`` rows, of which there are at
+    most a ``cap``-th as many as rows, are dealt over a salt, so that none is one task's work."""
+    n = F.ceil(F.col(times) / cap).cast("int")
+    hot = saved(side.where(F.col(times) > cap).select(*keys, n.alias("__salts")), "hot-keys")
+    salt = F.pmod(F.xxhash64(F.lit(17), *salt_by), F.coalesce("__salts", F.lit(1))).cast("int")
+    dealt = rows.join(small_side(hot), keys, "left").withColumn("__salt", salt).drop("__salts")
+    salted = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), n - 1))).drop(times)
+    return dealt.join(salted, [*keys, "__salt"]).drop("__salt")
+
+
 def hash_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """About ``n`` rows (never more): those with the smallest hash of ``keys``.  Rows whose
     hash lies well above the n-th smallest are left out before the ordering, so tasks

@@ -17,6 +17,8 @@ the task that streams the text that can match it.
    its windows are counted one by one in a grouped aggregate instead, which is exact too.
 4. Spans go back to their documents, judged on the input.
 
+Seeds, contexts and windows that very many places share are dealt over a salt in the joins.
+
 Seeds are computed twice, for their counts and for the places of the repeated ones, rather
 than written; texts are compressed before they are shuffled to their seeds and spans.
 
@@ -36,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogprep.llm._common import read_table, saved, small_side
+from catalogprep.llm._common import read_table, salted_join, saved, small_side
 
 WINDOW = 35
 SEED_WORDS = 8
@@ -231,8 +233,8 @@ def _judged_by_counts(contexts: DataFrame, window: int) -> DataFrame:
     each = contexts.select("seed", "cid", "n", w.alias("w")).select(
         "seed", "cid", "n", F.explode(F.sequence(F.lit(0), F.size("w") - window)).alias("i"), "w").select(
         "seed", "cid", "n", "i", F.array_join(F.slice("w", F.col("i") + 1, window), " ").alias("words"))
-    known = each.groupBy("seed", "words").agg(F.sum("n").alias("places")).where("places > 1").drop("places")
-    return (each.join(known, ["seed", "words"]).groupBy("seed", "cid")
+    known = each.groupBy("seed", "words").agg(F.sum("n").alias("places"), F.count("*").alias("rows")).where("places > 1").drop("places")
+    return (salted_join(each, saved(known, "windows"), ["seed", "words"], "rows", ["cid", "i"]).groupBy("seed", "cid")
             .agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")))
 
 
@@ -241,8 +243,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard: int = SHARD)
     mask's bit i stands for the window that starts i words after start."""
     docs = docs.select("__id", "__th", "text")
     found = _seed_rows(docs, window)
-    again = found.groupBy("seed").count().where("count > 1").select("seed")
-    listed = (found.join(again, "seed").groupBy("__id", "__th")
+    again = saved(found.groupBy("seed").agg(F.count("*").alias("rows")).where("rows > 1"), "seeds")
+    listed = (salted_join(found, again, ["seed"], "rows", ["__id", "__th", "start"]).groupBy("__id", "__th")
               .agg(F.collect_set(F.struct("start", "n", "seed")).alias("at")))
     texts = docs.select("__id", "__th", _packed("text").alias("__text"))
     occurrences = saved(_contexts(texts.join(listed, ["__id", "__th"]), window), "contexts")
@@ -251,8 +253,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard: int = SHARD)
     hot = small_side(hot)
     masks = (_judged_by_automata(contexts.join(hot, "seed", "left_anti"), window)
              .unionByName(_judged_by_counts(contexts.join(hot, "seed", "left_semi"), window)))
-    masks = saved(masks, "masks")
-    return (occurrences.select("__id", "__th", "start", "seed", "cid").join(masks, ["seed", "cid"])
+    masks = saved(masks.join(contexts.select("seed", "cid", "n"), ["seed", "cid"]), "masks")
+    places = occurrences.select("__id", "__th", "start", "seed", "cid")
+    return (salted_join(places, masks, ["seed", "cid"], "n", ["__id", "__th", "start"])
             .groupBy("__id", "__th").agg(F.collect_set(F.struct("start", "mask")).alias("__runs")))
 
 
