@@ -167,8 +167,10 @@ def manifest(leaves: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Roots and proofs of ``leaves`` (doc_id, source, leaf, found: the digest of the data that is
     verified): doc_id, leaf, subroot, root, proof (see ``_packed``), folded_root, verified."""
     keyed = leaves.select("doc_id", tree_key(F.col("source")).alias("tree"), F.col("leaf").alias("digest"), "found")
-    # equal rows have equal keys; a random number keeps many of them out of one range
-    nodes = numbered(keyed.withColumn("__salt", F.xxhash64(F.monotonically_increasing_id())), "tree", "doc_id", "digest", "__salt")
+    # a sample of the keys is drawn to the driver, so they hold a digest's first 60 bits as a number;
+    # equal rows have equal keys, and another number keeps very many of them out of one range
+    lead = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
+    nodes = numbered(keyed.withColumns({"__lead": lead, "__salt": F.xxhash64(F.monotonically_increasing_id())}), "tree", "doc_id", "__lead", "__salt")
     subroots, blocks = proofs_of(nodes.select("tree", "idx", "n", "digest"), depth)
     tops = saved(numbered(subroots.withColumnRenamed("tree", "source").withColumn("tree", F.lit("")), "tree", "source"), "tops")
     root, outer = proofs_of(tops.select("tree", "idx", "n", "digest"), depth)
