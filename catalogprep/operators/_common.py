@@ -5,6 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalogprep.session import scratch_path
+
+
+def parked(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: what several later steps use
+    is computed once, and a lost executor costs no recomputation of what lies before."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def require_columns(df: DataFrame, columns) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

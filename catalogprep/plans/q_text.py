@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogprep.operators import text as TX
+from catalogprep.operators.ranking import word_ranking
 from catalogprep.operators._common import spread
 from catalogprep.plans.q_features import STOP_SQL
 from catalogprep.plans.registry import register
@@ -42,6 +43,75 @@ def bigram_freq(spark, d):
     return TX.bigram_freq(spread(read_table(spark, d, "documents").select("text")), "text")
 
 
+# forms as spelled; words and pairs folded by case and final s; best spelling by count, then bytes
+FOLD_SQL = f"""sp AS (
+  SELECT list_filter(
+           list_transform(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_][\\p{{L}}\\p{{N}}_'']*'),
+                          lambda x: CASE WHEN lower(x) LIKE '%''s' THEN x[:length(x) - 2] ELSE x END),
+           lambda x: NOT regexp_full_match(x, '\\p{{Nd}}*')) AS t
+  FROM documents),
+ok AS (SELECT t, list_transform(t, lambda x: NOT list_contains({STOP_SQL}, lower(x))) AS k FROM sp),
+forms AS (
+  SELECT is_pair, form, count(*) AS n FROM (
+    SELECT false AS is_pair, unnest(list_transform(list_filter(range(1, len(t) + 1), lambda i: k[i]), lambda i: t[i])) AS form FROM ok
+    UNION ALL
+    SELECT true, unnest(list_transform(list_filter(range(1, len(t)), lambda i: k[i] AND k[i + 1]), lambda i: t[i] || ' ' || t[i + 1])) FROM ok)
+  GROUP BY ALL),
+keyed AS (SELECT *, lower(form) AS key, lower(form) LIKE '%s' AND lower(form) NOT LIKE '%ss' AND length(form) > 1 AS plural FROM forms),
+based AS (
+  SELECT *, CASE WHEN plural THEN key[:length(key) - 1] ELSE key END AS stem,
+         CASE WHEN plural THEN form[:length(form) - 1] ELSE form END AS base FROM keyed),
+spelled AS (
+  SELECT b.is_pair, b.stem, CASE WHEN s.stem IS NULL THEN form ELSE base END AS shown, sum(n) AS n
+  FROM based b LEFT JOIN (SELECT DISTINCT is_pair, stem FROM based WHERE NOT plural) s ON s.is_pair = b.is_pair AND s.stem = b.stem
+  GROUP BY ALL),
+folded AS (SELECT is_pair, stem, first(shown ORDER BY n DESC, shown) AS term, sum(n) AS n FROM spelled GROUP BY ALL)"""
+
+
+def _ranked_sql(rows: str) -> str:
+    return f"""WITH {FOLD_SQL},
+{rows},
+best AS (SELECT * FROM ranked ORDER BY n DESC, term LIMIT 200)
+SELECT term, kind, CAST(n AS BIGINT) AS n, round(score, 4) AS score, n / max(n) OVER () AS weight FROM best"""
+
+
+_L = "(ln(greatest({p}, 1e-10::DOUBLE)) * {k} + ln(greatest(1 - {p}, 1e-10::DOUBLE)) * ({n} - {k}))"
+_SCORE_SQL = "-2 * (" + " ".join([
+    _L.format(k="c", n="a", p="(b / t)"), "+", _L.format(k="(b - c)", n="(t - a)", p="(b / t)"),
+    "-", _L.format(k="c", n="a", p="(c / a)"), "-", _L.format(k="(b - c)", n="(t - a)", p="((b - c) / (t - a))")]) + ")"
+
+
+@register(
+    "word_ranking",
+    _ranked_sql(f"""stems AS (
+  SELECT term, n, CASE WHEN w LIKE '%s' AND w NOT LIKE '%ss' AND length(w) > 1 THEN w[:length(w) - 1] ELSE w END AS l,
+         CASE WHEN v LIKE '%s' AND v NOT LIKE '%ss' AND length(v) > 1 THEN v[:length(v) - 1] ELSE v END AS r
+  FROM (SELECT term, n, lower(split_part(term, ' ', 1)) AS w, lower(split_part(term, ' ', 2)) AS v FROM folded WHERE is_pair)),
+four AS (
+  SELECT s.term, s.n, l, r, s.n::DOUBLE AS c, x.n::DOUBLE AS a, y.n::DOUBLE AS b,
+         (SELECT sum(n) FROM folded WHERE NOT is_pair)::DOUBLE AS t
+  FROM stems s JOIN folded x ON NOT x.is_pair AND x.stem = l JOIN folded y ON NOT y.is_pair AND y.stem = r),
+pairs AS (SELECT * FROM (SELECT term, n, l, r, CASE WHEN t <= a OR t <= b THEN 0 ELSE {_SCORE_SQL} END AS score FROM four) WHERE score > 30),
+taken AS (SELECT stem, sum(n) AS n FROM (SELECT l AS stem, n FROM pairs UNION ALL SELECT r, n FROM pairs) GROUP BY 1),
+ranked AS (
+  SELECT * FROM (SELECT f.term, 'word' AS kind, f.n - coalesce(k.n, 0) AS n, NULL::DOUBLE AS score
+                 FROM folded f LEFT JOIN taken k ON k.stem = f.stem WHERE NOT f.is_pair) WHERE n > 0
+  UNION ALL SELECT term, 'pair', n, score FROM pairs)"""),
+)
+def ranking(spark, d):
+    docs = spread(read_table(spark, d, "documents").select("text"))
+    return word_ranking(docs, "text").withColumn("score", F.round("score", 4))
+
+
+@register(
+    "word_ranking_singles",
+    _ranked_sql("ranked AS (SELECT term, 'word' AS kind, n, NULL::DOUBLE AS score FROM folded WHERE NOT is_pair)"),
+)
+def ranking_singles(spark, d):
+    docs = spread(read_table(spark, d, "documents").select("text"))
+    return word_ranking(docs, "text", pairs=False).withColumn("score", F.round("score", 4))
+
+
 @register(
     "json_props",
     "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
