@@ -1,9 +1,8 @@
 """Summary statistics and correlation matrices (one aggregate pass each).
 
-Quantiles are exact by default (``percentile``: linear interpolation, the
-same as numpy/pandas); its buffer grows with the number of distinct values
-per group, so ``exact=False`` switches to ``percentile_approx`` (a bounded
-sketch) for high-cardinality columns at scale.
+Quantiles are exact by default (linear interpolation, the same as numpy/pandas), by a
+radix selection that gathers no group's values in one task (:func:`exact_quantiles`);
+``exact=False`` takes ``percentile_approx`` (a bounded sketch) instead, in the same aggregate.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogprep.operators._common import parked
+
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -34,9 +35,21 @@ def quantiles(c: Column, probs=QUARTILES, *, exact: bool = True, accuracy: int =
     return F.percentile(c, arr) if exact else F.percentile_approx(c, arr, accuracy)
 
 
-#: A bracket is cut into this many ranges of equal width; only the ranges that
-#: hold a wanted order statistic are sorted.
-BRACKET_RANGES = 4096
+#: Counters of one pass per task and group, and the most rows of a cell whose values are ordered.
+CELLS = 1 << 16
+ORDERED_ROWS = 1 << 18
+#: Cells per octave of the first pass: with all octaves of a double and both signs under ``CELLS``.
+_PER_OCTAVE = 15
+
+
+def _magnitude_cell(v: Column) -> Column:
+    """A digit that grows with ``v``: its sign and its magnitude on a logarithmic scale, so
+    that the spread of the values does not matter; infinities and NaN have digits of their own."""
+    m = F.abs(v)
+    digit = F.floor((F.log2(F.when((m > 0) & (m < float("inf")), m)) + 1075) * _PER_OCTAVE) + 1
+    top = CELLS // 2
+    return (F.when(F.isnan(v), top).when(v == float("inf"), top - 1).when(v == float("-inf"), 1 - top).when(v == 0, 0)
+            .otherwise(F.when(v < 0, -digit).otherwise(digit)).cast("int"))
 
 
 def exact_quantiles(
@@ -45,101 +58,93 @@ def exact_quantiles(
     probs=QUARTILES,
     groups: list[str] | tuple[str, ...] = (),
     *,
-    accuracy: int = 100_000,
+    ordered_rows: int = ORDERED_ROWS,
     few_groups: bool = False,
 ) -> DataFrame:
     """Exact quantiles (linear interpolation, as numpy / pandas / DuckDB's
-    ``quantile_cont``) per group without gathering a group's values in one
-    task.  Returns ``(groups..., n, p, q)`` (``n``: non-null values).  Lazy.
-
-    1. One aggregate: the group size ``n`` and ``percentile_approx`` brackets
-       at ``p -/+ 3/accuracy``; the sketch's rank error is at most
-       ``n/accuracy``, so the exact order statistics at ranks
-       ``floor(p(n-1))`` and the next lie inside the bracket.
-    2. One partial aggregate over the rows, each beside its group's brackets:
-       rows inside some bracket are counted per distinct value (a hot value
-       stays one row), all others collapse to one row; conditional sums count
-       what lies below each bracket.  No row is repeated per probability.
-    3. Each bracket's counts (about ``6n/accuracy`` values) are summed over
-       ``BRACKET_RANGES`` ranges; the ranges that hold the two order statistics
-       are found from these sums, and only their values are ordered.
-
-    A rank outside its bracket would be an error of the sketch; it raises
-    rather than give a wrong value.  Groups with fewer than about
-    ``4*accuracy/3`` rows are counted whole (per distinct value), which keeps
-    the result exact for any size.  ``few_groups=True`` says that the group
-    count is bounded by construction (e.g. one group per column), so the
-    brackets are broadcast; else the planner and AQE choose the join.
+    ``quantile_cont``) per group by radix selection, without gathering a group's
+    values in one task.  Returns ``(groups..., n, p, q)`` (``n``: non-null values).
+
+    1. One partial aggregate counts every group's rows by a first digit of the value, its
+       sign and logarithm (under ``CELLS`` digits), with the smallest and largest value of each
+       cell.  Running sums over a group's cells tell which cells hold the order statistics
+       ``floor(p(n-1))`` and the next, and how many rows lie before them.
+    2. While a wanted cell of several values has more than ``ordered_rows`` rows, the rows of such
+       cells are counted again by an even digit between the cell's own extremes, ``CELLS`` to
+       a cell.  Every pass divides a cell's width by ``CELLS``, so after three at most a cell
+       holds one value; mostly one pass or none is needed.
+    3. The values of the cells that are left are counted per distinct value and put in order.
+
+    What a task sends is bounded by ``CELLS`` counters a group and pass, however many rows
+    or splits there are; a very frequent value is one counter.  Every pass is written to the
+    shared scratch folder (a few rows a group), and the next one is planned by it.  ``few_groups=True``
+    says that the number of groups is bounded by construction (e.g. one per column), so the
+    cells are broadcast; else the planner and AQE choose the join.  -0.0 equals 0.0; NaN counts
+    as the largest value.
     """
     named = list(groups)
     src = df.select(*named, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if not named:
-        src = src.withColumn("_all", F.lit(1))
+        src, few_groups = src.withColumn("_all", F.lit(1)), True
     by = named or ["_all"]
-    probs, k, eps = [float(p) for p in probs], len(probs), 3.0 / accuracy
-    sketch = src.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs], accuracy).alias("_a"),
-    )
-    # The sketch's rank error is at most n/accuracy = eps*n/3, so a bracket
-    # of +-eps holds both order statistics once eps*n >= 4.  Smaller groups
-    # (under ~4*accuracy/3 rows) get an open bracket.
-    wide_enough = F.lit(eps) * F.col("_n") >= 4
-    none = F.lit(None).cast("double")
-    brackets = sketch.select(
-        *by, "_n",
-        *[(F.when(wide_enough, F.col("_a")[i]) if p - eps > 0 else none).alias(f"_lo{i}") for i, p in enumerate(probs)],
-        *[(F.when(wide_enough, F.col("_a")[k + i]) if p + eps < 1 else none).alias(f"_hi{i}") for i, p in enumerate(probs)],
-    )
-    j = src.join(F.broadcast(brackets) if few_groups else brackets, by)
-    v = F.col("_v")
-    below = [F.col(f"_lo{i}").isNotNull() & (v < F.col(f"_lo{i}")) for i in range(k)]
-    inside = [~below[i] & ~(F.col(f"_hi{i}").isNotNull() & (v > F.col(f"_hi{i}"))) for i in range(k)]
-    some = inside[0]
-    for x in inside[1:]:
-        some = some | x
-    cells = j.groupBy(*by, F.when(some, v).alias("_kv")).agg(
-        F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"),
-        *[F.sum(below[i].cast("bigint")).alias(f"_b{i}") for i in range(k)],
-        *[F.max(f"_{e}{i}").alias(f"_{e}{i}") for i in range(k) for e in ("lo", "hi")],
-    )
-
-    def entry(i: int) -> Column:
-        lo, hi, kv = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col("_kv")
-        held = kv.isNotNull() & (lo.isNull() | (kv >= lo)) & (hi.isNull() | (kv <= hi))
-        at = F.floor((kv - lo) / (hi - lo) * BRACKET_RANGES)
-        part = F.when(hi > lo, F.greatest(F.least(at, F.lit(BRACKET_RANGES - 1)), F.lit(0))).otherwise(0)
-        return F.struct(F.lit(probs[i]).alias("p"), held.alias("held"), F.when(held, part).otherwise(0).cast("int").alias("part"),
-                        F.when(held, F.col("_c")).otherwise(0).alias("c"), F.col(f"_b{i}").alias("b"))
-
-    long = cells.select(*by, "_n", "_kv", F.explode(F.array(*[entry(i) for i in range(k)])).alias("_e")).select(
-        *by, "_n", "_kv", "_e.*")
-    key = [*by, "p"]
-    # at most BRACKET_RANGES rows for each group and probability from here on
-    per_part = long.groupBy(*key, "_n", "part").agg(F.sum("c").alias("_s"), F.sum("b").alias("_b"))
-    whole = Window.partitionBy(*key)
-    so_far = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rank = F.floor(F.col("p") * (F.col("_n") - 1))
-    placed = per_part.select(
-        *key, "_n", "part", "_s", (F.sum("_s").over(so_far) - F.col("_s")).alias("_before"),
-        F.sum("_s").over(whole).alias("_in"), F.sum("_b").over(whole).alias("_below"),
-    )
-    missed = (F.col("_below") > rank) | (F.col("_below") + F.col("_in") < F.least(rank + 2, F.col("_n")))
-    before = F.when(missed, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("bigint")).otherwise(
-        F.col("_below") + F.col("_before"))
-    wanted = placed.select(*key, "_s", "part", before.alias("_before"), rank.alias("_r")).where(
-        (F.col("_before") < F.col("_r") + 2) & (F.col("_before") + F.col("_s") >= F.col("_r") + 1)
-    ).select(*key, "part", "_before", "_r")
-    run = Window.partitionBy(*key, "part").orderBy("_kv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = long.where("held").join(wanted, [*key, "part"]).select(
-        *key, "_n", "_kv", "_r", (F.col("_before") + F.sum("c").over(run)).alias("_cum"))
-    picked = ranked.groupBy(*key, "_n", "_r").agg(
-        F.min(F.when(F.col("_cum") >= F.col("_r") + 1, F.col("_kv"))).alias("_lo_v"),
-        F.min(F.when(F.col("_cum") >= F.col("_r") + 2, F.col("_kv"))).alias("_hi_v"),
-    )
-    frac = F.col("p") * (F.col("_n") - 1) - F.col("_r")
-    q = F.when(frac == 0, F.col("_lo_v")).otherwise(F.col("_lo_v") + frac * (F.col("_hi_v") - F.col("_lo_v")))
-    return picked.select(*named, F.col("_n").alias("n"), "p", q.alias("q"))
+    probs = [float(p) for p in probs]
+    extremes = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+
+    def wanted(ranks: Column) -> Column:
+        return F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")))
+
+    def running(keys: list[str], digit: str) -> Column:
+        w = Window.partitionBy(*keys).orderBy(digit).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.sum("_c").over(w) - F.col("_c")
+
+    bins = src.groupBy(*by, _magnitude_cell(F.col("_v")).alias("_d")).agg(*extremes)
+    n = F.sum("_c").over(Window.partitionBy(*by))
+    first = [F.floor(F.lit(p) * (F.col("_n") - 1)) for p in probs]
+    ranks = F.array_distinct(F.array(*first, *[F.least(r + 1, F.col("_n") - 1) for r in first]))
+    cells = (bins.withColumns({"_n": n, "_before": running(by, "_d")}).withColumn("_want", wanted(ranks))
+             .where(F.size("_want") > 0).select(*by, "_n", "_lo", "_hi", "_c", "_before", "_want"))
+    cells = parked(cells, "quantile-cells")
+
+    def keyed(these: DataFrame, *cols) -> tuple[DataFrame, list[Column]]:
+        """Cells under other names, with the condition that joins them to rows of their group."""
+        side = these.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col("_lo").alias("_cell0"), *cols)
+        return (F.broadcast(side) if few_groups else side), [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
+
+    def inside(these: DataFrame) -> DataFrame:
+        """Rows of ``src`` beside their cell: its smallest (which names it, as the cells of a group
+        are disjoint) and largest value."""
+        side, same = keyed(these, "_hi")
+        return src.join(side, [*same, F.col("_v") >= F.col("_cell0"), F.col("_v") <= F.col("_hi")]).select(
+            *by, "_v", F.col("_cell0").alias("_cell"), "_hi")
+
+    def beside(rows: DataFrame, these: DataFrame) -> DataFrame:
+        """``rows`` of a cell beside the number of rows before it and the ranks wanted in it."""
+        side, same = keyed(these, "_n", "_before", "_want")
+        return rows.join(side, [*same, F.col("_cell") == F.col("_cell0")])
+
+    wide = (F.col("_c") > ordered_rows) & (F.col("_lo") < F.col("_hi"))
+    while not cells.where(wide).isEmpty():
+        large = cells.where(wide)
+        digit = F.floor((F.col("_v") - F.col("_cell")) / (F.col("_hi") - F.col("_cell")) * CELLS)
+        parts = inside(large).withColumn("_d", F.least(digit, F.lit(CELLS - 1)).cast("int")).groupBy(*by, "_cell", "_d").agg(*extremes)
+        finer = (beside(parts.withColumn("_inner", running([*by, "_cell"], "_d")), large)
+                 .withColumn("_before", F.col("_before") + F.col("_inner")).withColumn("_want", wanted(F.col("_want")))
+                 .where(F.size("_want") > 0).select(*cells.columns))
+        cells = parked(cells.where(~wide).unionByName(finer), "quantile-cells")
+
+    known = cells.where("_lo = _hi").select(*by, "_n", F.explode("_want").alias("_r"), F.col("_lo").alias("_x"))
+    several = cells.where("_lo < _hi")
+    counts = inside(several).groupBy(*by, "_cell", F.col("_v").alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+    placed = (beside(counts.withColumn("_inner", running([*by, "_cell"], "_x")), several)
+              .withColumn("_before", F.col("_before") + F.col("_inner")))
+    found = placed.select(*by, "_n", "_x", F.explode(wanted(F.col("_want"))).alias("_r"))
+    values = F.map_from_entries(F.collect_list(F.struct("_r", "_x")))  # two ranks a probability at most
+    each = known.unionByName(found.select(*known.columns)).groupBy(*by, "_n").agg(values.alias("_at"))
+    each = each.select(*named, F.col("_n").alias("n"), "_at", F.explode(F.array(*map(F.lit, probs))).alias("p"))
+    rank = F.floor(F.col("p") * (F.col("n") - 1))
+    frac = F.col("p") * (F.col("n") - 1) - rank
+    lo, hi = F.element_at("_at", rank), F.element_at("_at", F.least(rank + 1, F.col("n") - 1))
+    return each.select(*named, "n", "p", F.when(frac == 0, lo).otherwise(lo + frac * (hi - lo)).alias("q"))
 
 
 def quantile_columns(qs: DataFrame, groups: list[str] | tuple[str, ...], names: dict[float, str]) -> DataFrame:

@@ -77,17 +77,17 @@ def test_binned_scatter_counts_all_rows(spark):
     assert max(r.bx for r in got) == 4 and max(r.by for r in got) == 4
 
 
-def test_exact_quantiles_small_and_bracketed(spark):
+def test_exact_quantiles_small_and_refined(spark):
     import random
 
     rnd = random.Random(7)
     vals = [round(rnd.gauss(0, 1), 3) for _ in range(3000)] + [0.5] * 1000  # a hot value
     df = spark.createDataFrame([("g", v) for v in vals] + [("h", 1.0), ("h", 3.0)], "g string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    for acc in (100_000, 100):  # 100: brackets are used (eps * n >= 4)
-        got = {(r.g, r.p): r.q for r in ST.exact_quantiles(df, "v", probs, ["g"], accuracy=acc).collect()}
+    for rows in (100_000, 100):  # 100: cells are refined
+        got = {(r.g, r.p): r.q for r in ST.exact_quantiles(df, "v", probs, ["g"], ordered_rows=rows).collect()}
         for p in probs:
-            assert math.isclose(got[("g", p)], float(np.quantile(vals, p)), abs_tol=1e-12), (acc, p)
+            assert math.isclose(got[("g", p)], float(np.quantile(vals, p)), abs_tol=1e-12), (rows, p)
             assert math.isclose(got[("h", p)], float(np.quantile([1.0, 3.0], p)))
 
 
