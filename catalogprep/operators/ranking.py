@@ -45,42 +45,46 @@ def spelling_counts(df: DataFrame, text_col: str, *, pairs: bool = True, stop_wo
     neighbours occurs, stop words left out.  One scan, one aggregate."""
     stop = [w.lower() for w in stop_words]
     words = df.select(spelled_words(text_col).alias("w"))
-    # the lower-cased form is only needed to look up stop words: once per word
-    marked = words.select(F.transform("w", lambda t: F.struct(t.alias("t"), (~F.lower(t).isin(stop) if stop else F.lit(True)).alias("ok"))).alias("w"))
-    entry = lambda is_pair, form: F.struct(F.lit(is_pair).alias("is_pair"), form.alias("form"))
-    found = F.transform(F.filter("w", lambda x: x.ok), lambda x: entry(False, x.t))
+    # stop words become empty, once per word; no other word is, and none holds a space
+    if stop:
+        words = words.select(F.transform("w", lambda t: F.when(F.lower(t).isin(stop), "").otherwise(t)).alias("w"))
+    forms = F.filter("w", lambda t: t != "")
     if pairs:
         k = F.greatest(F.size("w") - 1, F.lit(0))
         both = F.zip_with(F.slice("w", 1, k), F.slice("w", 2, k),
-                          lambda a, b: F.when(a.ok & b.ok, entry(True, F.concat(a.t, F.lit(" "), b.t))))
-        found = F.concat(found, F.array_compact(both))
-    return marked.select(F.explode(found).alias("e")).groupBy("e.is_pair", "e.form").agg(F.count(F.lit(1)).alias("n"))
+                          lambda a, b: F.when((a != "") & (b != ""), F.concat(a, F.lit(" "), b)))
+        forms = F.concat(forms, F.array_compact(both))
+    counts = words.select(F.explode(forms).alias("form")).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.contains("form", F.lit(" ")).alias("is_pair"), "form", "n")
 
 
 def _plural(key: Column) -> Column:
-    return key.endswith("s") & ~key.endswith("ss") & (F.length(key) > 1)
+    return key.endswith("s") & ~key.endswith("ss") & ~key.endswith(" s") & (F.length(key) > 1)
 
 
-def _stem(key: Column) -> Column:
-    return F.when(_plural(key), F.substring(key, F.lit(1), F.length(key) - 1)).otherwise(key)
+def _stem(key: Column, plurals: bool) -> Column:
+    return F.when(_plural(key), F.substring(key, F.lit(1), F.length(key) - 1)).otherwise(key) if plurals else key
 
 
 def fold_spellings(counts: DataFrame, *, plurals: bool = True) -> DataFrame:
-    """``(is_pair, stem, term, n)`` from ``(is_pair, form, n)``: one row per word or pair, with
-    the spelling to show.  Two partial aggregates over the counted table."""
+    """``(is_pair, stem, n)`` from ``(is_pair, form, n)``: one row per word or pair, whatever its
+    spelling, under its lower-cased form without a plural's ``s``.  A hash aggregate."""
+    return counts.groupBy("is_pair", _stem(F.lower("form"), plurals).alias("stem")).agg(F.sum("n").alias("n"))
+
+
+def spellings_to_show(counts: DataFrame, wanted: DataFrame, *, plurals: bool = True) -> DataFrame:
+    """``(is_pair, stem, term)``: the spelling to show of the ``wanted`` (is_pair, stem) rows."""
     key = F.lower("form")
     plural = _plural(key) if plurals else F.lit(False)
     base = F.when(plural, F.substring("form", F.lit(1), F.length("form") - 1)).otherwise(F.col("form"))
     # the smallest (-n, spelling) is the most frequent spelling, ties by byte order
     first = lambda n, form: F.min(F.struct((-n).alias("m"), form.alias("form")))
-    by_base = counts.select("is_pair", "form", "n", plural.alias("p"), base.alias("base"),
-                            (_stem(key) if plurals else key).alias("stem")).groupBy("is_pair", "stem", "base").agg(
-        F.sum("n").alias("n"), F.count_if(~F.col("p")).alias("singular"),
-        first(F.col("n"), F.when(F.col("p"), F.col("form"))).alias("as_is"))
-    folded = by_base.groupBy("is_pair", "stem").agg(
-        F.sum("n").alias("n"), F.sum("singular").alias("singular"), first(F.col("n"), F.col("base")).alias("one"),
-        F.min("as_is").alias("as_is"))
-    return folded.select("is_pair", "stem", F.when(F.col("singular") > 0, F.col("one.form")).otherwise(F.col("as_is.form")).alias("term"), "n")
+    forms = counts.withColumns({"stem": _stem(key, plurals), "p": plural, "base": base}).join(wanted.select("is_pair", "stem"), ["is_pair", "stem"])
+    by_base = forms.groupBy("is_pair", "stem", "base").agg(
+        F.sum("n").alias("n"), F.count_if(~F.col("p")).alias("singular"), first(F.col("n"), F.when(F.col("p"), F.col("form"))).alias("as_is"))
+    one = by_base.groupBy("is_pair", "stem").agg(
+        F.sum("singular").alias("singular"), first(F.col("n"), F.col("base")).alias("one"), F.min("as_is").alias("as_is"))
+    return one.select("is_pair", "stem", F.when(F.col("singular") > 0, F.col("one.form")).otherwise(F.col("as_is.form")).alias("term"))
 
 
 def _log_likelihood(k: Column, n: Column, p: Column) -> Column:
@@ -99,17 +103,16 @@ def likelihood_ratio(both: Column, left: Column, right: Column, total: Column) -
 
 
 def collocations(folded: DataFrame, *, threshold: float = COLLOCATION_THRESHOLD, plurals: bool = True) -> DataFrame:
-    """``(left, right, term, n, score)`` of the pairs in ``folded`` whose score is above
+    """``(left, right, stem, n, score)`` of the pairs in ``folded`` whose score is above
     ``threshold``; left and right are the stems of their words."""
     words = folded.where(~F.col("is_pair")).select("stem", F.col("n").alias("count"))
     total = words.agg(F.sum("count").cast("double")).scalar()
-    word = lambda i: F.lower(F.element_at(F.split("term", " "), i))
-    stem = (lambda c: _stem(c)) if plurals else (lambda c: c)
-    pairs = folded.where("is_pair").select("term", "n", stem(word(1)).alias("left"), stem(word(2)).alias("right"))
+    word = lambda i: F.element_at(F.split("stem", " "), i)
+    pairs = folded.where("is_pair").select("stem", "n", _stem(word(1), plurals).alias("left"), _stem(word(2), plurals).alias("right"))
     scored = (pairs.join(words.withColumnsRenamed({"stem": "left", "count": "n_left"}), "left")
               .join(words.withColumnsRenamed({"stem": "right", "count": "n_right"}), "right"))
     score = likelihood_ratio(F.col("n").cast("double"), F.col("n_left").cast("double"), F.col("n_right").cast("double"), total)
-    return scored.select("left", "right", "term", "n", score.alias("score")).where(F.col("score") > threshold)
+    return scored.select("left", "right", "stem", "n", score.alias("score")).where(F.col("score") > threshold)
 
 
 def word_ranking(
@@ -125,20 +128,25 @@ def word_ranking(
     """``(term, kind, n, score, weight)``: the ``top`` most frequent words and collocations
     (ties by term); weight is relative to the first, score is NULL for words.
 
-    NULL texts have no words; an empty table gives no rows.  The folded counts, a table of the
-    vocabulary, are written to the shared scratch folder, as words, pairs and totals use them."""
-    counts = spelling_counts(df, text_col, pairs=pairs, stop_words=stop_words)
+    NULL texts have no words; an empty table gives no rows.  The counts, tables of the
+    vocabulary's size, are written to the shared scratch folder, as several steps use them.
+    Spellings are settled for rows only that are as frequent as the last one shown."""
+    counts = parked(spelling_counts(df, text_col, pairs=pairs, stop_words=stop_words), "spellings")
     folded = parked(fold_spellings(counts, plurals=plurals), "word-counts")
-    words = folded.where(~F.col("is_pair")).select("stem", "term", "n")
+    words = folded.where(~F.col("is_pair"))
     none = F.lit(None).cast("double")
-    ranked = words.select("term", F.lit("word").alias("kind"), "n", none.alias("score"))
+    ranked = words.select("is_pair", "stem", "n", none.alias("score"))
     if pairs:
-        found = collocations(folded, threshold=threshold, plurals=plurals)
-        found = parked(found, "collocations")
+        found = parked(collocations(folded, threshold=threshold, plurals=plurals), "collocations")
         taken = found.select(F.explode(F.array("left", "right")).alias("stem"), "n").groupBy("stem").agg(F.sum("n").alias("taken"))
         left = F.col("n") - F.coalesce("taken", F.lit(0))
-        ranked = (words.join(taken, "stem", "left").select("term", F.lit("word").alias("kind"), left.alias("n"), none.alias("score"))
-                  .where("n > 0").unionByName(found.select("term", F.lit("pair").alias("kind"), "n", "score")))
-    best = ranked.orderBy(F.desc("n"), F.asc("term")).limit(top)
+        ranked = (words.join(taken, "stem", "left").select("is_pair", "stem", left.alias("n"), none.alias("score")).where("n > 0")
+                  .unionByName(found.select(F.lit(True).alias("is_pair"), "stem", "n", "score")))
+        ranked = parked(ranked, "ranked")
+    last = ranked.orderBy(F.desc("n")).limit(top).agg(F.min("n")).scalar()
+    likely = ranked.where(F.col("n") >= last)
+    named = likely.join(spellings_to_show(counts, likely, plurals=plurals), ["is_pair", "stem"])
+    best = named.select("term", F.when(F.col("is_pair"), "pair").otherwise("word").alias("kind"), "n", "score").orderBy(
+        F.desc("n"), F.asc("term")).limit(top)
     # at most ``top`` rows from here on
     return best.withColumn("weight", F.col("n") / F.max("n").over(Window.partitionBy()))
