@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalogprep.functions.text import tokens
 from catalogprep.operators import text as TX
+from catalogprep.operators.heavy import top_n_by_summary
 from catalogprep.operators.ranking import word_ranking
 from catalogprep.operators._common import spread
 from catalogprep.plans.q_features import STOP_SQL
@@ -112,6 +114,39 @@ def ranking_singles(spark, d):
     return word_ranking(docs, "text", pairs=False).withColumn("score", F.round("score", 4))
 
 
+@register(
+    "topn_words_summary",
+    """WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents),
+c AS (SELECT term, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, term LIMIT 20)
+SELECT term, n, CAST(row_number() OVER (ORDER BY n DESC, term) AS INTEGER) AS rank FROM c""",
+)
+def topn_words_summary(spark, d):
+    docs = spread(read_table(spark, d, "documents").select("text"))
+    return top_n_by_summary(docs.select(F.explode(tokens("text")).alias("term")), "term", 20)
+
+
+@register(
+    "topn_words_per_language_summary",
+    """WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents),
+c AS (SELECT lang, term, count(*) AS n FROM w WHERE lang IS NOT NULL GROUP BY 1, 2)
+SELECT lang, term, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INTEGER) AS rank FROM c
+QUALIFY rank <= 5""",
+)
+def topn_words_per_language_summary(spark, d):
+    docs = spread(read_table(spark, d, "documents").select("lang", "text"))
+    return top_n_by_summary(docs.select("lang", F.explode(tokens("text")).alias("term")), "term", 5, groups=["lang"])
+
+
+@register(
+    "topn_flat_summary",
+    """SELECT l_partkey, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, l_partkey) AS INTEGER) AS rank
+FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 10""",
+)
+def topn_flat_summary(spark, d):
+    # no part is frequent: the certificate fails and all keys are counted
+    return top_n_by_summary(read_table(spark, d, "lineitem"), "l_partkey", 10, tracked=100)
+
+
 @register(
     "json_props",
     "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
