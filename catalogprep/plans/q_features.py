@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogprep.functions.text import ENGLISH_STOP_WORDS
 from catalogprep.operators import features as FE
+from catalogprep.operators import fitted
 from catalogprep.operators._common import bounded_domain, spread
 from catalogprep.operators.multivalue import member_list
 from catalogprep.plans import oracle_sql as S
@@ -13,6 +14,7 @@ from catalogprep.plans import standins
 from catalogprep.plans.catalog_job import clean_titles
 from catalogprep.plans.q_catalog import JOB_SQL, KEEP_ALL_SQL, SPLIT_SQL
 from catalogprep.plans.registry import register
+from catalogprep.session import scratch_path
 from catalogprep.sources.readers import read_table
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -200,3 +202,38 @@ def title_features(spark, d):
         *[F.round(c, 6).alias(c) for c in NUMBERS],
         _sparse_as_text().alias("tfidf"),
     )
+
+
+FITTED_SQL = f"""WITH known AS (SELECT d.* FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)),
+moments AS (SELECT avg(n_chars) AS m, stddev_pop(n_chars) AS s FROM known),
+domains AS (SELECT DISTINCT 1 AS part, 'lang' AS col, lang AS label FROM known WHERE lang IS NOT NULL
+            UNION ALL SELECT DISTINCT 2, 'source', source FROM known WHERE source IS NOT NULL),
+raw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS label FROM documents),
+tf AS (SELECT doc_id, label, count(*) AS tf FROM raw WHERE NOT list_contains({STOP_SQL}, label) GROUP BY 1, 2),
+terms AS (
+  SELECT label, ln((1.0::DOUBLE + (SELECT count(*) FROM known)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf
+  FROM tf WHERE doc_id IN (SELECT doc_id FROM known) GROUP BY 1 ORDER BY sum(tf) DESC, label LIMIT 5000),
+feats AS (
+  SELECT *, row_number() OVER (ORDER BY part, label) AS idx  -- 0 is the number
+  FROM (SELECT part, col, label, NULL::DOUBLE AS idf FROM domains UNION ALL SELECT 3, 'text', label, idf FROM terms)),
+e AS (
+  SELECT doc_id, 0 AS idx, (n_chars - m) / CASE WHEN s > 0 THEN s ELSE 1 END AS val FROM documents, moments WHERE n_chars IS NOT NULL
+  UNION ALL SELECT doc_id, idx, 1 FROM documents JOIN feats ON col = 'lang' AND label = lang
+  UNION ALL SELECT doc_id, idx, 1 FROM documents JOIN feats ON col = 'source' AND label = source
+  UNION ALL SELECT doc_id, idx, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) FROM tf JOIN feats USING (label) WHERE col = 'text'),
+v AS (SELECT doc_id, string_agg(idx || ':' || CAST(CAST(val AS DECIMAL(12, 5)) AS VARCHAR), ' ' ORDER BY idx) AS features FROM e GROUP BY 1)
+SELECT doc_id, coalesce(features, '') AS features FROM documents LEFT JOIN v USING (doc_id)"""
+
+
+@register("fitted_features", FITTED_SQL)
+def fitted_document_features(spark, d):
+    """Fitted on the documents that have a label, applied to all of them."""
+    docs = read_table(spark, d, "documents")
+    known = docs.join(read_table(spark, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    spec = fitted.FeatureSpec("doc_id", numeric=("n_chars",), categorical=("lang", "source"), text="text")
+    path = scratch_path(spark, "fitted-features")
+    fitted.fit_features(spread(known, "doc_id"), spec, path)
+    out = fitted.transform_features(spread(docs, "doc_id"), path)
+    text = F.transform(F.arrays_zip("idx", "val"), lambda z: F.concat(
+        z["idx"].cast("string"), F.lit(":"), F.round(z["val"], 5).cast("decimal(12,5)").cast("string")))
+    return out.select("doc_id", F.array_join(text, " ").alias("features"))
