@@ -11,7 +11,7 @@ no explode / join / group-back round trip and no shuffle except the final
 full-row de-duplication the semantics require.  The data-wide language
 union of the ``['Unknown']`` rows rides that same de-duplication as marker
 rows, so the input is read once (see :func:`_finish_compat`).  Above the
-bound the same semantics run as explode -> join -> regroup (shuffle-based).
+bound the distinct lists are resolved by a join, each once, and joined back.
 
 ``mode="compat"`` reproduces the published job exactly:
 
@@ -38,14 +38,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogprep.functions.strings import LIST_SEPARATOR, split_list, strip_leading_comma
+from catalogprep.operators._common import parked
 
 UNKNOWN = "Unknown"
 
 #: Largest member table resolved per row from one map value.  Spark looks a
 #: key up in a map value by scanning its keys, so the map path is only cheap
 #: for small lookups (country lists have a few hundred entries); larger
-#: lookups use the explode -> join -> regroup path.
+#: lookups use the dictionary of distinct lists.
 MAP_LOOKUP_MAX_ROWS = 1_000
+
+
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
@@ -186,7 +189,7 @@ def enrich_languages(
     ``languages_out`` (both ``array<string>``); see the module docstring for
     the two modes.  ``compat`` ends with a full-row de-duplication.
     ``max_lookup_rows`` bounds the member table resolved per row from a map
-    value; above it the shuffle-join path runs.  Both paths give the same rows:
+    value; above it each distinct list is resolved by a join, and joined back.  Both paths give the same rows:
     a NULL list stays NULL in both outputs of ``keep_all`` and has no row in
     ``compat``; NULL languages of the lookup are left out.
     """
@@ -283,42 +286,58 @@ def _finish_compat(pre: DataFrame, others: list[str], countries_out: str, langua
     )
 
 
-def _enrich_with_join(df, info, others, list_col, countries_out, languages_out, mode, unknown, pattern):
-    """Same semantics when the lookup is too large to ship whole: explode the
-    members, join the member table (planner's choice of strategy), regroup."""
-    members = member_list(list_col, pattern)
-    ex = df.select(*others, members.alias("_m"), F.posexplode_outer(members).alias("_p", "_c"))
+def list_dictionary(df: DataFrame, info: DataFrame, list_col: str, mode: str, unknown: str, pattern: str) -> DataFrame:
+    """``(list, times, members, ...)``: every distinct list value of ``df`` resolved once against the
+    member table, with the number of rows that hold it.
+
+    Lists are counted first (a partial aggregate), so members are exploded and joined once per
+    distinct list, not per row; what is regrouped is a list's few members."""
+    lists = df.where(F.col(list_col).isNotNull()).groupBy(F.col(list_col).alias("_list")).agg(F.count(F.lit(1)).alias("_times"))
+    members = member_list("_list", pattern)
+    ex = lists.select("_list", "_times", members.alias("_m"), F.posexplode_outer(members).alias("_p", "_c"))
     j = ex.join(info, ex["_c"] == info["country"], "left").drop("country")
     valid = F.coalesce("is_valid", F.lit(False))
     mapped = F.coalesce("is_mapped", F.lit(False))
     good = valid & mapped
+    kept = [F.any_value("_times").alias("_times"), F.any_value("_m").alias("_m"),
+            _sorted_union(F.collect_list(F.when(good, F.col("languages")))).alias("_langs")]
     if mode == "keep_all":
         cleaned_member = F.when(valid, F.col("_c")).otherwise(F.lit(unknown))
-        per = j.groupBy(*others, "_m").agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.array_sort(F.collect_list(F.struct("_p", cleaned_member.alias("v")))).alias("_pairs"),
-            _sorted_union(F.collect_list(F.when(good, F.col("languages")))).alias(languages_out),
-        )
-        cleaned = F.when(F.col("_m").isNotNull(), F.array_distinct(F.transform("_pairs", lambda s: s["v"])))
-        # restore one row per input row (the regroup merged identical rows)
-        copies = F.greatest(F.lit(1), F.coalesce(F.size("_m"), F.lit(1)))
-        return per.select(
-            *others,
-            cleaned.alias(countries_out),
-            # a NULL list has no languages to speak of: NULL, as on the map path
-            F.when(F.col("_m").isNotNull(), F.col(languages_out)).alias(languages_out),
-            F.explode(F.array_repeat(F.lit(0), (F.col("_n") / copies).cast("int"))).alias("_k"),
-        ).drop("_k")
-
-    unknown_list = F.array(F.lit(unknown))
-    is_unknown_list = F.col("_m") == unknown_list
+        per = j.groupBy("_list").agg(*kept, F.array_sort(F.collect_list(F.struct("_p", cleaned_member.alias("v")))).alias("_pairs"))
+        return per.select("_list", "_times", "_langs", F.array_distinct(F.transform("_pairs", lambda s: s["v"])).alias("_cleaned"))
+    is_unknown_list = F.col("_m") == F.array(F.lit(unknown))
     to_unknown = mapped & (~valid | is_unknown_list)
-    per = j.groupBy(*others, "_m").agg(
-        F.max(good & ~is_unknown_list).alias("_own"),
-        _sorted_union(F.collect_list(F.when(good, F.col("languages")))).alias("_langs"),
-        F.max(to_unknown).alias("_unk"),
-        _sorted_union(F.collect_list(F.when(to_unknown, F.col("languages")))).alias("_routed"),
-    )
+    return j.groupBy("_list").agg(
+        *kept, F.max(good & ~is_unknown_list).alias("_own"), F.max(to_unknown).alias("_unk"),
+        _sorted_union(F.collect_list(F.when(to_unknown, F.col("languages")))).alias("_routed"))
+
+
+#: Rows of one list value that a task of the join with the dictionary gets at most.
+ROWS_PER_SALT = 100_000
+
+
+def _join_dictionary(df: DataFrame, entries: DataFrame, list_col: str, rows_per_salt: int) -> DataFrame:
+    """``df`` beside its lists' entries; a list held by very many rows is dealt over a salt.
+    Joins are the planner's, by the sizes of the tables as written."""
+    salts = F.ceil(F.col("_times") / rows_per_salt).cast("int")
+    hot = entries.where(F.col("_times") > rows_per_salt).select(F.col("_list").alias("_hot"), salts.alias("_salts"))
+    # by the rows' other columns, not at random: a task that is run again deals alike
+    spread_by = [f.name for f in df.schema.fields if f.name != list_col and "map<" not in f.dataType.simpleString()]
+    salt = F.pmod(F.xxhash64(F.lit(7), *spread_by), F.coalesce("_salts", F.lit(1))).cast("int")
+    dealt = df.join(hot, df[list_col] == hot["_hot"], "left").withColumn("_salt", salt).drop("_hot", "_salts")
+    salted = entries.withColumn("_entry_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_times")
+    on = (dealt[list_col] == salted["_list"]) & (dealt["_salt"] == salted["_entry_salt"])
+    return dealt.join(salted, on, "left").drop("_salt", "_entry_salt", "_list")
+
+
+def _enrich_with_join(df, info, others, list_col, countries_out, languages_out, mode, unknown, pattern, rows_per_salt=ROWS_PER_SALT):
+    """Same semantics when the lookup is too large to ship whole: a dictionary of the distinct
+    lists (written to the shared scratch folder), joined back to the rows."""
+    entries = parked(list_dictionary(df, info, list_col, mode, unknown, pattern), "list-dictionary")
+    j = _join_dictionary(df, entries, list_col, rows_per_salt)
+    if mode == "keep_all":
+        return j.select(*others, F.col("_cleaned").alias(countries_out), F.col("_langs").alias(languages_out))
+    unknown_list = F.array(F.lit(unknown))
     no_list = F.lit(None).cast("array<string>")
     rows = F.concat(
         F.filter(
@@ -333,7 +352,7 @@ def _enrich_with_join(df, info, others, list_col, countries_out, languages_out,
         F.transform("_routed", lambda lang: F.struct(no_list.alias("_rc"), F.array(lang).alias("_rl"),
                                                      F.lit(False).alias("_b"), F.lit(True).alias("_m"))),
     )
-    pre = per.select(*others, F.explode(rows).alias("_r")).select(
+    pre = j.select(*others, F.explode(rows).alias("_r")).select(
         *[F.when(~F.col("_r._m"), F.col(c)).alias(c) for c in others], "_r.*"
     )
     return _finish_compat(pre, others, countries_out, languages_out)

@@ -7,7 +7,9 @@ column in a single ``agg``, then one row per column from that one-row result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from catalogprep.operators._common import require_columns
@@ -47,25 +49,18 @@ def null_profile(df: DataFrame, columns: list[str] | None = None, *, decimals: i
     )
 
 
-def fill_profile(df: DataFrame, fill: dict[str, object], columns: list[str] | None = None) -> DataFrame:
-    """Null profile before **and** after filling, plus the row count left
-    after dropping rows that still hold a null — still one scan.
-
-    Columns: ``position, column_name, null_count, null_pct, nulls_after_fill,
-    pct_after_fill, total_rows, rows_after_drop``.
-    """
-    cols = list(columns or df.columns)
-    require_columns(df, cols)
-    require_columns(df, fill.keys())
-    still_null = [F.col(c).isNull() for c in cols if c not in fill]
+def _fill_metrics(cols: list[str], fill: dict[str, object]) -> list[Column]:
+    """The aggregates of a fill profile: rows, rows without a null after filling, nulls by column."""
     complete = F.lit(True)
-    for cond in still_null:
-        complete = complete & ~cond
-    wide = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(complete).alias("rows_after_drop"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
-    )
+    for c in cols:
+        if c not in fill:
+            complete = complete & F.col(c).isNotNull()
+    return [F.count(F.lit(1)).alias("total_rows"), F.count_if(complete).alias("rows_after_drop"),
+            *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]]
+
+
+def _fill_report(wide: DataFrame, cols: list[str], fill: dict[str, object]) -> DataFrame:
+    """One row per column from the one row of ``_fill_metrics``."""
     long = _per_column(wide, ["total_rows", "rows_after_drop"], [
         F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"),
                  (F.lit(0).cast("bigint") if c in fill else F.col(f"n{i}")).alias("nulls_after_fill"))
@@ -83,6 +78,37 @@ def fill_profile(df: DataFrame, fill: dict[str, object], columns: list[str] | No
     )
 
 
+def fill_profile(df: DataFrame, fill: dict[str, object], columns: list[str] | None = None) -> DataFrame:
+    """Null profile before **and** after filling, plus the row count left
+    after dropping rows that still hold a null — still one scan.
+
+    Columns: ``position, column_name, null_count, null_pct, nulls_after_fill,
+    pct_after_fill, total_rows, rows_after_drop``.
+    """
+    cols = list(columns or df.columns)
+    require_columns(df, cols)
+    require_columns(df, fill.keys())
+    return _fill_report(df.agg(*_fill_metrics(cols, fill)), cols, fill)
+
+
+class ObservedFillProfile:
+    """A :func:`fill_profile` that costs no scan: its counts are observed while some action
+    runs over ``watched`` (the input, to be used in its place)."""
+
+    def __init__(self, df: DataFrame, fill: dict[str, object]):
+        require_columns(df, fill.keys())
+        self._spark, self._cols, self._fill = df.sparkSession, df.columns, fill
+        self._seen = Observation(f"fill-profile-{uuid.uuid4().hex}")
+        self.watched = df.observe(self._seen, *_fill_metrics(self._cols, fill))
+
+    def frame(self) -> DataFrame:
+        """The profile, once an action has run over the whole of ``watched`` (waits for its end)."""
+        names = ["total_rows", "rows_after_drop", *(f"n{i}" for i in range(len(self._cols)))]
+        counts = self._seen.get
+        wide = self._spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+        return _fill_report(wide, self._cols, self._fill)
+
+
 def missing_report(df: DataFrame, top: int = 10, columns: list[str] | None = None) -> DataFrame:
     """Columns sorted by missing count (desc, then name), first ``top``."""
     prof = null_profile(df, columns)

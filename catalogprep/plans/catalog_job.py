@@ -1,11 +1,11 @@
 """The catalogue cleaning job, end to end.
 
-load -> one-pass null profile -> fill + drop -> reach classification ->
+load -> null profile -> fill + drop -> reach classification ->
 genres array -> date parts -> country validation + language enrichment ->
 typed year / minutes / seasons -> ordered 21-column projection -> Parquet.
 
 Each stage is a plain DataFrame function; ``clean_titles`` is lazy, ``run``
-writes and reads back.  Errors propagate (nothing is swallowed) and the
+writes, observes the profile while it writes, and reads back.  Errors propagate (nothing is swallowed) and the
 caller's session is never stopped.
 """
 
@@ -21,9 +21,8 @@ from catalogprep.functions.dates import date_text_parts, parse_text_date
 from catalogprep.functions.strings import split_list
 from catalogprep.operators.classify import reach_classification, split_duration
 from catalogprep.operators.multivalue import enrich_languages
-from catalogprep.operators.quality import clean_nulls
+from catalogprep.operators.quality import ObservedFillProfile, clean_nulls, drop_null_rows, fill_nulls
 from catalogprep.sources.readers import read_language_map, read_titles_csv, read_valid_countries
-from catalogprep.session import scratch_path
 from catalogprep.sources.writers import write_parquet
 
 #: Columns filled with ``'Unknown'`` before rows with other nulls are dropped.
@@ -56,6 +55,10 @@ def typed_titles(
     return df.select(*schemas.CLEAN_TITLE_COLUMNS)
 
 
+def _data(raw: DataFrame) -> DataFrame:
+    return raw.select(*[c for c in raw.columns if c != schemas.CORRUPT_RECORD])
+
+
 def clean_titles(
     raw: DataFrame,
     valid_countries: DataFrame,
@@ -65,9 +68,7 @@ def clean_titles(
 ) -> CleanResult:
     """All transformations of the job (lazy); returns the 21-column table and
     the one-pass null profile (before/after fill, rows left after drop)."""
-    data_cols = [c for c in raw.columns if c != schemas.CORRUPT_RECORD]
-    raw = raw.select(*data_cols)
-    cleaned, profile = clean_nulls(raw, FILL_UNKNOWN)
+    cleaned, profile = clean_nulls(_data(raw), FILL_UNKNOWN)
     return CleanResult(typed_titles(cleaned, valid_countries, language_map, mode=mode), profile)
 
 
@@ -82,25 +83,19 @@ def run(
     multi_line: bool = False,
     valid_has_header: bool = True,
     partition_by: list[str] | None = None,
-    stage_input: bool = False,
 ) -> CleanResult:
-    """Read, clean, write Parquet (overwrite) and return the read-back table.
+    """Read, clean, write Parquet (overwrite) and return the read-back table, whose rows and
+    schema were compared with what was written.
 
-    The CSV is scanned twice: by the one-pass null profile and by the
-    cleaning pass.  CSV cannot prune columns, so with ``stage_input=True``
-    it is parsed once into Parquet under the shared checkpoint folder and
-    both passes read only the columns they need from there.
+    The CSV is parsed once: the null profile is observed by the plan that writes.
     """
-    raw = read_titles_csv(spark, titles_path, multi_line=multi_line)
-    if stage_input:
-        staged = scratch_path(spark, "titles-staged")
-        raw.write.mode("overwrite").parquet(staged)
-        raw = spark.read.parquet(staged)
+    raw = _data(read_titles_csv(spark, titles_path, multi_line=multi_line))
     valid = read_valid_countries(spark, valid_countries_path, header=valid_has_header)
     langs = read_language_map(spark, language_map_path)
-    result = clean_titles(raw, valid, langs, mode=mode)
-    written = write_parquet(result.titles, output_path, partition_by=partition_by)
-    return CleanResult(written, result.null_profile)
+    profile = ObservedFillProfile(raw, FILL_UNKNOWN)
+    cleaned = drop_null_rows(fill_nulls(profile.watched, FILL_UNKNOWN))
+    written = write_parquet(typed_titles(cleaned, valid, langs, mode=mode), output_path, partition_by=partition_by)
+    return CleanResult(written, profile.frame())
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -116,12 +111,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--mode", default="compat", choices=["compat", "keep_all"])
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--no-valid-header", action="store_true")
-    ap.add_argument("--stage-input", action="store_true", help="parse the CSV once into Parquet first")
     args = ap.parse_args(argv)
     spark = get_session("catalogprep-clean")
     res = run(spark, args.titles, args.valid_countries, args.language_map, args.output,
-              mode=args.mode, multi_line=args.multi_line, valid_has_header=not args.no_valid_header,
-              stage_input=args.stage_input)
+              mode=args.mode, multi_line=args.multi_line, valid_has_header=not args.no_valid_header)
     res.null_profile.orderBy("position").show(truncate=False)
     res.titles.orderBy("show_id").show(5, truncate=False)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,25 +27,67 @@ def _refuse_self_overwrite(df: DataFrame, path: str) -> None:
             raise ValueError(f"refusing to overwrite {path!r}: the DataFrame reads from it")
 
 
+class IncompleteWrite(RuntimeError):
+    """What can be read back is not what was written."""
+
+
+def _types(df: DataFrame, names: set[str]) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in names}
+
+
+def check_written(df: DataFrame, back: DataFrame, rows: int, partition_by: list[str] | None = None) -> None:
+    """Raise :class:`IncompleteWrite` unless ``back`` has ``rows`` rows, by its files' footers (a
+    count reads no column), and the columns and types of ``df`` (a folder's partition
+    columns come back by name only)."""
+    names = set(df.columns)
+    if set(back.columns) != names or _types(df, names - set(partition_by or ())) != _types(back, names - set(partition_by or ())):
+        raise IncompleteWrite(f"written as {df.schema.simpleString()}, read back as {back.schema.simpleString()}")
+    found = back.count()
+    if found != rows:
+        raise IncompleteWrite(f"{rows} rows were written, {found} can be read back")
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
     *,
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    verify: bool = True,
 ) -> DataFrame:
     """Write Parquet and return the read-back DataFrame (lazy).
 
     The write goes through Spark's commit protocol, so a lost executor only
     re-runs its tasks.  Overwriting a path the DataFrame reads from is refused.
+    With ``verify`` the rows are counted while they are written, and rows and schema
+    are compared with the files (see :func:`check_written`); ``append`` counts the
+    rows that were there, and a dynamic partition overwrite is not compared.
     """
+    spark = df.sparkSession
     if mode == "overwrite":
         _refuse_self_overwrite(df, path)
-    writer = df.write.mode(mode)
+    dynamic = bool(partition_by) and spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static").lower() == "dynamic"
+    verify = verify and not (dynamic and mode == "overwrite")
+    before = 0
+    if verify and mode == "append" and _exists(spark, path):
+        before = spark.read.parquet(path).count()
+    seen = Observation(f"rows-written-{uuid.uuid4().hex}")
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows")) if verify else df
+    writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # a folder without a data file (no rows, partitioned) has no schema of its own
+    empty = verify and seen.get["rows"] + before == 0
+    back = spark.read.schema(df.schema).parquet(path) if empty else spark.read.parquet(path)
+    if verify and mode != "ignore":
+        check_written(df, back, before + seen.get["rows"], partition_by)
+    return back
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, mode: str = "overwrite") -> None:

@@ -139,3 +139,29 @@ def test_compat_when_unknown_is_itself_valid_and_mapped(spark, max_lookup_rows):
         max_lookup_rows=max_lookup_rows,
     ))
     assert got == published_model(TITLES, valid, langs)
+
+
+@pytest.mark.parametrize("mode", ["compat", "keep_all"])
+def test_a_list_of_half_the_rows_is_dealt_over_tasks(spark, monkeypatch, mode):
+    rows = [(i, "France, Canada" if i % 2 else ["Chile", "Atlantis, Chile", None, ", France,Chile", "", "France , Canada"][i // 2 % 6]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, country string").repartition(6)
+    valid = spark.createDataFrame([("France",), ("Canada",), ("Chile",)], "country string")
+    langs = spark.createDataFrame([("France", ["French"]), ("Canada", ["English", "French"]), ("Chile", ["Spanish"]), ("Atlantis", ["Old"])],
+                                  "country string, Languages array<string>")
+    listed = lambda out: sorted((repr(r) for r in out.collect()))
+    want = listed(M.enrich_languages(df, valid, langs, mode=mode))
+    monkeypatch.setattr(M._enrich_with_join, "__defaults__", (20,))
+    got = M.enrich_languages(df, valid, langs, mode=mode, max_lookup_rows=0)
+    assert listed(got) == want
+    entries = M.list_dictionary(df, M.member_lookup(valid, langs), "country", mode, "Unknown", M.LIST_SEPARATOR)
+    assert {r._list: r._times for r in entries.collect()}["France, Canada"] == 200 and entries.count() == 6
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}  # else one task takes all of so few rows
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        dealt = M._join_dictionary(df, entries, "country", 20).where("country = 'France, Canada'")
+        sizes = [r["count"] for r in dealt.groupBy(M.F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 200 and max(sizes) < 150
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -141,16 +141,6 @@ def test_job_keep_all_mode(spark, tmp_dir, titles_csv):
     assert rows["t6"].released_countries == ["Unknown"] and rows["t6"].released_languages == []
 
 
-def test_job_staged_input_same_result(spark, tmp_dir, titles_csv):
-    vpath = os.path.join(tmp_dir, "valid")
-    lpath = os.path.join(tmp_dir, "langs")
-    W.write_valid_countries(lookups.valid_countries_df(spark), vpath, header=True)
-    W.write_language_map(lookups.language_map_df(spark), lpath, shape="object")
-    a = run(spark, titles_csv, vpath, lpath, os.path.join(tmp_dir, "a"), multi_line=True)
-    b = run(spark, titles_csv, vpath, lpath, os.path.join(tmp_dir, "b"), multi_line=True, stage_input=True)
-    assert sorted(map(tuple, a.titles.collect()), key=repr) == sorted(map(tuple, b.titles.collect()), key=repr)
-
-
 def test_generic_readers_and_partitioned_sink(spark, tmp_dir):
     arr = os.path.join(tmp_dir, "records.json")
     with open(arr, "w") as f:
