@@ -1,6 +1,8 @@
 import math
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from catalogprep.operators import distribution as D
 from catalogprep.operators import stats as ST
@@ -49,18 +51,34 @@ def test_histogram_min_equals_max(spark):
     assert got == [(int(np.argmax(counts)), 2)]
 
 
-def test_kde_matches_direct_formula(spark):
-    vals = [1.0, 2.0, 2.0, 3.5, 7.0]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = D.kde_grid(df, "v", points=50).orderBy("i").collect()
+@pytest.mark.parametrize("exact", [False, True])
+@pytest.mark.parametrize("vals", [[1.0, 2.0, 2.0, 3.5, 7.0], [float(i * i % 977) for i in range(3000)], [0.0] * 500 + [1e6], [-1e-9, 1e-9, 3e-9]])
+def test_kde_matches_direct_formula(spark, vals, exact):
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double").repartition(3)
+    got = D.kde_grid(df, "v", points=50, exact=exact).orderBy("i").collect()
     x = np.array(vals)
     bw = x.std(ddof=1) * len(x) ** -0.2
     grid = np.linspace(x.min() - 3 * bw, x.max() + 3 * bw, 50)
     dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(1) / (len(x) * bw * math.sqrt(2 * math.pi))
-    assert np.allclose([r.density for r in got], dens)
+    bound = 1e-14 if exact else D.kde_error_bound() + 1e-14
+    assert D.kde_error_bound() < 1e-12
+    assert np.abs(np.array([r.density for r in got]) - dens).max() <= bound / (bw * math.sqrt(2 * math.pi))
     assert np.allclose([r.x for r in got], grid)
 
 
+def test_density_without_a_bandwidth_or_rows(spark):
+    one = D.kde_grid(spark.createDataFrame([(3.0,), (3.0,)], "v double"), "v", points=5).orderBy("i").collect()
+    assert [(r.i, r.x, r.density) for r in one] == [(i, 3.0, None) for i in range(5)]
+    assert D.kde_grid(spark.createDataFrame([(None,)], "v double"), "v", points=5).count() == 0
+
+
+def test_density_repeats_no_row(spark):
+    df = spark.range(5000).select((F.col("id") % 701).cast("double").alias("v")).repartition(3)
+    plan = D.kde_grid(df, "v")._jdf.queryExecution().optimizedPlan().toString()
+    # cells are made before anything is repeated per grid point (plans are printed from the result down)
+    assert plan.index("Generate explode") < plan.index("Aggregate [cell")
+
+
 def test_boxplot_stats_matplotlib_rule(spark):
     vals = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0]
     df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
