@@ -7,8 +7,10 @@ radix selection that gathers no group's values in one task (:func:`exact_quantil
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -246,12 +248,43 @@ def describe_all(df: DataFrame, *, exact: bool = True, decimals: int | None = No
     return out
 
 
-def _pair_corr(x: Column, y: Column) -> Column:
-    """Pearson r over rows where both are present; NULL when either side is
-    constant (``corr`` itself divides by zero there under ANSI)."""
-    both = x.isNotNull() & y.isNotNull()
-    xs, ys = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
+def _gram(df: DataFrame, entries: list[Column]) -> np.ndarray:
+    """Sums over all rows of the products of every two ``entries``: each task adds its rows to one
+    triangle of numbers, triangles are added in a tree, and the driver gets the last one."""
+    rows = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.array(*entries)).alias("v")))
+    return RowMatrix(rows, numCols=len(entries)).computeGramianMatrix().toArray()
+
+
+#: A variance below this share of the mean square is rounding: the column is constant there.
+CONSTANT = 1e-12
+
+
+def co_moments(df: DataFrame, columns: list[str], *, masked: bool = True) -> tuple[np.ndarray, ...]:
+    """``(n, cov, var)`` as square arrays over ``columns``: for each pair the rows in which both are
+    present, their population covariance, and the variance of the first in these rows.
+
+    One pass centres the columns, the next one adds up one block of cross-products per task, over
+    the values, their squares and, if ``masked``, whether they are present: entries of that block
+    are all a pair needs, however many pairs there are.  Without ``masked`` no value may be missing."""
+    k = len(columns)
+    rows, *means = df.agg(F.count(F.lit(1)), *[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    if not rows:
+        return tuple(np.zeros((k, k)) for _ in range(3))
+    x = [F.col(f"`{c}`") - F.lit(float(m or 0.0)) for c, m in zip(columns, means)]
+    zero = F.lit(0.0)
+    if masked:
+        entries = [F.coalesce(v, zero) for v in x] + [F.coalesce(v * v, zero) for v in x] + [F.when(v.isNull(), 0.0).otherwise(1.0) for v in x]
+        g = _gram(df, entries)
+        n, s, q, xy = g[2 * k:, 2 * k:], g[:k, 2 * k:], g[k:2 * k, 2 * k:], g[:k, :k]
+    else:
+        g = _gram(df, [*x, F.lit(1.0)])
+        n = np.full((k, k), g[k, k])
+        s, q, xy = np.repeat(g[:k, k:], k, axis=1), np.repeat(np.diag(g)[:k, None], k, axis=1), g[:k, :k]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = xy / n - (s / n) * (s.T / n)
+        var = q / n - (s / n) ** 2
+        var = np.where(var > CONSTANT * q / n, var, 0.0)
+    return n, cov, var
 
 
 def corr_matrix(
@@ -262,26 +295,27 @@ def corr_matrix(
     decimals: int | None = None,
 ) -> DataFrame:
     """Correlation matrix in long form ``(col_a, col_b, corr)``, both
-    triangles and the diagonal, from one aggregate.
+    triangles and the diagonal, from two passes over the rows (see :func:`co_moments`); the
+    result has a row per pair of columns.  NULL where a side is constant or no row is left;
+    NaN is a missing value, as in pandas.
 
     ``missing``: ``"pairwise"`` (each pair over rows where both are present,
     pandas ``corr()``), ``"listwise"`` (rows with any missing value dropped
     first, ``dropna().corr()``), ``"zero_fill"`` (``fillna(0).corr()``).
     """
     cols = list(columns or numeric_columns(df))
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    value = lambda c: F.col(f"`{c}`").cast("double")
+    src = df.select(*[F.when(~F.isnan(value(c)), value(c)).alias(c) for c in cols])
     if missing == "listwise":
         src = src.na.drop(how="any")
     elif missing == "zero_fill":
         src = src.na.fill(0.0)
     elif missing != "pairwise":
         raise ValueError(f"unknown missing-value policy {missing!r}")
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    wide = src.agg(*[_pair_corr(F.col(cols[i]), F.col(cols[j])).alias(f"c{i}_{j}") for i, j in pairs])
-    cells = []
-    for i, j in pairs:
-        cells.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr")))
-        if i != j:
-            cells.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr")))
-    out = wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    n, cov, var = co_moments(src, cols, masked=missing == "pairwise")
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = cov / np.sqrt(var * var.T)
+    defined = (n > 0) & (var > 0) & (var.T > 0)
+    rows = [(a, b, float(r[i, j]) if defined[i, j] else None) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
     return out.withColumn("corr", F.round("corr", decimals)) if decimals is not None else out
