@@ -22,16 +22,21 @@ def require_columns(df: DataFrame, columns) -> None:
         raise ValueError(f"unknown column(s) {missing}; available: {df.columns}")
 
 
+#: The most columns that one attribute becomes in wide output, and the most values of it
+#: that the driver reads.  Wider attributes have long and sparse forms.
+MAX_WIDE = 10_000
+
+
 def bounded_domain(df: DataFrame, column: str, max_values: int | None = None) -> list:
     """Sorted distinct non-null values of ``column``: the columns of a pivot or
-    a one-hot table, which the driver must know.  With ``max_values`` a wider
-    domain raises; the long-form operators need no domain."""
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
-    vals = (found if max_values is None else found.limit(max_values + 1)).collect()
-    if max_values is not None and len(vals) > max_values:
+    a one-hot table, which the driver must know.  At most ``max_values`` + 1 are read
+    (``MAX_WIDE`` by default); a wider domain raises, the long-form operators need none."""
+    most = MAX_WIDE if max_values is None else max_values
+    vals = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(most + 1).collect()
+    if len(vals) > most:
         raise ValueError(
-            f"column {column!r} has more than {max_values} distinct values; "
-            "use the long-form operator instead of a wide one"
+            f"column {column!r} has more than {most} distinct values; "
+            "use the long or sparse form instead of a wide one"
         )
     return [r[0] for r in vals]
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from catalogprep.functions.dates import date_int_parts
 from catalogprep.functions.text import ENGLISH_STOP_WORDS, WORD_TOKEN, drop_stop_words, tokens
-from catalogprep.operators._common import bounded_domain
+from catalogprep.operators._common import MAX_WIDE, bounded_domain, parked
+from catalogprep.operators.fitted import FeatureSpec, label_domains, label_entries
 
 
 def one_hot(
@@ -76,6 +77,41 @@ def multi_hot_long(df: DataFrame, id_col: str, array_col: str, *, prefix: str |
     )
 
 
+def wide_domains(df: DataFrame, categorical=(), lists=(), *, max_wide: int = MAX_WIDE) -> dict[str, list[str] | None]:
+    """The sorted labels of each column, or None where there are more than ``max_wide``: one job
+    over all columns, of which the driver reads ``max_wide`` + 1 labels a column at most."""
+    found: dict[str, list[str] | None] = {c: [] for c in (*categorical, *lists)}
+    if not found:
+        return found
+    counted = label_domains(df, FeatureSpec("", categorical=tuple(categorical), lists=tuple(lists)))
+    place = F.row_number().over(Window.partitionBy("column").orderBy("label"))
+    for r in counted.withColumn("_k", place).where(F.col("_k") <= max_wide + 1).orderBy("column", "_k").collect():
+        found[r.column].append(r.label)
+    return {c: None if len(v) > max_wide else v for c, v in found.items()}
+
+
+def sparse_labels(df: DataFrame, id_col: str, column: str, *, is_list: bool = False) -> DataFrame:
+    """``(id, <column>_idx)`` for ids with a label: the sorted places of the row's labels among
+    all labels of the column, for domains too wide for columns.  The dictionary of labels
+    is written to the shared scratch folder; joins are left to the planner."""
+    spec = FeatureSpec(id_col, lists=(column,)) if is_list else FeatureSpec(id_col, categorical=(column,))
+    place = (F.row_number().over(Window.partitionBy("column").orderBy("label")) - 1).cast("int")
+    dictionary = parked(label_domains(df, spec).select("column", "label", place.alias("_i")), "labels")
+    found = label_entries(df, spec, id_col).join(dictionary, ["column", "label"])
+    return found.groupBy(id_col).agg(F.array_sort(F.collect_set("_i")).alias(f"{column}_idx"))
+
+
+def _indicators(base: DataFrame, id_col: str, domains: dict[str, list | None], lists: tuple[str, ...] = ()) -> DataFrame:
+    """``base`` with each column of ``domains`` as indicator columns, or, where its domain is None,
+    as one column of places."""
+    for c, values in domains.items():
+        if values is not None:
+            base = multi_hot(base, c, values=values) if c in lists else one_hot(base, c, values=values)
+        else:
+            base = base.drop(c).join(sparse_labels(base, id_col, c, is_list=c in lists), id_col, "left")
+    return base
+
+
 def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     """``StandardScaler``: ``(x - mean) / std`` with the **population** std,
     missing values ignored in the fit and kept missing; a zero std divides
@@ -156,15 +192,16 @@ def document_features(
     categorical: tuple[str, ...] = ("lang", "source"),
     numeric: tuple[str, ...] = ("n_chars",),
     max_features: int = 5_000,
+    max_wide: int = MAX_WIDE,
 ) -> DataFrame:
     """The whole feature chain keyed by id (no row-position alignment):
-    one-hot categoricals, standard-scaled numerics, optional label columns
+    one-hot categoricals (places in ``<column>_idx`` where one has more than
+    ``max_wide`` labels; one job finds the labels of all), standard-scaled numerics, optional label columns
     joined by key, and the sparse TF-IDF row as aligned ``tfidf_idx`` /
     ``tfidf_val`` arrays over the sorted vocabulary (<= ``max_features``
     entries per row)."""
     base = docs.select(id_col, *categorical, *[F.col(c).cast("double").alias(c) for c in numeric])
-    for c in categorical:
-        base = one_hot(base, c)
+    base = _indicators(base, id_col, wide_domains(docs, categorical, max_wide=max_wide))
     base = standard_scale(base, list(numeric))
     if labels is not None:
         base = base.join(labels, id_col, "left")
@@ -186,23 +223,24 @@ def sparse_text(df: DataFrame, id_col: str, text_col: str, max_features: int = 5
 def title_features(
     titles: DataFrame,
     *,
-    categorical: dict[str, list],
-    lists: dict[str, list],
+    categorical: dict[str, list | None],
+    lists: dict[str, list | None],
     id_col: str = "show_id",
     numeric: tuple[str, ...] = ("movie_duration", "seasons", "release_year"),
     text_col: str = "description",
     date_col: str = "added_date",
     max_features: int = 5_000,
+    max_wide: int = MAX_WIDE,
 ) -> DataFrame:
     """The feature chain over the clean titles table, keyed by ``id_col`` (one
     row per title): one-hot ``categorical`` and multi-hot ``lists`` columns for
-    the values given, scaled ``numeric`` columns, calendar parts of the date,
+    the values given (where None: those of the table, found in one job for all such
+    columns; places in ``<column>_idx`` instead if there are more than ``max_wide``), scaled ``numeric`` columns, calendar parts of the date,
     and the sparse TF-IDF row of the text.  A NULL label or date gives zeros or
     NULL parts; titles without a kept term have NULL TF-IDF arrays."""
     base = titles.select(id_col, *categorical, *lists, date_col, *[F.col(c).cast("double").alias(c) for c in numeric])
-    for c, values in categorical.items():
-        base = one_hot(base, c, values=values)
-    for c, values in lists.items():
-        base = multi_hot(base, c, values=values)
+    domains = {**categorical, **lists}
+    domains |= wide_domains(titles, [c for c, v in categorical.items() if v is None], [c for c, v in lists.items() if v is None], max_wide=max_wide)
+    base = _indicators(base, id_col, domains, tuple(lists))
     base = calendar_features(standard_scale(base, list(numeric)), date_col)
     return base.join(sparse_text(titles, id_col, text_col, max_features), id_col, "left")

@@ -3,8 +3,8 @@
 pandas drops NULL keys in ``value_counts`` / ``groupby`` / ``crosstab``;
 these operators do the same explicitly.  The long form (``group_counts``) takes
 any domain.  Wide (pivoted) output has a column per value: pass the values, or
-they are read from the data; a caller may set ``max_values`` to be told of a
-domain wider than expected, by default there is no cap.  Every aggregate is a hash aggregate with a map-side
+they are read from the data, at most ``max_values`` of them (10,000 by default): a wider
+domain raises, as it wants the long form.  Every aggregate is a hash aggregate with a map-side
 partial step, so a hot key costs one partial row per task, not a hot task.
 """
 

@@ -85,3 +85,26 @@ def test_calendar_features(spark):
     df = spark.createDataFrame([(dt.date(2021, 3, 14),)], "added_date date")
     r = FE.calendar_features(df, "added_date").collect()[0]
     assert tuple(r) == (2021, 3, 14, 6)
+
+
+def test_label_domains_of_all_columns_in_one_job(spark):
+    df = spark.createDataFrame([(1, "b", ["y", "x"], 5), (2, "a", ["z", None], None), (3, None, None, 7), (4, "a", [], 5)],
+                               "id int, t string, g array<string>, n int").repartition(3)
+    assert FE.wide_domains(df, ["t", "n"], ["g"]) == {"t": ["a", "b"], "n": ["5", "7"], "g": ["x", "y", "z"]}
+    assert FE.wide_domains(df, ["t", "n"], ["g"], max_wide=2) == {"t": ["a", "b"], "n": ["5", "7"], "g": None}
+    assert FE.wide_domains(df.limit(0), ["t"], ["g"]) == {"t": [], "g": []} and FE.wide_domains(df) == {}
+    got = {r.id: r.g_idx for r in FE.sparse_labels(df, "id", "g", is_list=True).collect()}
+    assert got == {1: [0, 1], 2: [2]}
+
+
+def test_title_features_without_value_lists(spark):
+    rows = [("s1", "Movie", ["a", "b"], "2020-01-06", 90, None, "red blue"), ("s2", None, None, None, None, 2, None),
+            ("s3", "Show", ["c", "b", None], None, None, 2, "blue")]
+    df = spark.createDataFrame(rows, "show_id string, type string, genres array<string>, added_date string, "
+                                     "movie_duration int, seasons int, description string")
+    wide = FE.title_features(df, categorical={"type": None}, lists={"genres": None}, numeric=("seasons",))
+    given = FE.title_features(df, categorical={"type": ["Movie", "Show"]}, lists={"genres": ["a", "b", "c"]}, numeric=("seasons",))
+    assert wide.columns == given.columns and sorted(wide.collect()) == sorted(given.collect())
+    sparse = {r.show_id: r for r in FE.title_features(df, categorical={"type": None}, lists={"genres": None}, numeric=("seasons",), max_wide=2).collect()}
+    assert (sparse["s1"].genres_idx, sparse["s2"].genres_idx, sparse["s3"].genres_idx) == ([0, 1], None, [1, 2])
+    assert (sparse["s1"].type_Movie, sparse["s3"].type_Show) == (1, 1)
