@@ -154,9 +154,14 @@ def tfidf(
     aggregate; term statistics per term; the norm per document.  The
     vocabulary has a proven bound (``max_features`` rows) and is broadcast.
     ``index_col`` adds each term's 0-based position in the sorted vocabulary.
+
+    ``stop_words`` is any list (Spark's English one by default; give another tool's list
+    to leave out the words that it does), or a table with a column ``term``, e.g. of
+    :func:`frequent_terms`, which is joined.
     """
     n_docs = df.agg(F.count(F.lit(1))).scalar()
-    toks = drop_stop_words(tokens(text_col, pattern), stop_words)
+    listed = () if isinstance(stop_words, DataFrame) else stop_words
+    toks = drop_stop_words(tokens(text_col, pattern), listed)
     tf = (
         df.select(id_col, F.explode(toks).alias("term"))
         # the join below would add this filter to its branch only; with it in
@@ -165,6 +170,8 @@ def tfidf(
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
+    if isinstance(stop_words, DataFrame):
+        tf = tf.join(stop_words.select("term").distinct(), "term", "left_anti")
     terms = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     if max_features is not None:
         terms = terms.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
@@ -183,6 +190,14 @@ def tfidf(
     return w.select(id_col, "term", *extra, (F.col("raw") / norm).alias("weight"))
 
 
+def frequent_terms(df: DataFrame, id_col: str, text_col: str, share: float, *, pattern: str = WORD_TOKEN) -> DataFrame:
+    """``(term, df)``: terms that stand in more than ``share`` of the rows, the stop words that a
+    corpus has of its own, written to the shared scratch folder (at most ``terms a row / share``)."""
+    n = df.agg(F.count(F.lit(1))).scalar()
+    each = df.select(F.explode(F.array_distinct(tokens(text_col, pattern))).alias("term"))
+    return parked(each.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > F.lit(share) * n), "frequent-terms")
+
+
 def document_features(
     docs: DataFrame,
     labels: DataFrame | None = None,

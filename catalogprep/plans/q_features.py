@@ -87,6 +87,19 @@ def tfidf(spark, d):
     return FE.tfidf(docs, "doc_id", "text").withColumn("weight", F.round("weight", 6))
 
 
+@register(
+    "tfidf_corpus_stop_words",
+    TFIDF_SQL.replace(f"""f AS (SELECT * FROM toks WHERE NOT list_contains({STOP_SQL}, term)),""", """stop AS (
+  SELECT term FROM (SELECT DISTINCT doc_id, term FROM toks) GROUP BY 1 HAVING count(*) > 0.1 * (SELECT count(*) FROM documents)),
+f AS (SELECT * FROM toks WHERE term NOT IN (SELECT term FROM stop)),"""),
+)
+def tfidf_corpus_stop_words(spark, d):
+    """TF-IDF with another list of stop words: those of the corpus itself."""
+    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    stop = FE.frequent_terms(docs, "doc_id", "text", 0.1)
+    return FE.tfidf(docs, "doc_id", "text", stop_words=stop).withColumn("weight", F.round("weight", 6))
+
+
 LANGS = ["de", "en", "es", "fr"]
 SOURCES = [f"src{i}" for i in range(20)]
 

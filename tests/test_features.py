@@ -108,3 +108,14 @@ def test_title_features_without_value_lists(spark):
     sparse = {r.show_id: r for r in FE.title_features(df, categorical={"type": None}, lists={"genres": None}, numeric=("seasons",), max_wide=2).collect()}
     assert (sparse["s1"].genres_idx, sparse["s2"].genres_idx, sparse["s3"].genres_idx) == ([0, 1], None, [1, 2])
     assert (sparse["s1"].type_Movie, sparse["s3"].type_Show) == (1, 1)
+
+
+def test_stop_words_of_another_list_and_of_the_corpus(spark):
+    docs = ["the cat sat", "the dog sat", "the cat and a dog", "", None]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, text string")
+    own = FE.frequent_terms(df, "id", "text", 0.5)
+    assert {(r.term, r.df) for r in own.collect()} == {("the", 3)}
+    for stop in (["the"], own, own.unionByName(own)):
+        got = {(r.id, r.term): r.weight for r in FE.tfidf(df, "id", "text", stop_words=stop).collect()}
+        want = _sk_tfidf([d or "" for d in docs], 100, {"the"})
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
