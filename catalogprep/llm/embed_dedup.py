@@ -144,3 +144,21 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs, and the closure of the links.
+ORACLE = f"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS u, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT u, vec_id, e, len(e) AS n, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.u AS a, b.u AS b FROM ok a JOIN ok b ON a.u <> b.u AND a.n = b.n
+  WHERE list_dot_product(a.e, b.e) / a.norm / b.norm >= {THRESHOLD}),
+r AS (SELECT u AS a, u AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT r.a AS u, min(v.vec_id) AS component_id FROM r JOIN v ON v.u = r.b GROUP BY 1),
+k AS (SELECT a AS u, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, coalesce(k.n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN c USING (u) LEFT JOIN k USING (u)
+"""

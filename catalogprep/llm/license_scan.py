@@ -145,4 +145,45 @@ def scan(docs: DataFrame, base=BASE_TEMPLATES, more=MORE_TEMPLATES,
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return scan(read_table(spark, sf_dir, "documents")).drop("places")
+    return scan(read_table(spark, sf_dir, "documents")).drop("places").withColumn("score", F.round("score", 9))
+
+
+def _values(base=BASE_TEMPLATES, more=MORE_TEMPLATES) -> str:
+    """The templates as SQL rows: label, whether base, place, word, whether mandatory."""
+    rows = []
+    for kind, templates in ((True, base), (False, more)):
+        for t in (Template(*x) for x in templates):
+            rows += [f"('{t.label}', {kind}, {at}, '{w}', {nth < len(t.mandatory)})" for nth, (at, w) in enumerate(t.placed)]
+    return ", ".join(rows)
+
+
+#: Every template at every place where all words of its key phrases stand.
+ORACLE = rf"""
+WITH tpl(label, base, off, word, must) AS (VALUES {_values()}),
+d AS (
+  SELECT row_number() OVER () AS u, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+x AS (SELECT u, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
+hits AS (SELECT * FROM x WHERE word IN (SELECT word FROM tpl)),
+idf AS (
+  SELECT t.word, 1 + ln((1.0::DOUBLE + (SELECT count(*) FROM d)) / (1.0::DOUBLE + count(DISTINCT h.u))) AS idf
+  FROM (SELECT DISTINCT word FROM tpl) t LEFT JOIN hits h USING (word) GROUP BY 1),
+need AS (SELECT label, count(DISTINCT off) AS n FROM tpl WHERE must GROUP BY 1),
+place AS (
+  SELECT u, label, base, pos - off AS s FROM hits JOIN tpl USING (word) JOIN need USING (label) WHERE must AND pos >= off
+  GROUP BY ALL HAVING count(DISTINCT off) = any_value(need.n)),
+whole AS (SELECT label, sum(idf) AS total FROM tpl JOIN idf USING (word) GROUP BY 1),
+share AS (
+  SELECT p.u, p.label, p.base, p.s, least(1, sum(CASE WHEN h.u IS NOT NULL THEN idf ELSE 0 END) / any_value(total)) AS share
+  FROM place p JOIN tpl t USING (label) JOIN idf USING (word) JOIN whole USING (label)
+  LEFT JOIN hits h ON h.u = p.u AND h.pos = p.s + t.off AND h.word = t.word GROUP BY ALL),
+f AS (
+  SELECT u, count(*) FILTER (WHERE base) AS n_base, min(s) FILTER (WHERE base) AS first_word, max(s) FILTER (WHERE base) AS last_word,
+         coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM share GROUP BY u)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, round(coalesce(score, 0), 9) AS score
+FROM d LEFT JOIN f USING (u)
+"""

@@ -22,6 +22,9 @@ QUERIES = {
     "op13_periodic_runs": periodic.query,
 }
 ORACLE = {
+    "op1_license_scan": license_scan.ORACLE,
+    "op2_embedding_dedup": embed_dedup.ORACLE,
+    "op8_substring_dedup": substring.ORACLE,
     "op9_topk_search": topk_search.ORACLE,
     "op10_mixing": mixing.ORACLE,
     "op11_warc": warc.ORACLE,

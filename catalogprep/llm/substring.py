@@ -310,3 +310,20 @@ def digests(docs: DataFrame, window: int = WINDOW, shard: int = SHARD) -> DataFr
 
 def query(spark, sf_dir: str) -> DataFrame:
     return digests(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS u, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT u, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM d),
+k AS (
+  SELECT *, CASE WHEN pos + {WINDOW - 1} <= n THEN string_agg(word, ' ') OVER (
+    PARTITION BY u ORDER BY pos ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) END AS win FROM x),
+again AS (SELECT win FROM k WHERE win IS NOT NULL GROUP BY win HAVING count(*) > 1),
+c AS (
+  SELECT u, pos, word, max(CASE WHEN win IN (SELECT win FROM again) THEN 1 ELSE 0 END) OVER (
+    PARTITION BY u ORDER BY pos ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone FROM k),
+r AS (SELECT u, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0) AS kept FROM c GROUP BY u)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (u)
+"""
