@@ -578,7 +578,7 @@ def test_top_k_against_brute_force(spark):
     vectors += [(1000 + i, [0.5] * 8) for i in range(120)]  # ties, and one very common vector
     vectors += [(2000, None), (2050, [float("nan")] * 8), (2100, [0.1] * 3), (None, [9.0] * 8), (1, [0.25] * 8), (2150, [])]
     df = spark.createDataFrame([(*v, 1) for v in vectors], "vec_id long, embedding array<double>, score int").repartition(3)
-    got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, page=16, routes=8)
+    got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, page=16, routes=8, per_branch=3, per_block=4)
     fine = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors if i is not None and v and all(map(math.isfinite, v))]
     want = []
     for i, q in fine:
@@ -589,6 +589,27 @@ def test_top_k_against_brute_force(spark):
     assert topk_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_branches_are_ruled_out(spark):
+    rng = np.random.default_rng(3)
+    centres = 20 * rng.standard_normal((12, 8))
+    rows = [(i, [float(x) for x in centres[i % 12] + 0.1 * rng.standard_normal(8)], i % 10 == 0) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>, is_query boolean").repartition(3)
+    q = df.select("vec_id", "is_query", topk_search.quantised("v").alias("q")).withColumn("dim", F.size("q"))
+    longest2 = float(max(sum(x * x for x in r.q) for r in q.collect()))
+    placed, homes = topk_search._tree(q, longest2, 16, 24, 2)
+    balls = topk_search.branch_balls(placed, longest2)
+    pairs = homes.count() * (balls.count() - 1)
+    scores = {}
+    for r in topk_search.top_k(df, F.col("is_query"), vector_col="v", page=16, routes=24, per_branch=2).collect():
+        scores[r.query_id] = min(r.score, scores.get(r.query_id, r.score))
+    least = spark.createDataFrame([(i, float(s)) for i, s in scores.items()], "vec_id long, least double")
+    left = topk_search.not_ruled_out(homes.join(least, "vec_id"), balls, longest2, 64).count()
+    assert balls.count() > 20 and 0 < left < pairs / 3  # a query searches a third of the branches at most
+    for r in balls.collect():  # every entry lies in its branch's ball
+        part = np.array([x.q for x in placed.where((F.col("branch") == r.branch) & (F.col("dim") == r.dim)).collect()])
+        assert np.sqrt(((topk_search._lifted(part, longest2) - np.array(r.centre)) ** 2).sum(axis=1)).max() <= r.radius + 1e-9
+
+
 # --- 10: mixing
 
 def test_mixing_cases(spark, docs, rows, no_docs):
