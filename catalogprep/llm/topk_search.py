@@ -219,7 +219,7 @@ def not_ruled_out(asked: DataFrame, balls: DataFrame, longest2: float, per_block
              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(many - 1)))))
 
     def kept(mine: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
-        parts = [pd.DataFrame(columns=["vec_id", "dim", "q", "least", "branch"])]
+        parts = []
         if len(mine) and len(near):
             c, radius, branch = np.array(near["centre"].tolist()), near["radius"].to_numpy(), near["branch"].to_numpy()
             c2 = (c * c).sum(axis=1)
@@ -232,7 +232,8 @@ def not_ruled_out(asked: DataFrame, balls: DataFrame, longest2: float, per_block
                 reach = reach_of(some["least"].to_numpy(), q2, longest2) + 1e-6 * (1.0 + np.sqrt(q2.max() + longest2))
                 i, j = np.nonzero((dist - radius[None, :] <= reach[:, None]) & (branch[None, :] != some["home"].to_numpy()[:, None]))
                 parts.append(some[["vec_id", "dim", "q", "least"]].iloc[i].assign(branch=branch[j]))
-        return pd.concat(parts).astype({"vec_id": "int64", "dim": "int32", "least": "float64", "branch": "int32"})
+        left = pd.concat(parts) if parts else pd.DataFrame(columns=["vec_id", "dim", "q", "least", "branch"])
+        return left.astype({"vec_id": "int64", "dim": "int32", "least": "float64", "branch": "int32"})
 
     return left.groupBy("dim", "qb", "bb").cogroup(right.groupBy("dim", "qb", "bb")).applyInPandas(
         kept, "vec_id long, dim int, q array<long>, least double, branch int")
