@@ -1,4 +1,4 @@
-"""Summarise the executed physical plan of every registered query (PLANS.md).
+"""Summarise the executed physical plan of every registered catalogue query (PLANS.md).
 
 For each query: shuffle exchanges, broadcast exchanges, join strategies,
 subqueries, window / generate operators, Python evaluation (must be none)
@@ -52,9 +52,10 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("plans", "local[4]", {"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    from __spark_entry__ import queries
+    from catalogprep.plans.registry import QUERIES, load_all
 
-    print("# Physical plans of the registered queries\n")
+    load_all()
+    print("# Physical plans of the catalogue queries\n")
     print(f"Generated by `python scripts/plan_report.py {sf}`.  Static columns come from each query's "
           "physical plan (AQE's initial plan, subquery plans included): shuffle exchanges, broadcast "
           "exchanges, join strategies, Python evaluation nodes (none anywhere) and the widest Parquet read "
@@ -64,7 +65,7 @@ def main():
     print("| query | jobs | stages | shuffles (static) | broadcasts | sort-merge joins | python | scan cols |")
     print("|---|---|---|---|---|---|---|---|")
     sc = spark.sparkContext
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         sc.setJobGroup(f"q-{name}", name)
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
