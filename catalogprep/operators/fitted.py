@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalogprep.functions.text import ENGLISH_STOP_WORDS, WORD_TOKEN, drop_stop_words, tokens
+from catalogprep.operators import terms as T
 
 FEATURE_SCHEMA = "idx int, kind string, column string, label string, mean double, scale double, idf double"
 
@@ -59,16 +60,15 @@ def label_domains(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return label_entries(df, spec).groupBy("column", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _term_counts(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    toks = drop_stop_words(tokens(spec.text, spec.pattern), spec.stop_words)
-    return df.select(spec.id_col, F.explode(toks).alias("label")).groupBy(spec.id_col, "label").agg(F.count(F.lit(1)).alias("tf"))
+def _terms(spec: FeatureSpec) -> Column:
+    return drop_stop_words(tokens(spec.text, spec.pattern), spec.stop_words)
 
 
 def _vocabulary(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     n = df.agg(F.count(F.lit(1))).scalar()
-    terms = _term_counts(df, spec).groupBy("label").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    terms = T.term_statistics(T.documents(df.select(spec.id_col, spec.text), spec.id_col), _terms(spec))
     idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return terms.orderBy(F.desc("total"), F.asc("label")).limit(spec.max_features).select("label", idf.alias("idf"))
+    return terms.orderBy(F.desc("total"), F.asc("term")).limit(spec.max_features).select(F.col("term").alias("label"), idf.alias("idf"))
 
 
 def fit_features(df: DataFrame, spec: FeatureSpec, path: str) -> None:
@@ -122,7 +122,7 @@ def _scaled(df: DataFrame, spec: FeatureSpec, features: DataFrame) -> list[Colum
     """Entries of the numeric columns (their features, one a column, are read by the driver)."""
     found = {r.column: r for r in features.where("kind = 'number'").collect()}
     return [F.when(F.col(c).isNotNull(), F.struct(
-        F.lit(r.idx).alias("idx"), ((F.col(c).cast("double") - F.lit(r["mean"])) / F.lit(r.scale)).alias("val"), F.lit(False).alias("term")))
+        F.lit(r.idx).alias("idx"), ((F.col(c).cast("double") - F.lit(r["mean"])) / F.lit(r.scale)).alias("val")))
         for c in spec.numeric for r in [found[c]]]
 
 
@@ -131,23 +131,26 @@ def transform_features(df: DataFrame, path: str) -> DataFrame:
     that ``path`` keeps.  A row with nothing known has empty arrays."""
     spark = df.sparkSession
     spec, features = fitted_spec(spark, path), fitted_features(spark, path)
-    entry = "array<struct<idx:int,val:double,term:boolean>>"
+    entry = "array<struct<idx:int,val:double>>"
     # one row per id here, so that ids without any label or term stay
     numbers = F.array_compact(F.array(*_scaled(df, spec, features))) if spec.numeric else F.from_json(F.lit("[]"), entry)
     parts = [df.select(spec.id_col, numbers.alias("e"))]
-    one = lambda val, term: F.array(F.struct("idx", val.alias("val"), F.lit(term).alias("term"))).alias("e")
     if spec.categorical or spec.lists:
         labels = features.where("kind = 'label'").select("idx", "column", "label")
-        parts.append(label_entries(df, spec, spec.id_col).join(labels, ["column", "label"]).select(spec.id_col, one(F.lit(1.0), False)))
-    if spec.text:
-        terms = features.where("kind = 'term'").select("idx", "label", "idf")
-        parts.append(_term_counts(df, spec).join(terms, "label").select(spec.id_col, one(F.col("tf") * F.col("idf"), True)))
+        one = F.array(F.struct("idx", F.lit(1.0).alias("val"))).alias("e")
+        parts.append(label_entries(df, spec, spec.id_col).join(labels, ["column", "label"]).select(spec.id_col, one))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    whole = rows.groupBy(spec.id_col).agg(F.array_sort(F.flatten(F.collect_list("e"))).alias("e"))
-    square = F.aggregate(F.filter("e", lambda x: x.term), F.lit(0.0), lambda a, x: a + x.val * x.val)
-    whole = whole.select(spec.id_col, "e", F.sqrt(square).alias("norm"))
-    return whole.select(spec.id_col, F.transform("e", lambda x: x.idx).alias("idx"),
-                        F.transform("e", lambda x: F.when(x.term, x.val / F.col("norm")).otherwise(x.val)).alias("val"))
-
+    # terms come last among the features, side by side: their rows are whole and in order
+    terms = features.where("kind = 'term'").orderBy("idx").collect() if spec.text else []  # max_features at most
+    if terms:
+        docs = T.documents(df.select(spec.id_col, spec.text), spec.id_col)
+        found = T.tfidf_rows(docs, _terms(spec), [r.label for r in terms], [r.idf for r in terms])
+        rows = rows.unionByName(found.withColumnsRenamed({"idx": "t", "val": "w"}), allowMissingColumns=True)
+    else:
+        rows = rows.withColumns({"t": F.lit(None).cast("array<int>"), "w": F.lit(None).cast("array<double>")})
+    whole = rows.groupBy(spec.id_col).agg(F.array_sort(F.flatten(F.collect_list("e"))).alias("e"),
+                                          F.flatten(F.collect_list("t")).alias("t"), F.flatten(F.collect_list("w")).alias("w"))
+    first = terms[0].idx if terms else 0
+    return whole.select(spec.id_col, F.concat("e.idx", F.transform("t", lambda k: k + F.lit(first))).alias("idx"), F.concat("e.val", "w").alias("val"))

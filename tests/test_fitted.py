@@ -96,3 +96,23 @@ def test_domains_of_all_columns_take_one_shuffle(spark):
     spec = fitted.FeatureSpec("id", categorical=("kind", "label"), lists=("genres",))
     plan = fitted.label_domains(spark.createDataFrame(KNOWN, SCHEMA), spec)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("partial_count") == 1
+
+
+def test_transform_weighs_terms_within_the_row(spark, tmp_dir):
+    """No shuffle of a row per id and term, and the norm is found once a row, not once a term."""
+    spec = fitted.FeatureSpec("id", text="about", stop_words=())
+    fitted.fit_features(spark.createDataFrame(KNOWN, SCHEMA), spec, tmp_dir)
+    plan = fitted.transform_features(spark.createDataFrame(OTHER, SCHEMA), tmp_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and "explode(" not in plan
+
+
+def test_rows_that_share_an_id_are_one(spark, tmp_dir):
+    rows = [("a", "red red"), ("a", "blue"), ("b", "blue"), (None, "red"), (None, "sky"), ("c", None)]
+    df = spark.createDataFrame(rows, "id string, about string").repartition(3)
+    fitted.fit_features(df, fitted.FeatureSpec("id", text="about", stop_words=()), tmp_dir)
+    idf = {r.label: r.idf for r in fitted.fitted_features(spark, tmp_dir).collect()}
+    assert idf == pytest.approx({t: math.log(7 / (1 + k)) + 1 for t, k in {"red": 2, "blue": 2, "sky": 1}.items()})
+    got = {r.id: (r.idx, r.val) for r in fitted.transform_features(df, tmp_dir).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"a": [0, 1], "b": [0], None: [1, 2], "c": []}
+    norm = math.hypot(idf["blue"], 2 * idf["red"])
+    assert got["a"][1] == pytest.approx([idf["blue"] / norm, 2 * idf["red"] / norm])
