@@ -119,3 +119,32 @@ def test_stop_words_of_another_list_and_of_the_corpus(spark):
         got = {(r.id, r.term): r.weight for r in FE.tfidf(df, "id", "text", stop_words=stop).collect()}
         want = _sk_tfidf([d or "" for d in docs], 100, {"the"})
         assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_tfidf_shuffles_no_row_per_id_and_term(spark):
+    df = spark.createDataFrame([(i, f"red blue t{i} blue") for i in range(20)], "id int, text string").repartition(3)
+    assert _exchanges(FE.tfidf(df, "id", "text", max_features=5)) == 0
+    assert _exchanges(FE.sparse_text(df, "id", "text", 5)) == 0
+
+
+def test_tfidf_of_rows_that_share_an_id(spark):
+    # they are one document, but each of them counts among the rows
+    rows = [(1, "cat dog"), (1, "cat owl"), (2, "dog"), (None, "owl"), (None, "owl cat"), (3, "the"), (4, None), (4, "")]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    tf = {1: Counter(cat=2, dog=1, owl=1), 2: Counter(dog=1), None: Counter(owl=2, cat=1)}
+    n, seen = len(rows), Counter(t for c in tf.values() for t in c)
+    want = {}
+    for i, c in tf.items():
+        raw = {t: k * (math.log((1 + n) / (1 + seen[t])) + 1) for t, k in c.items()}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        want |= {(i, t): x / norm for t, x in raw.items()}
+    for most in (10, None):
+        got = FE.tfidf(df, "id", "text", max_features=most).collect()
+        assert len(got) == len(want)
+        assert all(math.isclose(r.weight, want[r.id, r.term]) for r in got)
+    sparse = {r.id: r for r in FE.sparse_text(df, "id", "text").collect() if r.tfidf_idx}
+    assert sparse[1].tfidf_idx == [0, 1, 2] and math.isclose(sparse[1].tfidf_val[0], want[1, "cat"]) and set(sparse) == set(tf)
