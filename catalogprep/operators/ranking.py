@@ -1,8 +1,9 @@
 """Words and two-word collocations of a text column in one ranking.
 
-The texts are read once: a row's words and its pairs of neighbouring words (neither a
-stop word) are counted in one partial aggregate, as they are spelled.  All that follows
-works on these counts:
+Words are counted first, as they are spelled, in one partial aggregate.  Pairs of neighbouring
+words (neither a stop word) are many, and most of them rare, so they are shuffled once, folded,
+and then joined with the counts of their words; only collocations are written.  How pairs are spelled
+is counted in a second reading of the texts, for those that can be shown:
 
 * **One form per word.**  Spellings that differ in case are one word, shown in its most
   frequent spelling (ties: the first in byte order).  A word that ends in one ``s`` joins the same
@@ -40,24 +41,41 @@ def spelled_words(text_col: str) -> Column:
     return F.filter(cut, lambda t: ~t.rlike(r"^\p{Nd}*$"))
 
 
+def _words(df: DataFrame, text_col: str, stop_words) -> DataFrame:
+    """``w``: the words of each text; stop words are empty, no other word is, and none holds a space."""
+    stop = [w.lower() for w in stop_words]
+    words = df.select(spelled_words(text_col).alias("w"))
+    return words.select(F.transform("w", lambda t: F.when(F.lower(t).isin(stop), "").otherwise(t)).alias("w")) if stop else words
+
+
+def _neighbours() -> Column:
+    """The pairs of ``w``."""
+    k = F.greatest(F.size("w") - 1, F.lit(0))
+    return F.array_compact(F.zip_with(F.slice("w", 1, k), F.slice("w", 2, k),
+                                      lambda a, b: F.when((a != "") & (b != ""), F.concat(a, F.lit(" "), b))))
+
+
+def _spelled_pairs(df: DataFrame, text_col: str, stop_words) -> DataFrame:
+    """``form``: every pair of neighbours, as it is spelled, as often as it occurs."""
+    return _words(df, text_col, stop_words).select(F.explode(_neighbours()).alias("form"))
+
+
 def spelling_counts(df: DataFrame, text_col: str, *, pairs: bool = True, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """``(is_pair, form, n)``: how often every word and, with ``pairs``, every pair of
     neighbours occurs, stop words left out.  One scan, one aggregate."""
-    stop = [w.lower() for w in stop_words]
-    words = df.select(spelled_words(text_col).alias("w"))
-    # stop words become empty, once per word; no other word is, and none holds a space
-    if stop:
-        words = words.select(F.transform("w", lambda t: F.when(F.lower(t).isin(stop), "").otherwise(t)).alias("w"))
     forms = F.filter("w", lambda t: t != "")
     if pairs:
-        k = F.greatest(F.size("w") - 1, F.lit(0))
-        both = F.zip_with(F.slice("w", 1, k), F.slice("w", 2, k),
-                          lambda a, b: F.when((a != "") & (b != ""), F.concat(a, F.lit(" "), b)))
-        forms = F.concat(forms, F.array_compact(both))
-    counts = words.select(F.explode(forms).alias("form")).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
+        forms = F.concat(forms, _neighbours())
+    counts = _words(df, text_col, stop_words).select(F.explode(forms).alias("form")).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
     return counts.select(F.contains("form", F.lit(" ")).alias("is_pair"), "form", "n")
 
 
+def pair_counts(df: DataFrame, text_col: str, *, plurals: bool = True, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
+    """``(stem, n)``: how often every pair occurs, whatever its spelling.  One scan, one aggregate."""
+    stems = _spelled_pairs(df, text_col, stop_words).select(_stem(F.lower("form"), plurals).alias("stem"))
+    return stems.groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _plural(key: Column) -> Column:
     return key.endswith("s") & ~key.endswith("ss") & ~key.endswith(" s") & (F.length(key) > 1)
 
@@ -102,17 +120,17 @@ def likelihood_ratio(both: Column, left: Column, right: Column, total: Column) -
     return F.when((total <= left) | (total <= right), F.lit(0.0)).otherwise(score)
 
 
-def collocations(folded: DataFrame, *, threshold: float = COLLOCATION_THRESHOLD, plurals: bool = True) -> DataFrame:
-    """``(left, right, stem, n, score)`` of the pairs in ``folded`` whose score is above
-    ``threshold``; left and right are the stems of their words."""
-    words = folded.where(~F.col("is_pair")).select("stem", F.col("n").alias("count"))
-    total = words.agg(F.sum("count").cast("double")).scalar()
-    word = lambda i: F.element_at(F.split("stem", " "), i)
-    pairs = folded.where("is_pair").select("stem", "n", _stem(word(1), plurals).alias("left"), _stem(word(2), plurals).alias("right"))
-    scored = (pairs.join(words.withColumnsRenamed({"stem": "left", "count": "n_left"}), "left")
-              .join(words.withColumnsRenamed({"stem": "right", "count": "n_right"}), "right"))
+def collocations(words: DataFrame, pairs: DataFrame, *, threshold: float = COLLOCATION_THRESHOLD, plurals: bool = True) -> DataFrame:
+    """``(left, right, stem, n, score)`` of the ``pairs`` (stem, n) whose score is above
+    ``threshold``; left and right are the stems of their words, whose counts ``words`` (stem, n) has."""
+    total = words.agg(F.sum("n").cast("double")).scalar()
+    left, right = (_stem(F.substring_index("stem", " ", i), plurals) for i in (1, -1))
+    # of a pair, its stem alone goes through the joins
+    scored = (pairs.join(words.select(F.col("stem").alias("word"), F.col("n").alias("n_left")), left == F.col("word")).drop("word")
+              .join(words.select(F.col("stem").alias("word"), F.col("n").alias("n_right")), right == F.col("word")).drop("word"))
     score = likelihood_ratio(F.col("n").cast("double"), F.col("n_left").cast("double"), F.col("n_right").cast("double"), total)
-    return scored.select("left", "right", "stem", "n", score.alias("score")).where(F.col("score") > threshold)
+    found = scored.select("stem", "n", score.alias("score")).where(F.col("score") > threshold)
+    return found.select(left.alias("left"), right.alias("right"), "stem", "n", "score")
 
 
 def word_ranking(
@@ -128,24 +146,29 @@ def word_ranking(
     """``(term, kind, n, score, weight)``: the ``top`` most frequent words and collocations
     (ties by term); weight is relative to the first, score is NULL for words.
 
-    NULL texts have no words; an empty table gives no rows.  The counts, tables of the
-    vocabulary's size, are written to the shared scratch folder, as several steps use them.
+    NULL texts have no words; an empty table gives no rows.  What several steps use, the counts
+    of words, the collocations and the rows that can be shown, is written to the shared scratch folder.
     Spellings are settled for rows only that are as frequent as the last one shown."""
-    counts = parked(spelling_counts(df, text_col, pairs=pairs, stop_words=stop_words), "spellings")
-    folded = parked(fold_spellings(counts, plurals=plurals), "word-counts")
-    words = folded.where(~F.col("is_pair"))
+    spelled = parked(spelling_counts(df, text_col, pairs=False, stop_words=stop_words), "spellings")
+    words = parked(fold_spellings(spelled, plurals=plurals).select("is_pair", "stem", "n"), "word-counts")
     none = F.lit(None).cast("double")
-    ranked = words.select("is_pair", "stem", "n", none.alias("score"))
+    ranked = words.withColumn("score", none)
     if pairs:
-        found = parked(collocations(folded, threshold=threshold, plurals=plurals), "collocations")
+        counted = pair_counts(df, text_col, plurals=plurals, stop_words=stop_words)
+        found = parked(collocations(words.select("stem", "n"), counted, threshold=threshold, plurals=plurals), "collocations")
         taken = found.select(F.explode(F.array("left", "right")).alias("stem"), "n").groupBy("stem").agg(F.sum("n").alias("taken"))
         left = F.col("n") - F.coalesce("taken", F.lit(0))
-        ranked = (words.join(taken, "stem", "left").select("is_pair", "stem", left.alias("n"), none.alias("score")).where("n > 0")
-                  .unionByName(found.select(F.lit(True).alias("is_pair"), "stem", "n", "score")))
-        ranked = parked(ranked, "ranked")
+        kept = parked(words.join(taken, "stem", "left").select("is_pair", "stem", left.alias("n")).where("n > 0"), "words-left")
+        ranked = kept.withColumn("score", none).unionByName(found.select(F.lit(True).alias("is_pair"), "stem", "n", "score"))
     last = ranked.orderBy(F.desc("n")).limit(top).agg(F.min("n")).scalar()
-    likely = ranked.where(F.col("n") >= last)
-    named = likely.join(spellings_to_show(counts, likely, plurals=plurals), ["is_pair", "stem"])
+    likely = parked(ranked.where(F.col("n") >= last), "likely")
+    shown = spellings_to_show(spelled, likely, plurals=plurals)
+    if pairs:
+        wanted = likely.where("is_pair").select("stem")
+        forms = (_spelled_pairs(df, text_col, stop_words).withColumn("stem", _stem(F.lower("form"), plurals)).join(wanted, "stem", "left_semi")
+                 .groupBy("form").agg(F.count(F.lit(1)).alias("n")).select(F.lit(True).alias("is_pair"), "form", "n"))
+        shown = shown.unionByName(spellings_to_show(forms, likely, plurals=plurals))
+    named = likely.join(shown, ["is_pair", "stem"])
     best = named.select("term", F.when(F.col("is_pair"), "pair").otherwise("word").alias("kind"), "n", "score").orderBy(
         F.desc("n"), F.asc("term")).limit(top)
     # at most ``top`` rows from here on

@@ -106,3 +106,27 @@ def test_no_texts(spark):
 def test_texts_are_scanned_once(spark):
     plan = ranking.spelling_counts(frame(spark, ["a b"]), "text")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate explode") == 1 and "Python" not in plan
+
+
+def test_of_pairs_only_the_collocations_are_written(spark, monkeypatch):
+    """Pairs are shuffled once under their stem; neither they nor their spellings are written whole."""
+    kept = {}
+
+    def park(df, name):
+        kept[name] = df.cache()
+        return df
+
+    monkeypatch.setattr(ranking, "parked", park)
+    texts = ["New York"] * 20 + ["a1 b1", "b1 c1", "c1 a1"] * 30 + ["new yorks"]
+    rows = got(ranking.word_ranking(frame(spark, texts), "text", threshold=250.0, top=3))
+    assert set(rows) >= {("b1", "word"), ("c1", "word")}
+    for name, df in kept.items():
+        stored = [v for r in df.collect() for v in r if isinstance(v, str) and " " in v]
+        assert set(stored) <= {"new york"}, name
+        df.unpersist()
+
+
+def test_pairs_are_counted_by_stem_in_one_shuffle(spark):
+    df = ranking.pair_counts(frame(spark, ["New York", "new yorks", "York new", None, "the York"]), "text")
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {(r.stem, r.n) for r in df.collect()} == {("new york", 2), ("york new", 1)}
