@@ -151,45 +151,15 @@ def tfidf(
     vocabulary limited to the ``max_features`` most frequent terms (ties by
     term), rows L2-normalised over the kept terms.
 
-    Shuffles: partial sums per term, no row per document and term; a text's weights are made
-    within its row (see :mod:`catalogprep.operators.terms`).  The vocabulary, of at most
-    ``max_features`` rows, passes through the driver.  With ``max_features=None`` it has no
-    bound: counts per (document, term) are then shuffled and joined with it.
+    Shuffles: term counts per (document, term) with a map-side partial
+    aggregate; term statistics per term; the norm per document.  The
+    vocabulary has a proven bound (``max_features`` rows) and is broadcast.
     ``index_col`` adds each term's 0-based position in the sorted vocabulary.
 
     ``stop_words`` is any list (Spark's English one by default; give another tool's list
     to leave out the words that it does), or a table with a column ``term``, e.g. of
     :func:`frequent_terms`, which is joined.
     """
-    if max_features is None:
-        if index_col:
-            raise ValueError("a term index needs a bounded vocabulary (max_features)")
-        return _tfidf_unbounded(df, id_col, text_col, stop_words, pattern)
-    rows, terms = _weights(df, id_col, text_col, max_features, stop_words, pattern)
-    # as many rows as terms
-    vocab = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(terms)), "_i int, term string"))
-    each = rows.select(id_col, F.explode(F.arrays_zip("idx", "val")).alias("_e")).select(id_col, "_e.idx", "_e.val")
-    index = [F.col("_i").alias(index_col)] if index_col else []
-    return each.join(vocab, F.col("idx") == F.col("_i")).select(id_col, "term", *index, F.col("val").alias("weight"))
-
-
-def _weights(df: DataFrame, id_col: str, text_col: str, max_features: int, stop_words, pattern: str) -> tuple[DataFrame, list[str]]:
-    """``(id, idx, val)`` of :func:`terms.tfidf_rows` over the most frequent terms, and these, sorted."""
-    listed = () if isinstance(stop_words, DataFrame) else stop_words
-    toks = drop_stop_words(tokens(text_col, pattern), listed)
-    docs = T.documents(df.select(id_col, text_col), id_col)
-    terms = T.term_statistics(docs, toks)
-    if isinstance(stop_words, DataFrame):
-        terms = terms.join(stop_words.select("term").distinct(), "term", "left_anti")
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    best = terms.orderBy(F.desc("total"), F.asc("term")).limit(max_features).select("term", idf.alias("idf"))
-    found = sorted((r.term, r.idf) for r in best.collect())  # max_features at most
-    known = [t for t, _ in found]
-    return T.tfidf_rows(docs, toks, known, [w for _, w in found]), known
-
-
-def _tfidf_unbounded(df: DataFrame, id_col: str, text_col: str, stop_words, pattern: str) -> DataFrame:
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     listed = () if isinstance(stop_words, DataFrame) else stop_words
     toks = drop_stop_words(tokens(text_col, pattern), listed)
@@ -203,11 +173,22 @@ def _tfidf_unbounded(df: DataFrame, id_col: str, text_col: str, stop_words, patt
     )
     if isinstance(stop_words, DataFrame):
         tf = tf.join(stop_words.select("term").distinct(), "term", "left_anti")
+    terms = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    if max_features is not None:
+        terms = terms.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
+        terms = F.broadcast(terms)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf"))
-    w = tf.join(vocab, "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    vocab = terms.select("term", idf.alias("idf"))
+    extra = []
+    if index_col:
+        if max_features is None:
+            raise ValueError("a term index needs a bounded vocabulary (max_features)")
+        # <= max_features rows: a global window here is bounded
+        vocab = vocab.withColumn(index_col, (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+        extra = [index_col]
+    w = tf.join(vocab, "term").select(id_col, "term", *extra, (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", (F.col("raw") / norm).alias("weight"))
+    return w.select(id_col, "term", *extra, (F.col("raw") / norm).alias("weight"))
 
 
 def frequent_terms(df: DataFrame, id_col: str, text_col: str, share: float, *, pattern: str = WORD_TOKEN) -> DataFrame:
@@ -245,8 +226,15 @@ def document_features(
 
 def sparse_text(df: DataFrame, id_col: str, text_col: str, max_features: int = 5_000) -> DataFrame:
     """One sparse TF-IDF row per id: ``tfidf_idx`` / ``tfidf_val``, aligned, in
-    vocabulary order (at most ``max_features`` entries)."""
-    rows, _ = _weights(df, id_col, text_col, max_features, ENGLISH_STOP_WORDS, WORD_TOKEN)
+    vocabulary order (at most ``max_features`` entries): the weights of :func:`tfidf`, made
+    within the row, so that no row per id and term is shuffled.  The vocabulary passes through the driver."""
+    toks = drop_stop_words(tokens(text_col, WORD_TOKEN))
+    docs = T.documents(df.select(id_col, text_col), id_col)
+    n_docs = df.agg(F.count(F.lit(1))).scalar()
+    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    best = T.term_statistics(docs, toks).orderBy(F.desc("total"), F.asc("term")).limit(max_features).select("term", idf.alias("idf"))
+    found = sorted((r.term, r.idf) for r in best.collect())  # max_features at most
+    rows = T.tfidf_rows(docs, toks, [t for t, _ in found], [w for _, w in found])
     kept = lambda c: F.when(F.size("idx") > 0, F.col(c))
     return rows.select(id_col, kept("idx").alias("tfidf_idx"), kept("val").alias("tfidf_val"))
 
