@@ -14,7 +14,6 @@ from catalogprep.session import checkpoint_dir
 SPACED = r"[^\x20\x09-\x0D]+"
 LETTERED = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-SPACED_RE = re.compile(SPACED)
 SPACED_RE_B = re.compile(SPACED.encode())
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
